@@ -140,13 +140,15 @@ def leading_window(
     aggs: dict[str, Column],
 ) -> DataFrame:
     """For each probe row, window aggregates over ``data`` rows of the same
-    ``keys`` with ``seconds`` in ``[probe_s, probe_s + span]``.
-
-    ``aggs`` maps output names to aggregate expressions over ``data`` columns
-    (data rows only contribute; probe rows carry NULLs in those columns).
-    The probe columns are returned with the aggregates. No (probe, data)
-    pairs are materialised: each data row is copied at most once, into the
-    block before its own.
+    ``keys`` with ``seconds`` in ``[probe_s, probe_s + span]`` (whole seconds,
+    both ends included).
+
+    ``aggs`` maps output names to aggregate functions over ``data`` columns
+    (e.g. ``F.sum("amount")``, ``F.collect_set("to_account")``); they are
+    evaluated over a RANGE frame, and probe rows carry NULLs in data columns
+    so they never contribute. Returns the probe columns plus the aggregates.
+    No (probe, data) pairs are materialised: each data row is copied at most
+    once, into the block before its own, and frames never cross a block pair.
     """
     keys = list(keys)
     block = F.floor(F.col(seconds) / F.lit(span))

@@ -127,6 +127,80 @@ def with_fact(select: str, **fact_args) -> str:
     return "WITH " + ",\n".join([TXN, CUST, fact_cte(**fact_args)]) + "\n" + select
 
 
+def _d(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+KPI1 = ("SELECT txn_id, customer_id, account_id, txn_date, amount, kyc_status, channel FROM fact "
+        "WHERE new_beneficiary_flag = 1 AND high_amount_flag = 1")
+
+
+def kpi2(span: int = 1800, min_payees: int = 3) -> str:
+    return f"""SELECT customer_id, count(*) AS event_count, CAST(sum(tot) AS DECIMAL(38,2)) AS total_amount
+FROM (
+  SELECT i.customer_id, i.credit_time, count(DISTINCT o.to_account) AS ub, sum(o.amount) AS tot
+  FROM (SELECT customer_id, txn_timestamp AS credit_time, s AS cs FROM fact WHERE txn_type IN ('CREDIT', 'DEPOSIT')) i
+  JOIN (SELECT customer_id, s AS os, to_account, amount FROM fact WHERE txn_type = 'TRANSFER') o
+    ON i.customer_id = o.customer_id AND o.os - i.cs >= 0 AND o.os - i.cs <= {span}
+  GROUP BY i.customer_id, i.credit_time
+) r WHERE ub >= {min_payees} GROUP BY customer_id"""
+
+
+KPI3 = """SELECT customer_id, txn_date, count(*) AS event_count, CAST(sum(daily_total_amount) AS DECIMAL(38,2)) AS total_amount
+FROM fact WHERE account_type = 'SAVINGS' AND ((daily_total_amount > 200000 AND channel NOT IN ('BRANCH', 'ONLINE', 'POS'))
+   OR daily_txn_count >= 10 OR rolling_7day_amount >= 1000000)
+GROUP BY customer_id, txn_date"""
+
+KPI4 = """SELECT customer_id, account_id, txn_id, txn_date, channel, daily_txn_count, daily_total_amount FROM fact
+WHERE account_type = 'CURRENT' AND ((channel = 'ATM' AND daily_total_amount > 200000)
+   OR (channel = 'ONLINE' AND daily_total_amount > 2000000) OR (channel = 'POS' AND daily_total_amount > 500000)
+   OR (channel = 'MOBILE' AND daily_total_amount > 300000))"""
+
+KPI6 = """SELECT txn_id, customer_id, ip_address, txn_timestamp, location_city, location_country, prev_city, prev_country,
+       time_diff_minutes
+FROM (SELECT *, lag(location_city) OVER w AS prev_city, lag(location_country) OVER w AS prev_country,
+             (s - lag(s) OVER w) / 60 AS time_diff_minutes
+      FROM fact WINDOW w AS (PARTITION BY customer_id, ip_address ORDER BY txn_timestamp, txn_id))
+WHERE ip_address IS NOT NULL AND time_diff_minutes <= 10 AND location_country <> prev_country"""
+
+KPI7 = """SELECT customer_id, account_id, txn_id, txn_date, daily_total_amount, kyc_status, channel FROM fact
+WHERE kyc_status = 'PENDING' AND daily_total_amount > 200000 AND channel NOT IN ('BRANCH')"""
+
+
+def velocity(width: str = "5 minutes", min_count: int = 5) -> str:
+    return f"""SELECT time_bucket(INTERVAL '{width}', txn_timestamp) AS window_start,
+       time_bucket(INTERVAL '{width}', txn_timestamp) + INTERVAL '{width}' AS window_end,
+       customer_id, count(*) AS count
+FROM fact GROUP BY 1, 2, customer_id HAVING count(*) > {min_count}"""
+
+
+def percentages_select(span: int = 1800) -> str:
+    return f"""SELECT k1 / total AS p1, k2 / total AS p2, k3 / total AS p3, k4 / total AS p4,
+       k5 / total AS p5, k6 / total AS p6, k7 / total AS p7
+FROM (SELECT (SELECT count(*) FROM fact) AS total,
+             (SELECT count(*) FROM ({KPI1})) AS k1,
+             (SELECT count(*) FROM ({kpi2(span)})) AS k2,
+             (SELECT count(*) FROM ({KPI3})) AS k3,
+             (SELECT count(*) FROM ({KPI4})) AS k4,
+             (SELECT count(*) FROM ({KPI1})) AS k5,
+             (SELECT count(*) FROM ({KPI6})) AS k6,
+             (SELECT count(*) FROM ({KPI7})) AS k7)"""
+
+
+def score_select(span: int = 1800) -> str:
+    w = (0.15, 0.20, 0.10, 0.10, 0.15, 0.15, 0.10)
+    terms = " + ".join(
+        f"p{i} * ({_d(0.7)} * {_d(w[i - 1])} + {_d(0.3)} * (p{i} / tp))" for i in range(1, 8)
+    )
+    return f"""SELECT risk_score,
+       CASE WHEN risk_score >= 0.6 THEN 'HIGH' WHEN risk_score >= 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+FROM (SELECT {terms} AS risk_score
+      FROM (SELECT *, p1 + p2 + p3 + p4 + p5 + p6 + p7 AS tp FROM ({percentages_select(span)})))"""
+
+
+CHANNELS = ("ATM", "BRANCH", "UPI", "ONLINE", "POS", "MOBILE", "UNKNOWN")
+
+
 def sql_report_daily() -> str:
     return with_fact(
         "SELECT txn_date, channel, count(*) AS txn_count, CAST(sum(amount) AS DECIMAL(28,2)) AS total_amount "
@@ -134,10 +208,6 @@ def sql_report_daily() -> str:
     )
 
 
-def sql_fact_transactions() -> str:
-    return with_fact(f"SELECT {FACT_COLUMNS} FROM fact")
-
-
 ORACLE: dict[str, str] = {}
 
 
@@ -145,5 +215,29 @@ def register(name: str, sql: str) -> None:
     ORACLE[name] = sql.strip()
 
 
-register("fact_transactions", sql_fact_transactions())
+register("fact_transactions", with_fact(f"SELECT {FACT_COLUMNS} FROM fact"))
 register("report_daily", sql_report_daily())
+register(
+    "report_monthly",
+    with_fact("SELECT strftime(txn_date, '%Y-%m') AS txn_month, channel, count(*) AS txn_count, "
+              "CAST(sum(amount) AS DECIMAL(28,2)) AS total_amount FROM fact GROUP BY 1, 2"),
+)
+register(
+    "report_daily_pivot",
+    with_fact("SELECT txn_date, " + ", ".join(
+        f"CAST(sum(amount) FILTER (WHERE channel = '{c}') AS DECIMAL(28,2)) AS \"{c}\"" for c in CHANNELS
+    ) + " FROM fact GROUP BY txn_date"),
+)
+register("kpi_new_beneficiary_high_amt", with_fact(KPI1))
+register("kpi_night_velocity", with_fact(KPI1))
+register("kpi_rapid_distribution", with_fact(kpi2(1800)))
+register("kpi_rapid_distribution_1d", with_fact(kpi2(86400)))
+register("kpi_savings_abnormal", with_fact(KPI3))
+register("kpi_current_overactivity", with_fact(KPI4))
+register("kpi_transaction_velocity", with_fact(velocity("5 minutes")))
+register("kpi_transaction_velocity_1d", with_fact(velocity("1 day")))
+register("kpi_impossible_travel", with_fact(KPI6))
+register("kpi_kyc_pending", with_fact(KPI7))
+register("kpi_percentages", with_fact(percentages_select(1800)))
+register("system_risk_score", with_fact(score_select(1800)))
+register("system_risk_score_1d", with_fact(score_select(86400)))

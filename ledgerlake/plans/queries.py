@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import reports
+from pyspark.sql import functions as F
+
+from ..config import DEFAULT, TEST_WIDE
+from ..operators import kpis, reports, score
 from ..operators.fact import fact_transactions
 from ..sources import binding
 from ..sources.tables import read_test_table
@@ -25,8 +28,6 @@ def query(name: str):
 
 
 def canonical_fact(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
-    from ..config import DEFAULT
-
     ev = read_test_table(spark, sf_dir, "events")
     cu = read_test_table(spark, sf_dir, "customer")
     return fact_transactions(binding.transactions(ev), binding.customers(cu), t or DEFAULT)
@@ -40,3 +41,84 @@ def q_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("report_daily")
 def q_report_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_daily(canonical_fact(spark, sf_dir))
+
+
+@query("report_monthly")
+def q_report_monthly(spark, sf_dir):
+    return reports.report_monthly(canonical_fact(spark, sf_dir))
+
+
+@query("report_daily_pivot")
+def q_report_daily_pivot(spark, sf_dir):
+    return reports.report_daily_pivot(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_new_beneficiary_high_amt")
+def q_kpi1(spark, sf_dir):
+    return kpis.kpi_new_beneficiary_high_amt(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_night_velocity")
+def q_kpi5(spark, sf_dir):
+    return kpis.kpi_night_velocity(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_rapid_distribution")
+def q_kpi2(spark, sf_dir):
+    return kpis.kpi_rapid_distribution(canonical_fact(spark, sf_dir), DEFAULT)
+
+
+@query("kpi_rapid_distribution_1d")
+def q_kpi2_wide(spark, sf_dir):
+    return kpis.kpi_rapid_distribution(canonical_fact(spark, sf_dir), TEST_WIDE)
+
+
+@query("kpi_savings_abnormal")
+def q_kpi3(spark, sf_dir):
+    return kpis.kpi_savings_abnormal(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_current_overactivity")
+def q_kpi4(spark, sf_dir):
+    return kpis.kpi_current_overactivity(canonical_fact(spark, sf_dir))
+
+
+def _flat_velocity(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "customer_id", "count"
+    )
+
+
+@query("kpi_transaction_velocity")
+def q_velocity(spark, sf_dir):
+    return _flat_velocity(kpis.kpi_transaction_velocity(canonical_fact(spark, sf_dir), DEFAULT))
+
+
+@query("kpi_transaction_velocity_1d")
+def q_velocity_wide(spark, sf_dir):
+    return _flat_velocity(kpis.kpi_transaction_velocity(canonical_fact(spark, sf_dir), TEST_WIDE))
+
+
+@query("kpi_impossible_travel")
+def q_kpi6(spark, sf_dir):
+    return kpis.kpi_impossible_travel(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_kyc_pending")
+def q_kpi7(spark, sf_dir):
+    return kpis.kpi_kyc_pending(canonical_fact(spark, sf_dir))
+
+
+@query("kpi_percentages")
+def q_percentages(spark, sf_dir):
+    return score.kpi_percentages(canonical_fact(spark, sf_dir), DEFAULT)
+
+
+@query("system_risk_score")
+def q_score(spark, sf_dir):
+    return score.system_risk_score(score.kpi_percentages(canonical_fact(spark, sf_dir), DEFAULT), DEFAULT)
+
+
+@query("system_risk_score_1d")
+def q_score_wide(spark, sf_dir):
+    return score.system_risk_score(score.kpi_percentages(canonical_fact(spark, sf_dir), TEST_WIDE), TEST_WIDE)
