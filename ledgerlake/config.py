@@ -87,6 +87,7 @@ def session_settings(cpus: int = 8) -> dict[str, str]:
     """Settings this library's jobs are planned for."""
     return {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

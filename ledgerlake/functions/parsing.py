@@ -24,7 +24,7 @@ def to_boolean(c: Column) -> Column:
 
 
 def to_date(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def to_wall_timestamp(c: Column, fmt: str) -> Column:

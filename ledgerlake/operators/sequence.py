@@ -49,6 +49,7 @@ def previous_by_day(
     prefix: str = "prev_",
     summary_source: DataFrame | None = None,
     join_hint: str | None = "shuffle_hash",
+    reverse: bool = False,
 ) -> DataFrame:
     """Add ``prefix + v`` = value ``v`` of the previous row of the same ``keys``.
 
@@ -56,33 +57,36 @@ def previous_by_day(
     column so ties are deterministic). ``day`` must be non-decreasing in
     ``order`` within a key (e.g. the date of the ordering timestamp).
     Result equals ``lag(v).over(Window.partitionBy(keys).orderBy(order))``
-    for non-null ``keys`` and ``day``.
+    for non-null ``keys`` and ``day``; with ``reverse=True`` it is the next
+    row instead (``lead``).
 
     ``summary_source`` (default ``df``) is where the per-(key, day) summary
     is read from; pass an earlier DataFrame of the same rows to keep the
     summary branch from recomputing windows already applied to ``df``.
     """
     keys, order, values = list(keys), list(order), list(values)
-    seg = Window.partitionBy(*keys, day).orderBy(*order)
+    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
+    seg = Window.partitionBy(*keys, day).orderBy(*[direction(c) for c in order])
     tmp = {v: f"__in_{v}" for v in values}
     out = df
     for v in values:
         out = out.withColumn(tmp[v], F.lag(v).over(seg))
     out = out.withColumn("__seg_first", F.row_number().over(seg) == 1)
 
-    # One row per (key, day): the day's last row, then the previous active
-    # day's last row for the same key.
+    # One row per (key, day): the day's last row (first, when reversed), then
+    # that row of the neighbouring active day of the same key.
     src = df if summary_source is None else summary_source
+    edge_max, edge_by = (F.min, F.min_by) if reverse else (F.max, F.max_by)
     if values == order[:1]:
-        # Only the leading order column is needed: a plain max (hash aggregate).
-        last_value = F.struct(F.max(values[0]).alias(values[0]))
+        # Only the leading order column is needed: a plain max/min (hash aggregate).
+        last_value = F.struct(edge_max(values[0]).alias(values[0]))
     else:
-        last_value = F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order))
+        last_value = edge_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order))
     last = src.groupBy(*keys, day).agg(last_value.alias("__last"))
     carry = last.select(
         *keys,
         day,
-        F.lag("__last").over(Window.partitionBy(*keys).orderBy(day)).alias("__carry"),
+        F.lag("__last").over(Window.partitionBy(*keys).orderBy(direction(day))).alias("__carry"),
     )
     out = _join_back(out, carry, [*keys, day], hint=join_hint)
     for v in values:

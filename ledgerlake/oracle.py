@@ -208,6 +208,203 @@ def sql_report_daily() -> str:
     )
 
 
+# --- bronze / silver -------------------------------------------------------
+
+AS_OF = "2024-02-01 00:00:00"
+
+BRONZE_TXN = r"""
+bt_rows AS (
+  SELECT CAST(txn_id AS BIGINT) AS event_id,
+         CASE WHEN CAST(txn_id AS BIGINT) % 50 = 0 THEN NULL ELSE txn_id END AS txn_id,
+         account_id, customer_id,
+         CASE WHEN CAST(txn_id AS BIGINT) % 53 = 0 THEN '2024-13-45 99:99:99.000000'
+              ELSE strftime(txn_timestamp, '%Y-%m-%d %H:%M:%S.%f') END AS txn_timestamp,
+         CASE WHEN CAST(txn_id AS BIGINT) % 67 = 0 THEN lower(txn_type) ELSE txn_type END AS txn_type,
+         CASE WHEN CAST(txn_id AS BIGINT) % 79 = 0 THEN NULL
+              WHEN CAST(txn_id AS BIGINT) % 73 = 0 THEN 'n/a'
+              WHEN CAST(txn_id AS BIGINT) % 59 = 0 THEN '-' || CAST(amount AS VARCHAR)
+              ELSE CAST(amount AS VARCHAR) END AS amount,
+         currency, from_account,
+         CASE WHEN txn_type IN ('WITHDRAWAL', 'DEBIT') AND CAST(txn_id AS BIGINT) % 4 <> 0 THEN NULL
+              ELSE to_account END AS to_account,
+         channel, device_id, ip_address,
+         CASE WHEN CAST(txn_id AS BIGINT) % 71 = 0 THEN NULL ELSE location_country END AS location_country,
+         location_city, '19.07' AS location_lat, '72.87' AS location_lon,
+         merchant_id, merchant_category, status, txn_timestamp AS orig_ts
+  FROM txn
+),
+bronze_txn AS (
+  SELECT * EXCLUDE (event_id, orig_ts) FROM bt_rows
+  UNION ALL
+  SELECT * EXCLUDE (event_id, orig_ts) REPLACE (strftime(orig_ts + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S.%f') AS txn_timestamp)
+  FROM bt_rows WHERE event_id % 61 = 0 AND event_id % 50 <> 0 AND event_id % 53 <> 0
+)"""
+
+
+def silver_txn_cte(as_of: str = AS_OF, name: str = "silver_txn") -> str:
+    return rf"""
+{name}_a AS (
+  SELECT * EXCLUDE (location_lat, location_lon, amount, location_country, location_city, merchant_category,
+                    txn_timestamp, txn_type, channel, status),
+         coalesce(location_country, 'UNKNOWN') AS location_country,
+         coalesce(location_city, 'UNKNOWN') AS location_city,
+         coalesce(merchant_category, 'UNKNOWN') AS merchant_category,
+         TRY_CAST(amount AS DECIMAL(18,2)) AS amount,
+         try_strptime(txn_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS txn_timestamp,
+         upper(txn_type) AS txn_type, upper(channel) AS channel, upper(status) AS status,
+         TIMESTAMP '{as_of}' AS ingest_timestamp
+  FROM bronze_txn
+  WHERE txn_id IS NOT NULL AND account_id IS NOT NULL AND customer_id IS NOT NULL
+),
+{name}_b AS (
+  SELECT *,
+         CAST(CASE WHEN currency = 'USD' THEN amount * 94 WHEN currency = 'EUR' THEN amount * 111
+                   WHEN currency = 'INR' THEN amount END AS DECIMAL(22,2)) AS normalised_amount,
+         row_number() OVER (PARTITION BY txn_id ORDER BY txn_timestamp DESC) AS rn
+  FROM {name}_a WHERE amount IS NOT NULL AND amount > 0 AND txn_timestamp IS NOT NULL
+),
+{name} AS (
+  SELECT * EXCLUDE (rn),
+         CASE WHEN txn_type IN ('DEPOSIT', 'CREDIT') THEN 'Not_Applicable'
+              WHEN account_id = from_account THEN 'SAME_ACCOUNT' ELSE 'SUSPICIOUS' END AS account_match_flag,
+         CASE WHEN (txn_type = 'WITHDRAWAL' AND from_account IS NOT NULL AND to_account IS NULL)
+                OR (txn_type = 'TRANSFER' AND from_account IS NOT NULL AND to_account IS NOT NULL)
+                OR (txn_type = 'DEBIT' AND from_account IS NOT NULL AND merchant_id IS NOT NULL AND to_account IS NULL)
+                OR (txn_type IN ('CREDIT', 'DEPOSIT') AND to_account IS NOT NULL AND from_account IS NULL)
+              THEN 'VALID' ELSE 'INVALID' END AS txn_validation_flag
+  FROM {name}_b WHERE rn = 1
+)"""
+
+
+INITCAP = "array_to_string(list_transform(string_split(lower({0}), ' '), lambda x: upper(x[1]) || x[2:]), ' ')"
+
+BRONZE_CUST = r"""
+bc_base AS (
+  SELECT c.*, c_custkey AS ck, lower(n.n_name) AS n_name
+  FROM (SELECT cust.*, customer.c_custkey FROM cust JOIN customer ON cust.customer_id = CAST(customer.c_custkey AS VARCHAR)) c
+  LEFT JOIN nation n ON (SELECT c_nationkey FROM customer WHERE customer.c_custkey = c.c_custkey) = n.n_nationkey
+),
+bronze_cust AS (
+  SELECT CASE WHEN ck % 50 = 0 THEN NULL ELSE customer_id END AS customer_id, account_id, customer_name,
+         CASE WHEN ck % 71 = 0 THEN NULL ELSE upper(customer_name) || '@corp.example' END AS email,
+         '+91-0000000000' AS phone,
+         CASE WHEN ck % 53 = 0 THEN '1990-02-30' ELSE CAST(date_of_birth AS VARCHAR) END AS date_of_birth,
+         CASE WHEN ck % 67 = 0 THEN lower(kyc_status) ELSE kyc_status END AS kyc_status,
+         n_name AS home_country, 'city of ' || n_name AS home_city,
+         CAST(account_opening_date AS VARCHAR) AS account_opening_date,
+         lower(account_type) AS account_type,
+         CASE WHEN ck % 79 = 0 THEN NULL WHEN ck % 73 = 0 THEN 'lots' ELSE CAST(account_balance AS VARCHAR) END
+           AS account_balance,
+         is_active
+  FROM bc_base
+  UNION ALL
+  SELECT customer_id, account_id, customer_name, customer_name || '@corp.example', '+91-0000000000',
+         CAST(date_of_birth AS VARCHAR), kyc_status, n_name, 'city of ' || n_name,
+         CAST(account_opening_date + 1 AS VARCHAR), lower(account_type), CAST(account_balance AS VARCHAR), is_active
+  FROM bc_base WHERE ck % 61 = 0 AND ck % 50 <> 0
+)"""
+
+
+def silver_cust_cte(as_of: str = AS_OF) -> str:
+    ic_country = INITCAP.format("home_country")
+    ic_city = INITCAP.format("home_city")
+    return rf"""
+sc_a AS (
+  SELECT * EXCLUDE (email, account_balance, date_of_birth, account_opening_date, kyc_status, account_type,
+                    home_country, home_city, phone),
+         lower(regexp_replace(email, '@.*', '@gmail.com')) AS email,
+         TRY_CAST(account_balance AS DOUBLE) AS account_balance,
+         CAST(try_strptime(date_of_birth, '%Y-%m-%d') AS DATE) AS date_of_birth,
+         CAST(try_strptime(account_opening_date, '%Y-%m-%d') AS DATE) AS account_opening_date,
+         upper(kyc_status) AS kyc_status, upper(account_type) AS account_type,
+         TIMESTAMP '{as_of}' AS ingest_timestamp,
+         {ic_country} AS home_country, {ic_city} AS home_city
+  FROM bronze_cust
+  WHERE customer_id IS NOT NULL AND account_id IS NOT NULL AND email IS NOT NULL
+),
+sc_b AS (
+  SELECT *, CAST(floor(date_diff('day', date_of_birth, CAST(TIMESTAMP '{as_of}' AS DATE)) / 365) AS BIGINT) AS age
+  FROM sc_a WHERE account_balance IS NOT NULL AND date_of_birth IS NOT NULL AND account_opening_date IS NOT NULL
+),
+silver_cust AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY account_opening_date DESC) AS rn
+    FROM sc_b WHERE age >= 18 AND account_opening_date < CAST(TIMESTAMP '{as_of}' AS DATE)
+  ) WHERE rn = 1
+)"""
+
+
+BRONZE_SESS = r"""
+bs_rows AS (
+  SELECT event_id, CAST(event_id AS VARCHAR) AS session_id,
+         CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS customer_id,
+         'D' || regexp_extract(props, '(\d+)', 1) AS device_id,
+         CASE WHEN event_id % 53 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS login_timestamp,
+         CASE WHEN event_id % 59 = 0 THEN strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(ts + to_seconds(CAST(trunc(value * 60) AS BIGINT)), '%Y-%m-%d %H:%M:%S') END
+           AS logout_timestamp,
+         '10.0.0.' || CAST(user_id % 4 AS VARCHAR) AS ip_address,
+         CASE WHEN event_id % 71 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'canada' ELSE 'india' END AS location_country,
+         CASE WHEN event_id % 71 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'toronto' ELSE 'new delhi' END AS location_city,
+         CASE event_id % 4 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Laptop' WHEN 2 THEN 'Tablet' ELSE 'Desktop' END AS device_type,
+         'Android' AS os, 'Chrome' AS browser,
+         CASE WHEN event_id % 12 = 0 THEN 'True' ELSE 'False' END AS is_new_device,
+         CASE WHEN event_id % 14 = 0 THEN 'True' ELSE 'False' END AS is_new_location,
+         ts AS orig_ts
+  FROM events
+),
+bronze_sess AS (
+  SELECT * EXCLUDE (event_id, orig_ts) FROM bs_rows
+  UNION ALL
+  SELECT * EXCLUDE (event_id, orig_ts)
+         REPLACE (strftime(date_trunc('second', orig_ts) - INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS login_timestamp)
+  FROM bs_rows WHERE event_id % 61 = 0 AND event_id % 53 <> 0 AND event_id % 59 <> 0
+)"""
+
+
+def silver_sess_cte(as_of: str = AS_OF) -> str:
+    return rf"""
+ss_a AS (
+  SELECT * EXCLUDE (location_country, location_city, device_type, is_new_device, is_new_location,
+                    login_timestamp, logout_timestamp, os, browser),
+         {INITCAP.format("coalesce(location_country, 'UNKNOWN')")} AS location_country,
+         {INITCAP.format("coalesce(location_city, 'UNKNOWN')")} AS location_city,
+         upper(device_type) AS device_type,
+         TRY_CAST(is_new_device AS BOOLEAN) AS is_new_device,
+         TRY_CAST(is_new_location AS BOOLEAN) AS is_new_location,
+         try_strptime(login_timestamp, '%Y-%m-%d %H:%M:%S') AS login_timestamp,
+         try_strptime(logout_timestamp, '%Y-%m-%d %H:%M:%S') AS logout_timestamp
+  FROM bronze_sess
+  WHERE session_id IS NOT NULL AND customer_id IS NOT NULL AND device_id IS NOT NULL
+),
+ss_b AS (
+  SELECT *, epoch_us(logout_timestamp) // 1000000 - epoch_us(login_timestamp) // 1000000 AS session_duration_seconds,
+         TIMESTAMP '{as_of}' AS ingest_timestamp
+  FROM ss_a WHERE login_timestamp IS NOT NULL AND logout_timestamp IS NOT NULL
+),
+silver_sess AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY login_timestamp DESC) AS rn
+    FROM ss_b WHERE session_duration_seconds >= 0
+  ) WHERE rn = 1
+)"""
+
+
+def with_ctes(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+CUST_CHANGES = r"""
+cust_changes AS (
+  SELECT c.* REPLACE (
+           CASE WHEN v = 1 THEN account_balance
+                WHEN v = 2 THEN CASE WHEN customer.c_custkey % 2 = 0 THEN account_balance + 50 ELSE account_balance END
+                ELSE account_balance + 100 END AS account_balance),
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds((v - 1) * 86400 + customer.c_custkey % 86400) AS ingest_timestamp
+  FROM cust c JOIN customer ON c.customer_id = CAST(customer.c_custkey AS VARCHAR),
+       (SELECT unnest([1, 2, 3]) AS v)
+)"""
+
 ORACLE: dict[str, str] = {}
 
 
@@ -241,3 +438,42 @@ register("kpi_kyc_pending", with_fact(KPI7))
 register("kpi_percentages", with_fact(percentages_select(1800)))
 register("system_risk_score", with_fact(score_select(1800)))
 register("system_risk_score_1d", with_fact(score_select(86400)))
+
+register("quarantine_transactions", with_ctes(TXN, BRONZE_TXN) + """
+SELECT *, 'Invalid transaction data' AS error_reason FROM bronze_txn
+WHERE txn_id IS NULL OR account_id IS NULL OR customer_id IS NULL OR TRY_CAST(amount AS DECIMAL(18,2)) <= 0""")
+register("silver_transactions", with_ctes(TXN, BRONZE_TXN, silver_txn_cte()) + "SELECT * FROM silver_txn")
+register("quarantine_customers", with_ctes(CUST, BRONZE_CUST) + """
+SELECT *, 'Invalid mandatory fields' AS error_reason FROM bronze_cust
+WHERE customer_id IS NULL OR account_id IS NULL OR email IS NULL OR account_balance IS NULL""")
+register("silver_customers", with_ctes(CUST, BRONZE_CUST, silver_cust_cte()) + "SELECT * FROM silver_cust")
+register("quarantine_sessions", with_ctes(BRONZE_SESS) + """
+SELECT *, 'Invalid session data' AS error_reason FROM bronze_sess
+WHERE session_id IS NULL OR customer_id IS NULL OR device_id IS NULL""")
+register("silver_sessions", with_ctes(BRONZE_SESS, silver_sess_cte()) + "SELECT * FROM silver_sess")
+register("dim_customers", with_ctes(CUST, BRONZE_CUST, silver_cust_cte()) + """
+SELECT customer_id, account_id, customer_name, age, account_type, account_balance, kyc_status, is_active,
+       home_country, home_city, account_opening_date FROM silver_cust""")
+register("dim_devices", with_ctes(BRONZE_SESS, silver_sess_cte()) + """
+SELECT DISTINCT session_id, customer_id, device_id, device_type, ip_address, location_country, location_city,
+       is_new_device, is_new_location, login_timestamp, logout_timestamp, session_duration_seconds FROM silver_sess""")
+register("dim_merchants", with_ctes(TXN, BRONZE_TXN, silver_txn_cte()) + """
+SELECT DISTINCT merchant_id, merchant_category FROM silver_txn WHERE merchant_id IS NOT NULL""")
+register("scd2_customers", with_ctes(CUST, CUST_CHANGES) + """
+SELECT * EXCLUDE (ingest_timestamp), ingest_timestamp, ingest_timestamp AS __START_AT,
+       lead(ingest_timestamp) OVER (PARTITION BY customer_id, account_id ORDER BY ingest_timestamp) AS __END_AT
+FROM cust_changes""")
+register("scd2_customers_tracked", with_ctes(CUST, CUST_CHANGES) + """
+SELECT * EXCLUDE (ingest_timestamp, pb), ingest_timestamp, ingest_timestamp AS __START_AT,
+       lead(ingest_timestamp) OVER (PARTITION BY customer_id, account_id ORDER BY ingest_timestamp) AS __END_AT
+FROM (SELECT *, lag(account_balance) OVER (PARTITION BY customer_id, account_id ORDER BY ingest_timestamp) AS pb,
+             row_number() OVER (PARTITION BY customer_id, account_id ORDER BY ingest_timestamp) AS rn
+      FROM cust_changes) WHERE rn = 1 OR pb IS DISTINCT FROM account_balance""".replace("EXCLUDE (ingest_timestamp, pb)", "EXCLUDE (ingest_timestamp, pb, rn)"))
+register("scd2_current_customers", with_ctes(CUST, CUST_CHANGES) + """
+SELECT * EXCLUDE (ingest_timestamp), ingest_timestamp, ingest_timestamp AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, account_id ORDER BY ingest_timestamp DESC) AS rn
+      FROM cust_changes) WHERE rn = 1""".replace("EXCLUDE (ingest_timestamp), ingest_timestamp, ingest_timestamp AS __START_AT, CAST", "EXCLUDE (ingest_timestamp, rn), ingest_timestamp, ingest_timestamp AS __START_AT, CAST"))
+register("scd2_transactions", with_ctes(TXN, BRONZE_TXN, silver_txn_cte(AS_OF, "s1"), silver_txn_cte("2024-02-02 00:00:00", "s2")) + """
+SELECT *, ingest_timestamp AS __START_AT,
+       lead(ingest_timestamp) OVER (PARTITION BY txn_id ORDER BY ingest_timestamp) AS __END_AT
+FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2)""")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, TEST_WIDE
-from ..operators import kpis, reports, score
+from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions
 from ..sources import binding
 from ..sources.tables import read_test_table
@@ -122,3 +122,91 @@ def q_score(spark, sf_dir):
 @query("system_risk_score_1d")
 def q_score_wide(spark, sf_dir):
     return score.system_risk_score(score.kpi_percentages(canonical_fact(spark, sf_dir), TEST_WIDE), TEST_WIDE)
+
+
+# --- cleansing, dimensions, history ----------------------------------------
+
+AS_OF = "2024-02-01 00:00:00"
+
+
+def _events(spark, sf_dir):
+    return read_test_table(spark, sf_dir, "events")
+
+
+def _bronze_customers(spark, sf_dir):
+    return binding.bronze_customers(read_test_table(spark, sf_dir, "customer"), read_test_table(spark, sf_dir, "nation"))
+
+
+@query("quarantine_transactions")
+def q_quarantine_txn(spark, sf_dir):
+    return cleanse.quarantine_transactions(binding.bronze_transactions(_events(spark, sf_dir)))
+
+
+@query("silver_transactions")
+def q_silver_txn(spark, sf_dir):
+    return cleanse.silver_transactions(binding.bronze_transactions(_events(spark, sf_dir)), AS_OF)
+
+
+@query("quarantine_customers")
+def q_quarantine_cust(spark, sf_dir):
+    return cleanse.quarantine_customers(_bronze_customers(spark, sf_dir))
+
+
+@query("silver_customers")
+def q_silver_cust(spark, sf_dir):
+    return cleanse.silver_customers(_bronze_customers(spark, sf_dir), AS_OF)
+
+
+@query("quarantine_sessions")
+def q_quarantine_sess(spark, sf_dir):
+    return cleanse.quarantine_sessions(binding.bronze_sessions(_events(spark, sf_dir)))
+
+
+@query("silver_sessions")
+def q_silver_sess(spark, sf_dir):
+    return cleanse.silver_sessions(binding.bronze_sessions(_events(spark, sf_dir)), AS_OF)
+
+
+@query("dim_customers")
+def q_dim_customers(spark, sf_dir):
+    return dims.dim_customers(q_silver_cust(spark, sf_dir))
+
+
+@query("dim_devices")
+def q_dim_devices(spark, sf_dir):
+    return dims.dim_devices(q_silver_sess(spark, sf_dir))
+
+
+@query("dim_merchants")
+def q_dim_merchants(spark, sf_dir):
+    return dims.dim_merchants(q_silver_txn(spark, sf_dir))
+
+
+def _customer_changes(spark, sf_dir):
+    return binding.customer_changes(read_test_table(spark, sf_dir, "customer"))
+
+
+@query("scd2_customers")
+def q_scd2_customers(spark, sf_dir):
+    return scd2.rebuild(_customer_changes(spark, sf_dir), ["customer_id", "account_id"], "ingest_timestamp")
+
+
+@query("scd2_customers_tracked")
+def q_scd2_customers_tracked(spark, sf_dir):
+    return scd2.rebuild(
+        _customer_changes(spark, sf_dir), ["customer_id", "account_id"], "ingest_timestamp", ["account_balance"]
+    )
+
+
+@query("scd2_current_customers")
+def q_scd2_current(spark, sf_dir):
+    return scd2.current(q_scd2_customers(spark, sf_dir))
+
+
+@query("scd2_transactions")
+def q_scd2_transactions(spark, sf_dir):
+    """Two ingests of the same feed: every re-ingest is a new version."""
+    bronze = binding.bronze_transactions(_events(spark, sf_dir))
+    first = cleanse.silver_transactions(bronze, AS_OF)
+    second = cleanse.silver_transactions(bronze, "2024-02-02 00:00:00")
+    return scd2.rebuild(first.unionByName(second), ["txn_id"], "ingest_timestamp")

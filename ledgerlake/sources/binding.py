@@ -247,3 +247,23 @@ def bronze_sessions(events: DataFrame) -> DataFrame:
         ),
     )
     return rows.unionByName(dup).drop("event_id")
+
+
+def customer_changes(customer: DataFrame) -> DataFrame:
+    """Change feed for SCD2: three versions per customer, one day apart
+    (``ingest_timestamp``); the balance changes on even keys at version 2 and
+    on every key at version 3."""
+    ck = F.col("c_custkey")
+    rows = customer.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("__v"))
+    v = F.col("__v")
+    balance = (
+        F.when(v == 1, F.col("c_acctbal"))
+        .when(v == 2, F.when(ck % 2 == 0, F.col("c_acctbal") + 50).otherwise(F.col("c_acctbal")))
+        .otherwise(F.col("c_acctbal") + 100)
+    )
+    ingest = F.timestamp_add(
+        "SECOND", (v - 1) * 86400 + (ck % 86400), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    )
+    return rows.select(*_customer_columns(), balance.alias("__bal"), ingest.alias("ingest_timestamp")).withColumn(
+        "account_balance", F.col("__bal")
+    ).drop("__bal")
