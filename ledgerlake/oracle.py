@@ -477,3 +477,16 @@ register("scd2_transactions", with_ctes(TXN, BRONZE_TXN, silver_txn_cte(AS_OF, "
 SELECT *, ingest_timestamp AS __START_AT,
        lead(ingest_timestamp) OVER (PARTITION BY txn_id ORDER BY ingest_timestamp) AS __END_AT
 FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2)""")
+
+register("bronze_transactions", with_ctes(TXN, BRONZE_TXN) + "SELECT *, CAST(NULL AS VARCHAR) AS rescued_data FROM bronze_txn")
+register("bronze_customers", with_ctes(CUST, BRONZE_CUST) + "SELECT * FROM bronze_cust")
+register("bronze_sessions", with_ctes(BRONZE_SESS) + "SELECT * FROM bronze_sess")
+register("scan_csv_batch", with_ctes(BRONZE_SESS) + "SELECT * FROM bronze_sess")
+register("bronze_rescued", with_ctes(TXN, BRONZE_TXN) + """
+SELECT txn_id, coalesce(CAST(txn_id AS BIGINT) % 97 = 0, false) AS rescued FROM bronze_txn""")
+register("bronze_lineage", with_ctes(TXN, BRONZE_TXN) + "SELECT txn_id, true AS lineage_ok FROM bronze_txn")
+register("stream_customer_quarantine", ORACLE["quarantine_customers"])
+register("stream_velocity_1d", with_fact(
+    "SELECT * FROM (" + velocity("1 day") + ") v WHERE window_end <= (SELECT max(txn_timestamp) FROM fact) - INTERVAL 15 MINUTE"))
+register("stream_dedup_transactions", with_ctes(TXN) + "SELECT * FROM txn")
+register("stream_scd2_customers", ORACLE["scd2_customers"])

@@ -210,3 +210,6 @@ def q_scd2_transactions(spark, sf_dir):
     first = cleanse.silver_transactions(bronze, AS_OF)
     second = cleanse.silver_transactions(bronze, "2024-02-02 00:00:00")
     return scd2.rebuild(first.unionByName(second), ["txn_id"], "ingest_timestamp")
+
+
+from . import stream_queries  # noqa: E402,F401  (registers source/stream queries)
