@@ -13,7 +13,7 @@ customer-ip-day, customer-second) are the only other data that moves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
@@ -117,12 +117,26 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
     base = df.repartition("customer_id", "txn_date")
     rows = df if rows is None else rows
 
-    # Gap to the customer's previous transaction (minutes, whole seconds).
-    out = previous_by_day(base, ["customer_id"], "txn_date", ORDER, ["txn_timestamp"], "__any_", summary_source=rows)
-    gap = (F.col("__s") - F.unix_timestamp("__any_txn_timestamp")) / 60
-    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop(
-        "__any_txn_timestamp"
+    # Daily count / total / distinct payees and the day's last timestamp: one
+    # aggregate (partial, then shuffled on its keys); the previous active
+    # day's last timestamp is a lag over one row per customer-day.
+    daily = rows.groupBy("customer_id", "txn_date").agg(
+        F.count("txn_id").alias("daily_txn_count"),
+        F.sum("amount").alias("daily_total_amount"),
+        F.countDistinct("to_account").alias("daily_unique_beneficiaries"),
+        F.max("txn_timestamp").alias("__day_last"),
     )
+    daily = daily.withColumn(
+        "__prev_day_last", F.lag("__day_last").over(Window.partitionBy("customer_id").orderBy("txn_date"))
+    ).drop("__day_last")
+    out = base.join(daily.hint("shuffle_hash"), ["customer_id", "txn_date"], "left")
+
+    # Gap to the customer's previous transaction (minutes, whole seconds):
+    # within the day by lag, for the day's first row from the previous day.
+    in_day = Window.partitionBy("customer_id", "txn_date").orderBy(*ORDER)
+    prev_ts = F.coalesce(F.lag("txn_timestamp").over(in_day), F.col("__prev_day_last"))
+    gap = (F.col("__s") - F.unix_timestamp(prev_ts)) / 60
+    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop("__prev_day_last")
 
     # New beneficiary: a TRANSFER whose previous row to the same to_account
     # (any type) is absent or more than N days earlier.
@@ -135,15 +149,6 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
     )
     out = out.withColumn("new_beneficiary_flag", as_flag(is_new)).drop("__ben_txn_timestamp")
 
-    # Daily count / total / distinct payees: an aggregate on the existing
-    # partitioning, joined back on the same keys.
-    daily = rows.groupBy("customer_id", "txn_date").agg(
-        F.count("txn_id").alias("daily_txn_count"),
-        F.sum("amount").alias("daily_total_amount"),
-        F.countDistinct("to_account").alias("daily_unique_beneficiaries"),
-    )
-    out = out.join(daily.hint("shuffle_hash"), ["customer_id", "txn_date"], "left")
-
     # Rolling 7 days: RANGE [s - span, s] over whole seconds, peers included.
     rolling = trailing_sum(
         rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["txn_date"]

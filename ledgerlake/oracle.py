@@ -55,7 +55,8 @@ cust AS (
 )"""
 
 
-def fact_cte(high_amount: int = 400000, new_days: int = 90, rolling: int = 604800) -> str:
+def fact_cte(high_amount: int = 400000, new_days: int = 90, rolling: int = 604800,
+             txn: str = "txn", cust: str = "cust") -> str:
     """``fact`` CTE (needs ``txn`` and ``cust``): the reference's windows as written."""
     return rf"""
 fj AS (
@@ -78,7 +79,7 @@ fj AS (
          CAST(t.txn_timestamp AS DATE) AS txn_date,
          CAST(hour(t.txn_timestamp) AS INTEGER) AS txn_hour,
          epoch_us(t.txn_timestamp) // 1000000 AS s
-  FROM txn t LEFT JOIN cust c ON t.customer_id = c.customer_id AND t.account_id = c.account_id
+  FROM {txn} t LEFT JOIN {cust} c ON t.customer_id = c.customer_id AND t.account_id = c.account_id
 ),
 fw AS (
   SELECT *,
@@ -490,3 +491,8 @@ register("stream_velocity_1d", with_fact(
     "SELECT * FROM (" + velocity("1 day") + ") v WHERE window_end <= (SELECT max(txn_timestamp) FROM fact) - INTERVAL 15 MINUTE"))
 register("stream_dedup_transactions", with_ctes(TXN) + "SELECT * FROM txn")
 register("stream_scd2_customers", ORACLE["scd2_customers"])
+
+register("fact_partition_prune", with_fact(f"SELECT {FACT_COLUMNS} FROM fact WHERE txn_date = DATE '2024-01-15'"))
+register("fact_from_history", with_ctes(
+    TXN, CUST, BRONZE_TXN, silver_txn_cte(), BRONZE_CUST, silver_cust_cte(),
+    fact_cte(txn="silver_txn", cust="silver_cust")) + f"SELECT {FACT_COLUMNS} FROM fact")

@@ -212,4 +212,25 @@ def q_scd2_transactions(spark, sf_dir):
     return scd2.rebuild(first.unionByName(second), ["txn_id"], "ingest_timestamp")
 
 
+@query("fact_partition_prune")
+def q_fact_partition_prune(spark, sf_dir):
+    """Fact materialised with ``partitionBy("txn_date")``; a date predicate is
+    then a PartitionFilters entry (only that directory is listed and read)."""
+    from ..config import scratch_path
+    from ..sources.tables import write_table
+
+    path = scratch_path(spark, "fact-by-date")
+    write_table(canonical_fact(spark, sf_dir), path, partition_by=("txn_date",))
+    return spark.read.parquet(path).filter(F.col("txn_date") == F.lit("2024-01-15").cast("date"))
+
+
+@query("fact_from_history")
+def q_fact_from_history(spark, sf_dir):
+    """The reference's path: bronze -> silver -> SCD2 history -> current
+    versions of transactions and customers -> fact."""
+    txn_hist = scd2.rebuild(q_silver_txn(spark, sf_dir), ["txn_id"], "ingest_timestamp")
+    cust_hist = scd2.rebuild(q_silver_cust(spark, sf_dir), ["customer_id", "account_id"], "ingest_timestamp")
+    return fact_transactions(scd2.current(txn_hist), scd2.current(cust_hist), DEFAULT)
+
+
 from . import stream_queries  # noqa: E402,F401  (registers source/stream queries)
