@@ -4,11 +4,14 @@ customers, with null rules, flags and the per-customer sequence features.
 Physical shape (see ``explain``): the customer join is a broadcast when the
 current customer table fits the broadcast threshold (Spark/AQE check its
 size), otherwise a sort-merge join that AQE splits on skewed keys. The rows
-are then hash-partitioned once on ``(customer_id, txn_date)``; every window
-below is partitioned by a superset of those columns and every summary is
-joined back on a superset of them, so no further exchange of the fact rows
-is needed. Summaries (one row per customer-day, customer-payee-day,
-customer-ip-day, customer-second) are the only other data that moves.
+are then hash-partitioned once on ``(customer_id, __seg)``, ``__seg`` being a
+one-minute slice of time; every window below is partitioned by a superset of
+those columns and every summary is joined back on a superset of them, so no
+further exchange of the fact rows is needed. Summaries (one row per
+customer-minute, customer-payee-minute, customer-ip-minute, customer-second,
+customer-day) are the only other data that moves, each combined map-side
+before its shuffle. A customer holding a third of all rows is therefore
+spread over as many tasks as it has active minutes.
 """
 
 from __future__ import annotations
@@ -87,12 +90,17 @@ def apply_customer_null_rules(df: DataFrame) -> DataFrame:
     )
 
 
-def add_time_columns(df: DataFrame) -> DataFrame:
-    """txn_date, txn_hour and whole epoch seconds ``__s`` (internal)."""
+SEGMENT_SECONDS = 60  # row-level window groups: one customer-minute
+
+
+def add_time_columns(df: DataFrame, segment_seconds: int = SEGMENT_SECONDS) -> DataFrame:
+    """txn_date, txn_hour, whole epoch seconds ``__s`` and the segment index
+    ``__seg`` (internal)."""
     return (
         df.withColumn("txn_date", F.to_date("txn_timestamp"))
         .withColumn("txn_hour", F.hour("txn_timestamp"))
         .withColumn("__s", F.unix_timestamp("txn_timestamp"))
+        .withColumn("__seg", F.floor(F.col("__s") / F.lit(segment_seconds)))
     )
 
 
@@ -109,39 +117,52 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
     """Velocity gap, new-beneficiary flag, daily totals, rolling 7-day sum and
     same-IP previous location.
 
-    ``df`` needs the time columns of :func:`add_time_columns`. ``rows`` (the
-    same transactions before any join, default ``df``) feeds the summaries:
-    each is a partial aggregate over ``rows`` shuffled on its own keys, so a
-    hot customer is pre-aggregated map-side before anything moves.
+    ``df`` needs the columns of :func:`add_time_columns`. ``rows`` (the same
+    transactions before any join, default ``df``) feeds the summaries: each
+    is a partial aggregate over ``rows`` shuffled on its own keys, so a hot
+    customer is combined map-side before anything moves.
     """
-    base = df.repartition("customer_id", "txn_date")
+    split = ["customer_id", "__seg"]  # the one hash partitioning of the fact rows
+    base = df.repartition(*split)
     rows = df if rows is None else rows
 
-    # Daily count / total / distinct payees and the day's last timestamp: one
-    # aggregate (partial, then shuffled on its keys); the previous active
-    # day's last timestamp is a lag over one row per customer-day.
-    daily = rows.groupBy("customer_id", "txn_date").agg(
-        F.count("txn_id").alias("daily_txn_count"),
-        F.sum("amount").alias("daily_total_amount"),
-        F.countDistinct("to_account").alias("daily_unique_beneficiaries"),
-        F.max("txn_timestamp").alias("__day_last"),
+    # Per customer-segment summary: row count, amount and last timestamp.
+    # Daily count/total are window sums over the segments of a day (at most
+    # 1440 rows for one-minute segments); the previous segment's last
+    # timestamp is a lag over one row per active segment.
+    per_seg = rows.groupBy("customer_id", "txn_date", "__seg").agg(
+        F.count("txn_id").alias("__n"),
+        F.sum("amount").alias("__amt"),
+        F.max("txn_timestamp").alias("__last"),
+    )
+    day = Window.partitionBy("customer_id", "txn_date")
+    per_seg = per_seg.select(
+        "customer_id",
+        "txn_date",
+        "__seg",
+        F.sum("__n").over(day).alias("daily_txn_count"),
+        F.sum("__amt").over(day).cast("decimal(28,2)").alias("daily_total_amount"),
+        F.lag("__last").over(Window.partitionBy("customer_id").orderBy("__seg")).alias("__prev_seg_last"),
     )
-    daily = daily.withColumn(
-        "__prev_day_last", F.lag("__day_last").over(Window.partitionBy("customer_id").orderBy("txn_date"))
-    ).drop("__day_last")
-    out = base.join(daily.hint("shuffle_hash"), ["customer_id", "txn_date"], "left")
+    # Distinct payees per day: Spark plans a partial distinct aggregate.
+    payees = rows.groupBy("customer_id", "txn_date").agg(
+        F.countDistinct("to_account").alias("daily_unique_beneficiaries")
+    )
+    per_seg = per_seg.join(payees, ["customer_id", "txn_date"], "left")
+    out = base.join(per_seg.repartition(*split).hint("shuffle_hash"), ["customer_id", "txn_date", "__seg"], "left")
 
     # Gap to the customer's previous transaction (minutes, whole seconds):
-    # within the day by lag, for the day's first row from the previous day.
-    in_day = Window.partitionBy("customer_id", "txn_date").orderBy(*ORDER)
-    prev_ts = F.coalesce(F.lag("txn_timestamp").over(in_day), F.col("__prev_day_last"))
+    # inside the segment by lag, for its first row from the previous segment.
+    in_seg = Window.partitionBy("customer_id", "__seg").orderBy(*ORDER)
+    prev_ts = F.coalesce(F.lag("txn_timestamp").over(in_seg), F.col("__prev_seg_last"))
     gap = (F.col("__s") - F.unix_timestamp(prev_ts)) / 60
-    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop("__prev_day_last")
+    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop("__prev_seg_last")
 
     # New beneficiary: a TRANSFER whose previous row to the same to_account
     # (any type) is absent or more than N days earlier.
     out = previous_by_day(
-        out, ["customer_id", "to_account"], "txn_date", ORDER, ["txn_timestamp"], "__ben_", summary_source=rows
+        out, ["customer_id", "to_account"], "__seg", ORDER, ["txn_timestamp"], "__ben_", summary_source=rows,
+        partition_keys=split,
     )
     prev_ben = F.col("__ben_txn_timestamp")
     is_new = (F.col("txn_type") == "TRANSFER") & (
@@ -151,9 +172,9 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
 
     # Rolling 7 days: RANGE [s - span, s] over whole seconds, peers included.
     rolling = trailing_sum(
-        rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["txn_date"]
+        rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["__seg"]
     )
-    out = out.join(rolling.hint("shuffle_hash"), ["customer_id", "txn_date", "__s"], "left").withColumn(
+    out = out.join(rolling.repartition(*split).hint("shuffle_hash"), ["customer_id", "__seg", "__s"], "left").withColumn(
         "rolling_7day_amount", F.col("rolling_7day_amount").cast("decimal(28,2)")
     )
 
@@ -161,21 +182,27 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
     out = previous_by_day(
         out,
         ["customer_id", "ip_address"],
-        "txn_date",
+        "__seg",
         ORDER,
         ["location_city", "location_country"],
         "__ip_",
         summary_source=rows,
+        partition_keys=split,
     )
     out = out.withColumn("previous_ip_city", F.coalesce("__ip_location_city", "location_city")).withColumn(
         "previous_ip_country", F.coalesce("__ip_location_country", "location_country")
     )
-    return out.drop("__ip_location_city", "__ip_location_country", "__s")
+    return out.drop("__ip_location_city", "__ip_location_country", "__s", "__seg")
+
 
+def fact_transactions(
+    txns: DataFrame, customers: DataFrame, t: Thresholds = DEFAULT, segment_seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
+    """The 32-column transaction fact from current transactions and customers.
 
-def fact_transactions(txns: DataFrame, customers: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """The 32-column transaction fact from current transactions and customers."""
-    rows = add_time_columns(apply_txn_null_rules(txns))
+    ``segment_seconds`` sets the time slice that bounds row-level window
+    groups (results do not depend on it)."""
+    rows = add_time_columns(apply_txn_null_rules(txns), segment_seconds)
     df = apply_customer_null_rules(join_customers(rows, customers))
     df = add_row_flags(df, t)
     df = add_sequence_features(df, rows, t)

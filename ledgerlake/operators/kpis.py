@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
-from .fact import ORDER
-from .sequence import leading_window, previous_by_day
+from .fact import ORDER, SEGMENT_SECONDS
+from .sequence import leading_window, previous_by_day, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
 
@@ -125,9 +125,9 @@ def kpi_transaction_velocity(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFr
 def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """KPI 6: on one (customer, IP) the country changed within N minutes."""
     df = previous_by_day(
-        fact,
+        fact.withColumn("__seg", segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)),
         ["customer_id", "ip_address"],
-        "txn_date",
+        "__seg",
         ORDER,
         ["location_city", "location_country", "txn_timestamp"],
         "__p_",

@@ -6,9 +6,9 @@ version). Rows with an equal (key, sequence) collapse to one. With
 ``track_columns`` a row equal (null-safe) to its predecessor on those
 columns is not a new version.
 
-Both ``lead`` and the change test run day-segmented
+Both ``lead`` and the change test run segmented by hour of the sequence
 (:func:`previous_by_day`), so a key with a huge number of versions is split
-by day; duplicates collapse in a partial aggregate before any shuffle.
+across tasks; duplicates collapse in a partial aggregate before any shuffle.
 
 The incremental form (:func:`merge_increment`) rebuilds only the keys present
 in a batch: their existing history is selected with a semi join and the rest
@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cleanse import latest_per_key
-from .sequence import previous_by_day
+from .sequence import previous_by_day, segment_of
 
 START, END = "__START_AT", "__END_AT"
 
 
-def _day_of(seq: str):
-    return F.to_date(F.col(seq))
+SEGMENT_SECONDS = 3600
+
+
+def _segment_of(seq: str):
+    return segment_of(F.col(seq).cast("timestamp_ntz"), SEGMENT_SECONDS)
 
 
 def rebuild(
@@ -40,23 +43,26 @@ def rebuild(
 ) -> DataFrame:
     """Full SCD2 history of ``changes`` (any mix of old and new rows).
 
-    ``sequence`` must be a date/timestamp column (its date segments the work).
+    ``sequence`` must be a date/timestamp column (hour slices of it segment
+    the work, so a key with many versions is split across tasks).
     """
     keys = list(keys)
     cols = [c for c in changes.columns if c not in (START, END)]
     rows = changes.select(*cols)
     rows = latest_per_key(rows, [*keys, sequence], [sequence])  # one row per (key, sequence)
-    rows = rows.withColumn("__day", _day_of(sequence))
+    rows = rows.withColumn("__day", _segment_of(sequence))
+    split = [*keys, "__day"]
+    rows = rows.repartition(*split)
     order = [sequence]
     if track_columns:
         tracked = [c for c in track_columns if c != sequence]
         carried = [*tracked, sequence]
-        rows = previous_by_day(rows, keys, "__day", order, carried, "__was_")
+        rows = previous_by_day(rows, keys, "__day", order, carried, "__was_", partition_keys=split)
         changed = F.col("__was_" + sequence).isNull()  # first version of the key
         for c in tracked:
             changed = changed | ~F.col(c).eqNullSafe(F.col("__was_" + c))
         rows = rows.filter(changed).drop(*["__was_" + c for c in carried])
-    nxt = previous_by_day(rows, keys, "__day", order, [sequence], "__next_", reverse=True)
+    nxt = previous_by_day(rows, keys, "__day", order, [sequence], "__next_", reverse=True, partition_keys=split)
     return nxt.select(*cols, F.col(sequence).alias(START), F.col("__next_" + sequence).alias(END))
 
 

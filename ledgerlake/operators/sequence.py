@@ -6,9 +6,11 @@ of the table. The operators here never partition row-level work by the bare
 entity key:
 
 * ``previous_by_day`` — ``lag`` over an entity, computed inside
-  (entity, day) segments. The first row of a segment takes its predecessor
-  from a one-row-per-(entity, day) summary, whose own ``lag`` runs over at
-  most one row per active day of the entity.
+  (entity, segment) groups, a segment being a short time slice (a minute by
+  default). The first row of a segment takes its predecessor from a
+  one-row-per-(entity, segment) summary, whose own ``lag`` runs over at most
+  one row per active segment of the entity (bounded by time span, not by
+  the entity's row count).
 * ``trailing_sum`` — a ``RANGE BETWEEN span PRECEDING AND CURRENT ROW`` sum.
   Values are first summed per (entity, second); each second is then placed in
   its block ``floor(s / span)`` and copied once into the next block, so a
@@ -30,51 +32,83 @@ from pyspark.sql import functions as F
 
 
 def _join_back(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hint: str | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    hint: str | None = None,
+    partition_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Plain equi-join on column names. A null-safe (``<=>``) join would be
     planned on rewritten key expressions and lose the co-partitioning, so
-    keys are required to be non-null (fill them first)."""
+    keys are required to be non-null (fill them first).
+
+    ``partition_keys`` (a subset of ``keys``) is how ``left`` is
+    hash-partitioned; ``right`` is shuffled the same way first. Without it
+    Spark may adopt the right side's coarser partitioning and rewrite the
+    left side's shuffle to match, undoing the split of hot keys.
+    """
+    if partition_keys:
+        right = right.repartition(*partition_keys)
     if hint:
         right = right.hint(hint)
     return left.join(right, list(keys), how)
 
 
+def segment_of(ts: Column, seconds: int) -> Column:
+    """Segment index of a timestamp: ``floor(epoch_seconds / seconds)``."""
+    return F.floor(F.unix_timestamp(ts) / F.lit(seconds))
+
+
 def previous_by_day(
     df: DataFrame,
     keys: Sequence[str],
-    day: str,
+    segment: str | Sequence[str],
     order: Sequence[str],
     values: Sequence[str],
     prefix: str = "prev_",
     summary_source: DataFrame | None = None,
     join_hint: str | None = "shuffle_hash",
     reverse: bool = False,
+    partition_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``prefix + v`` = value ``v`` of the previous row of the same ``keys``.
 
     "Previous" follows ``order`` (ascending, all columns; include a unique
-    column so ties are deterministic). ``day`` must be non-decreasing in
-    ``order`` within a key (e.g. the date of the ordering timestamp).
-    Result equals ``lag(v).over(Window.partitionBy(keys).orderBy(order))``
-    for non-null ``keys`` and ``day``; with ``reverse=True`` it is the next
+    column so ties are deterministic). ``segment`` (one or more columns, e.g.
+    a day or a minute index) must be non-decreasing in ``order`` within a
+    key. Result equals ``lag(v).over(Window.partitionBy(keys).orderBy(order))``
+    for non-null ``keys`` and segments; with ``reverse=True`` it is the next
     row instead (``lead``).
 
-    ``summary_source`` (default ``df``) is where the per-(key, day) summary
-    is read from; pass an earlier DataFrame of the same rows to keep the
-    summary branch from recomputing windows already applied to ``df``.
+    Row-level work is partitioned by (keys, segment); only the summary of one
+    row per (key, segment) is ordered per key, so its size is bounded by the
+    number of active segments of a key, not by its row count.
+
+    ``summary_source`` (default ``df``) is where the per-(key, segment)
+    summary is read from; pass an earlier DataFrame of the same rows to keep
+    the summary branch from recomputing windows already applied to ``df``.
+
+    ``partition_keys``: how ``df`` is already hash-partitioned (a subset of
+    keys + segment). When omitted, ``df`` is repartitioned on keys + segment
+    here. Either way the summary is shuffled to the same partitioning before
+    the join, so the row-level split is never replaced by a coarser one.
     """
     keys, order, values = list(keys), list(order), list(values)
+    seg_cols = [segment] if isinstance(segment, str) else list(segment)
+    if partition_keys is None:
+        partition_keys = [*keys, *seg_cols]
+        df = df.repartition(*partition_keys)
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    seg = Window.partitionBy(*keys, day).orderBy(*[direction(c) for c in order])
+    seg = Window.partitionBy(*keys, *seg_cols).orderBy(*[direction(c) for c in order])
     tmp = {v: f"__in_{v}" for v in values}
     out = df
     for v in values:
         out = out.withColumn(tmp[v], F.lag(v).over(seg))
     out = out.withColumn("__seg_first", F.row_number().over(seg) == 1)
 
-    # One row per (key, day): the day's last row (first, when reversed), then
-    # that row of the neighbouring active day of the same key.
+    # One row per (key, segment): the segment's last row (first, when
+    # reversed), then that row of the neighbouring active segment of the key.
     src = df if summary_source is None else summary_source
     edge_max, edge_by = (F.min, F.min_by) if reverse else (F.max, F.max_by)
     if values == order[:1]:
@@ -82,13 +116,13 @@ def previous_by_day(
         last_value = F.struct(edge_max(values[0]).alias(values[0]))
     else:
         last_value = edge_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order))
-    last = src.groupBy(*keys, day).agg(last_value.alias("__last"))
+    last = src.groupBy(*keys, *seg_cols).agg(last_value.alias("__last"))
     carry = last.select(
         *keys,
-        day,
-        F.lag("__last").over(Window.partitionBy(*keys).orderBy(direction(day))).alias("__carry"),
+        *seg_cols,
+        F.lag("__last").over(Window.partitionBy(*keys).orderBy(*[direction(c) for c in seg_cols])).alias("__carry"),
     )
-    out = _join_back(out, carry, [*keys, day], hint=join_hint)
+    out = _join_back(out, carry, [*keys, *seg_cols], hint=join_hint, partition_keys=partition_keys)
     for v in values:
         out = out.withColumn(
             prefix + v,

@@ -88,3 +88,20 @@ def test_fact_plan_has_no_customer_only_window(spark):
             # only the lag over one-row-per-customer-day summaries may be
             # partitioned by the bare customer
             assert "RowFrame, -1, -1" in spec, spec
+
+
+def test_fact_rows_keep_their_split_partitioning(spark):
+    """Spark may rewrite a user repartition to match a coarser join side;
+    the fact's only row exchange must stay on (customer_id, __seg)."""
+    import re
+
+    from ledgerlake.plans.queries import canonical_fact
+
+    f = canonical_fact(spark, "/root/testdata/sf0.001")
+    f.write.format("noop").mode("overwrite").save()
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    plan = re.sub(r"#\d+L?", "", plan)
+    repartitions = re.findall(r"Exchange hashpartitioning\(([^)]*)\), REPARTITION_BY_COL", plan)
+    assert repartitions, plan
+    assert all(r.startswith("customer_id, __seg,") for r in repartitions), repartitions
+    assert "hashpartitioning(customer_id, 8), REPARTITION_BY_COL" not in plan
