@@ -48,8 +48,12 @@ def rapid_distribution_events(fact: DataFrame, t: Thresholds = DEFAULT) -> DataF
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__s", F.unix_timestamp("credit_time"))
     )
-    transfers = fact.filter(F.col("txn_type") == "TRANSFER").select(
-        "customer_id", s.alias("__s"), "to_account", "amount"
+    # Transfers pre-summed per (customer, second, payee): a burst of payments
+    # to one payee collapses map-side; sums and payee sets are unchanged.
+    transfers = (
+        fact.filter(F.col("txn_type") == "TRANSFER")
+        .groupBy("customer_id", s.alias("__s"), "to_account")
+        .agg(F.sum("amount").alias("amount"))
     )
     out = leading_window(
         credits,

@@ -17,7 +17,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import DEFAULT, Thresholds, get_session, scratch_path
+from ..config import DEFAULT, Thresholds, get_session, scratch_path, tune_session
 from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions
 from ..sources import binding, feeds
@@ -58,6 +58,7 @@ def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str])
 
 def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t: Thresholds = DEFAULT,
         checkpoint_root: str | None = None) -> dict[str, str]:
+    tune_session(spark)
     ckpt = checkpoint_root or f"{out}/_checkpoints"
     tables: dict[str, str] = {}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, TEST_WIDE
+from ..config import DEFAULT, TEST_WIDE, tune_session
 from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions
 from ..sources import binding
@@ -28,6 +28,7 @@ def query(name: str):
 
 
 def canonical_fact(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
+    tune_session(spark)
     ev = read_test_table(spark, sf_dir, "events")
     cu = read_test_table(spark, sf_dir, "customer")
     return fact_transactions(binding.transactions(ev), binding.customers(cu), t or DEFAULT)
