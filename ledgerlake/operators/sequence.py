@@ -131,12 +131,6 @@ def previous_by_day(
     return out.drop("__seg_first", "__carry", *tmp.values())
 
 
-def is_first_in(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Flag the first row (by ``order``) of each ``keys`` group."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w) == 1)
-
-
 def trailing_sum(
     df: DataFrame,
     keys: Sequence[str],
