@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
 from .fact import ORDER, SEGMENT_SECONDS
-from .sequence import leading_window, previous_by_day, segment_of
+from .sequence import forward_payees_and_total, previous_by_day, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
 
@@ -38,8 +38,8 @@ def rapid_distribution_events(fact: DataFrame, t: Thresholds = DEFAULT) -> DataF
 
     Equals an interval join credit x transfer grouped by (customer,
     credit_time) - including its fan-out: k credits at one instant multiply
-    the total by k - but evaluated as a forward RANGE window, so no pairs are
-    materialised.
+    the total by k - but evaluated as a linear sweep, so no pairs are
+    materialised and a busy customer costs O(rows), not O(rows x window).
     """
     s = F.unix_timestamp("txn_timestamp")
     credits = (
@@ -48,27 +48,19 @@ def rapid_distribution_events(fact: DataFrame, t: Thresholds = DEFAULT) -> DataF
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__s", F.unix_timestamp("credit_time"))
     )
-    # Transfers pre-summed per (customer, second, payee): a burst of payments
-    # to one payee collapses map-side; sums and payee sets are unchanged.
-    transfers = (
-        fact.filter(F.col("txn_type") == "TRANSFER")
-        .groupBy("customer_id", s.alias("__s"), "to_account")
-        .agg(F.sum("amount").alias("amount"))
+    transfers = fact.filter(F.col("txn_type") == "TRANSFER").select(
+        "customer_id", s.alias("__s"), "to_account", "amount"
     )
-    out = leading_window(
-        credits,
-        transfers,
-        ["customer_id"],
-        "__s",
-        t.rapid_window_seconds,
-        {"__payees": F.collect_set("to_account"), "__amount": F.sum("amount")},
+    out = forward_payees_and_total(
+        credits, transfers, ["customer_id"], "__s", "to_account", "amount", t.rapid_window_seconds
     )
-    return out.select(
+    # A credit with no transfer in its window has no joined row at all.
+    return out.filter(F.col("__payees") > 0).select(
         "customer_id",
         "credit_time",
-        F.size("__payees").cast("bigint").alias("unique_beneficiaries"),
+        F.col("__payees").alias("unique_beneficiaries"),
         (F.col("__amount") * F.col("__n")).alias("total_outgoing_amount"),
-    ).filter(F.col("total_outgoing_amount").isNotNull())
+    )
 
 
 def kpi_rapid_distribution(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:

@@ -11,16 +11,16 @@ entity key:
   one-row-per-(entity, segment) summary, whose own ``lag`` runs over at most
   one row per active segment of the entity (bounded by time span, not by
   the entity's row count).
-* ``trailing_sum`` — a ``RANGE BETWEEN span PRECEDING AND CURRENT ROW`` sum.
-  Values are first summed per (entity, second); each second is then placed in
-  its block ``floor(s / span)`` and copied once into the next block, so a
-  window over (entity, block) sees everything a trailing span needs.
-* ``leading_window`` — the forward mirror for probes: for each probe second
-  ``c``, aggregates of data rows in ``[c, c + span]``, with data rows copied
-  into the previous block.
-
-All three are plain DataFrame plans (aggregate, window, join), so Catalyst
-prunes columns and pushes filters through them.
+* ``trailing_sum`` — a ``RANGE BETWEEN span PRECEDING AND CURRENT ROW`` sum,
+  evaluated as a linear sweep of +v/-v events over (entity, block) groups.
+* ``forward_payees_and_total`` — for probe times ``c``: distinct payees and
+  total of transfers in ``[c, c + span]``, as a sweep over merged intervals.
+
+Spark evaluates a sliding RANGE frame by re-aggregating the whole frame for
+every row (quadratic for a busy entity); both sweeps only use running sums
+(UNBOUNDED PRECEDING), which Spark evaluates incrementally. All operators are
+plain DataFrame plans (aggregate, window, join), so Catalyst prunes columns
+and pushes filters through them.
 """
 
 from __future__ import annotations
@@ -131,6 +131,16 @@ def previous_by_day(
     return out.drop("__seg_first", "__carry", *tmp.values())
 
 
+def _running_sum(events: DataFrame, partition: Sequence, time: str, deltas: Sequence[str]) -> DataFrame:
+    """Running sums of ``deltas`` over ``time`` (peers included). An
+    UNBOUNDED PRECEDING frame is evaluated incrementally by Spark, unlike a
+    sliding RANGE frame, which re-aggregates the whole frame for every row."""
+    w = Window.partitionBy(*partition).orderBy(time).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    for d in deltas:
+        events = events.withColumn(d, F.sum(d).over(w))
+    return events
+
+
 def trailing_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -143,59 +153,100 @@ def trailing_sum(
     """Per (keys, second): sum of ``value`` over the key's rows whose
     ``seconds`` lies in ``[s - span, s]`` (both ends included).
 
-    Returns one row per distinct (keys, carry_cols, seconds) — join it back on
+    Returns one row per distinct (keys, carry_cols, seconds) - join it back on
     those columns. ``carry_cols`` must be functionally dependent on
-    ``seconds`` (e.g. the date), they only keep the join co-partitioned.
+    ``seconds`` (e.g. a segment index); they only keep the join co-partitioned.
+
+    Linear sweep: every per-second value enters the window as ``+v`` at ``s``
+    and leaves as ``-v`` at ``s + span + 1``, so the running sum of events up
+    to ``s`` is the window sum. Seconds are grouped in blocks of one span;
+    block ``k`` also receives the events of block ``k - 1`` (the only earlier
+    rows that can still be inside a window ending in block ``k``), so a
+    partition never holds more than two spans of one key.
     """
     keys, carry_cols = list(keys), list(carry_cols)
     per_second = df.groupBy(*keys, *carry_cols, seconds).agg(F.sum(value).alias("__v"))
     block = F.floor(F.col(seconds) / F.lit(span))
-    copies = per_second.select(
-        "*",
-        F.explode(F.array(F.struct(block.alias("b"), F.lit(True).alias("own")),
-                          F.struct((block + 1).alias("b"), F.lit(False).alias("own")))).alias("__copy"),
-    )
-    w = Window.partitionBy(*keys, F.col("__copy.b")).orderBy(F.col(seconds)).rangeBetween(-span, 0)
-    return (
-        copies.withColumn(name, F.sum("__v").over(w))
-        .filter(F.col("__copy.own"))
-        .select(*keys, *carry_cols, seconds, name)
-    )
-
-
-def leading_window(
+    events = per_second.select(
+        *keys,
+        *carry_cols,
+        seconds,
+        F.explode(
+            F.array(
+                # (block, event time, delta, is the output row)
+                F.struct(block.alias("b"), F.col(seconds).alias("t"), F.col("__v").alias("d"), F.lit(True).alias("o")),
+                F.struct((block + 1).alias("b"), F.col(seconds).alias("t"), F.col("__v").alias("d"),
+                         F.lit(False).alias("o")),
+                F.struct(block.alias("b"), (F.col(seconds) + span + 1).alias("t"), (-F.col("__v")).alias("d"),
+                         F.lit(False).alias("o")),
+                F.struct((block + 1).alias("b"), (F.col(seconds) + span + 1).alias("t"), (-F.col("__v")).alias("d"),
+                         F.lit(False).alias("o")),
+            )
+        ).alias("__e"),
+    ).select(*keys, *carry_cols, seconds, "__e.*")
+    swept = _running_sum(events, [*keys, "b"], "t", ["d"])
+    return swept.filter(F.col("o")).select(*keys, *carry_cols, seconds, F.col("d").alias(name))
+
+
+def forward_payees_and_total(
     probes: DataFrame,
-    data: DataFrame,
+    transfers: DataFrame,
     keys: Sequence[str],
     seconds: str,
+    payee: str,
+    amount: str,
     span: int,
-    aggs: dict[str, Column],
 ) -> DataFrame:
-    """For each probe row, window aggregates over ``data`` rows of the same
-    ``keys`` with ``seconds`` in ``[probe_s, probe_s + span]`` (whole seconds,
-    both ends included).
-
-    ``aggs`` maps output names to aggregate functions over ``data`` columns
-    (e.g. ``F.sum("amount")``, ``F.collect_set("to_account")``); they are
-    evaluated over a RANGE frame, and probe rows carry NULLs in data columns
-    so they never contribute. Returns the probe columns plus the aggregates.
-    No (probe, data) pairs are materialised: each data row is copied at most
-    once, into the block before its own, and frames never cross a block pair.
+    """For each probe second ``c``: distinct ``payee`` values and total
+    ``amount`` of the key's transfers with seconds in ``[c, c + span]``.
+
+    Returns the probe rows plus ``__payees`` (bigint) and ``__amount``.
+
+    Linear sweep, no pairs: a transfer at ``t`` covers probe times
+    ``[t - span, t]``. Per (key, block, payee) the covering intervals are
+    merged (``lag``/``lead`` inside the block), so a ``+1`` at each merged
+    start and ``-1`` after each merged end count distinct payees; ``+amount``
+    at ``t - span`` and ``-amount`` at ``t + 1`` give the total. Probes in
+    block ``k`` only need transfers of blocks ``k`` and ``k + 1``, so each
+    transfer is placed in its own block and the one before it.
     """
     keys = list(keys)
-    block = F.floor(F.col(seconds) / F.lit(span))
-    probe_cols = [c for c in probes.columns if c not in keys and c != seconds]
-    data_cols = [c for c in data.columns if c not in keys and c != seconds]
+    per_second = transfers.groupBy(*keys, payee, F.col(seconds).alias("__t")).agg(F.sum(amount).alias("__a"))
+    block = F.floor(F.col("__t") / F.lit(span))
+    copies = per_second.select("*", F.explode(F.array(block, block - 1)).alias("__b"))
+    by_payee = Window.partitionBy(*keys, "__b", payee).orderBy("__t")
+    copies = copies.withColumn("__prev", F.lag("__t").over(by_payee)).withColumn(
+        "__next", F.lead("__t").over(by_payee)
+    )
+    starts = F.col("__prev").isNull() | (F.col("__prev") < F.col("__t") - span)
+    ends = F.col("__next").isNull() | (F.col("__next") > F.col("__t") + span)
+    events = copies.select(
+        *keys,
+        "__b",
+        F.explode(
+            F.array(
+                F.struct((F.col("__t") - span).alias("__time"), F.when(starts, 1).otherwise(0).alias("__dp"),
+                         F.col("__a").alias("__da")),
+                F.struct((F.col("__t") + 1).alias("__time"), F.when(ends, -1).otherwise(0).alias("__dp"),
+                         (-F.col("__a")).alias("__da")),
+            )
+        ).alias("__e"),
+    ).select(*keys, "__b", "__e.*", F.lit(False).alias("__probe"))
+    probe_cols = [c for c in probes.columns if c not in keys]
     p = probes.select(
-        *keys, seconds, block.alias("__b"), F.lit(True).alias("__probe"),
-        *probe_cols, *[F.lit(None).cast(data.schema[c].dataType).alias(c) for c in data_cols],
+        *keys,
+        F.floor(F.col(seconds) / F.lit(span)).alias("__b"),
+        F.col(seconds).alias("__time"),
+        F.lit(0).alias("__dp"),
+        F.lit(0).cast(events.schema["__da"].dataType).alias("__da"),
+        F.lit(True).alias("__probe"),
+        F.struct(*probe_cols).alias("__row"),
     )
-    d = data.select(
-        *keys, seconds, F.explode(F.array(block, block - 1)).alias("__b"), F.lit(False).alias("__probe"),
-        *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in probe_cols], *data_cols,
+    events = events.withColumn("__row", F.lit(None).cast(p.schema["__row"].dataType))
+    swept = _running_sum(p.unionByName(events), [*keys, "__b"], "__time", ["__dp", "__da"])
+    return swept.filter(F.col("__probe")).select(
+        *keys,
+        *[F.col("__row").getField(c).alias(c) for c in probe_cols],
+        F.col("__dp").cast("bigint").alias("__payees"),
+        F.col("__da").alias("__amount"),
     )
-    w = Window.partitionBy(*keys, "__b").orderBy(F.col(seconds)).rangeBetween(0, span)
-    both = p.unionByName(d)
-    for name, agg in aggs.items():
-        both = both.withColumn(name, agg.over(w))
-    return both.filter(F.col("__probe")).select(*keys, seconds, *probe_cols, *aggs.keys())

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.sequence import leading_window, previous_by_day, trailing_sum
+from ledgerlake.operators.sequence import forward_payees_and_total, previous_by_day, trailing_sum
 
 
 def _random_rows(n=600, seed=7):
@@ -53,18 +53,19 @@ def test_trailing_sum_equals_range_window(spark):
         assert sorted(got.collect()) == sorted(want.collect()), span
 
 
-def test_leading_window_equals_pairwise_join(spark):
+def test_forward_payees_and_total_equals_pairwise_join(spark):
     df = _df(spark)
     probes = df.filter(F.col("v") % 3 == 0).groupBy("k", "s").agg(F.count("*").alias("n"))
     data = df.filter(F.col("v") % 3 != 0).select("k", "s", "p", "v")
-    span = 1800
-    got = leading_window(probes, data, ["k"], "s", span, {"payees": F.collect_set("p"), "tot": F.sum("v")})
-    got = got.select("k", "s", "n", F.size("payees").alias("np"), "tot")
-    j = probes.alias("a").join(data.alias("b"), (F.col("a.k") == F.col("b.k"))
-                               & (F.col("b.s") - F.col("a.s")).between(0, span))
-    want = j.groupBy("a.k", "a.s", "a.n").agg(F.countDistinct("b.p").alias("np"), F.sum("b.v").alias("tot"))
-    got_rows = sorted(r for r in got.collect() if r["tot"] is not None)
-    assert got_rows == sorted(want.collect())
+    for span in (1800, 86400):
+        got = forward_payees_and_total(probes.withColumn("c", F.col("s")), data, ["k"], "s", "p", "v", span)
+        got = got.filter("__payees > 0").select("k", "c", "n", F.col("__payees").alias("np"),
+                                                F.col("__amount").alias("tot"))
+        j = probes.alias("a").join(data.alias("b"), (F.col("a.k") == F.col("b.k"))
+                                   & (F.col("b.s") - F.col("a.s")).between(0, span))
+        want = j.groupBy("a.k", F.col("a.s").alias("c"), "a.n").agg(
+            F.countDistinct("b.p").alias("np"), F.sum("b.v").alias("tot"))
+        assert sorted(got.collect()) == sorted(want.collect()), span
 
 
 def test_fact_plan_has_no_customer_only_window(spark):
