@@ -201,7 +201,10 @@ def fact_transactions(
     """The 32-column transaction fact from current transactions and customers.
 
     ``segment_seconds`` sets the time slice that bounds row-level window
-    groups (results do not depend on it)."""
+    groups (results do not depend on it). It must divide a day, so that a
+    segment never straddles two dates."""
+    if segment_seconds <= 0 or 86400 % segment_seconds:
+        raise ValueError(f"segment_seconds must divide 86400, got {segment_seconds}")
     rows = add_time_columns(apply_txn_null_rules(txns), segment_seconds)
     df = apply_customer_null_rules(join_customers(rows, customers))
     df = add_row_flags(df, t)

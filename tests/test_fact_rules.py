@@ -99,3 +99,16 @@ def test_ip_history_falls_back_to_current(spark):
     assert (f["000002"]["previous_ip_city"], f["000002"]["previous_ip_country"]) == ("Pune", "India")
     assert f["000003"]["previous_ip_city"] == "Ottawa"  # first on that IP
     assert f["000004"]["previous_ip_city"] == "Toronto"  # carried across days on the same IP
+
+
+def test_segment_size_does_not_change_results(spark):
+    import pytest
+
+    rows = [txn(i, T0 + dt.timedelta(minutes=37 * i), to_account=f"P{i % 3}", ip_address=f"10.0.0.{i % 2}",
+                location_country=["India", "Canada"][i % 2], amount=1000 * (i + 1)) for i in range(40)]
+    base = sorted(fact_transactions(make_txns(spark, rows), default_customers(spark)).collect())
+    for seconds in (1, 3600, 86400):
+        got = sorted(fact_transactions(make_txns(spark, rows), default_customers(spark), segment_seconds=seconds).collect())
+        assert got == base, seconds
+    with pytest.raises(ValueError):
+        fact_transactions(make_txns(spark, rows), default_customers(spark), segment_seconds=7)
