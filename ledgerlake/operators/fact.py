@@ -4,14 +4,17 @@ customers, with null rules, flags and the per-customer sequence features.
 Physical shape (see ``explain``): the customer join is a broadcast when the
 current customer table fits the broadcast threshold (Spark/AQE check its
 size), otherwise a sort-merge join that AQE splits on skewed keys. The rows
-are then hash-partitioned once on ``(customer_id, __seg)``, ``__seg`` being a
-one-minute slice of time; every window below is partitioned by a superset of
-those columns and every summary is joined back on a superset of them, so no
-further exchange of the fact rows is needed. Summaries (one row per
-customer-minute, customer-payee-minute, customer-ip-minute, customer-second,
-customer-day) are the only other data that moves, each combined map-side
-before its shuffle. A customer holding a third of all rows is therefore
-spread over as many tasks as it has active minutes.
+are then hash-partitioned once on ``(customer_id, __seg)``. ``__seg`` is a
+one-minute slice of time for hot customers (the largest, found by a cheap
+count and a bounded top-k) and 0 for everyone else. Every window below is
+partitioned by a superset of those columns and every summary is joined back
+on a superset of them, so no further exchange of the fact rows is needed.
+Summaries (per customer-segment-day, customer-payee-segment,
+customer-ip-segment and customer-second) are the only other data that moves,
+each combined map-side before its shuffle; for unsplit customers the first
+three collapse to customer-day / customer-payee / customer-ip level. A
+customer holding a third of all rows is spread over as many tasks as it has
+active minutes.
 """
 
 from __future__ import annotations
@@ -90,18 +93,50 @@ def apply_customer_null_rules(df: DataFrame) -> DataFrame:
     )
 
 
-SEGMENT_SECONDS = 60  # row-level window groups: one customer-minute
+SEGMENT_SECONDS = 60  # time slice of a hot customer's row-level window groups
+HOT_KEYS = 100_000  # at most this many customers are split (a bounded broadcast)
+HOT_MIN_ROWS = 1_000_000  # ... and only customers with at least this many rows
 
 
-def add_time_columns(df: DataFrame, segment_seconds: int = SEGMENT_SECONDS) -> DataFrame:
-    """txn_date, txn_hour, whole epoch seconds ``__s`` and the segment index
-    ``__seg`` (internal)."""
+def hot_customers(rows: DataFrame, hot_keys: int = HOT_KEYS, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+    """The customers whose rows are split by time: the ``hot_keys`` largest
+    with at least ``hot_min_rows`` rows. Counting is a partial aggregate; the
+    top-k is taken per partition and merged, so the result has at most
+    ``hot_keys`` rows. Any customer left out holds at most N / (hot_keys + 1)
+    of the N rows (otherwise more than ``hot_keys`` customers would each
+    hold more), so every unsplit group is bounded too."""
+    counts = rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias("__rows"))
     return (
+        counts.filter(F.col("__rows") >= hot_min_rows)
+        .orderBy(F.col("__rows").desc(), F.col("customer_id"))
+        .limit(hot_keys)
+        .select("customer_id")
+    )
+
+
+def add_time_columns(
+    df: DataFrame,
+    segment_seconds: int = SEGMENT_SECONDS,
+    hot_keys: int = HOT_KEYS,
+    hot_min_rows: int = HOT_MIN_ROWS,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """txn_date, txn_hour, whole epoch seconds ``__s`` and the segment index
+    ``__seg`` (internal): the time slice for hot customers, 0 (one segment
+    holding all rows) for everyone else. ``hot`` is a precomputed
+    :func:`hot_customers` table (e.g. materialised once per run); when
+    omitted it is computed from ``df``."""
+    df = (
         df.withColumn("txn_date", F.to_date("txn_timestamp"))
         .withColumn("txn_hour", F.hour("txn_timestamp"))
         .withColumn("__s", F.unix_timestamp("txn_timestamp"))
-        .withColumn("__seg", F.floor(F.col("__s") / F.lit(segment_seconds)))
     )
+    # The hot list has at most ``hot_keys`` rows: a broadcast of proven size.
+    if hot is None:
+        hot = hot_customers(df, hot_keys, hot_min_rows)
+    df = df.join(F.broadcast(hot.select("customer_id", F.lit(True).alias("__hot"))), "customer_id", "left")
+    seg = F.when(F.col("__hot"), F.floor(F.col("__s") / F.lit(segment_seconds))).otherwise(F.lit(0))
+    return df.withColumn("__seg", seg.cast("bigint")).drop("__hot")
 
 
 def add_row_flags(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
@@ -126,10 +161,11 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
     base = df.repartition(*split)
     rows = df if rows is None else rows
 
-    # Per customer-segment summary: row count, amount and last timestamp.
+    # Per customer-segment-day summary: row count, amount and last timestamp.
     # Daily count/total are window sums over the segments of a day (at most
     # 1440 rows for one-minute segments); the previous segment's last
-    # timestamp is a lag over one row per active segment.
+    # timestamp is a lag over one row per active segment (and day: an unsplit
+    # customer is one segment spanning days, whose first row needs no carry).
     per_seg = rows.groupBy("customer_id", "txn_date", "__seg").agg(
         F.count("txn_id").alias("__n"),
         F.sum("amount").alias("__amt"),
@@ -142,7 +178,7 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
         "__seg",
         F.sum("__n").over(day).alias("daily_txn_count"),
         F.sum("__amt").over(day).cast("decimal(28,2)").alias("daily_total_amount"),
-        F.lag("__last").over(Window.partitionBy("customer_id").orderBy("__seg")).alias("__prev_seg_last"),
+        F.lag("__last").over(Window.partitionBy("customer_id").orderBy("__seg", "txn_date")).alias("__prev_seg_last"),
     )
     # Distinct payees per day: Spark plans a partial distinct aggregate.
     payees = rows.groupBy("customer_id", "txn_date").agg(
@@ -196,16 +232,23 @@ def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thres
 
 
 def fact_transactions(
-    txns: DataFrame, customers: DataFrame, t: Thresholds = DEFAULT, segment_seconds: int = SEGMENT_SECONDS
+    txns: DataFrame,
+    customers: DataFrame,
+    t: Thresholds = DEFAULT,
+    segment_seconds: int = SEGMENT_SECONDS,
+    hot_keys: int = HOT_KEYS,
+    hot_min_rows: int = HOT_MIN_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """The 32-column transaction fact from current transactions and customers.
 
-    ``segment_seconds`` sets the time slice that bounds row-level window
-    groups (results do not depend on it). It must divide a day, so that a
-    segment never straddles two dates."""
+    ``segment_seconds`` sets the time slice that bounds the row-level window
+    groups of hot customers (see :func:`hot_customers`); results do not
+    depend on it, nor on which customers are split. It must divide a day, so
+    that a split segment never straddles two dates."""
     if segment_seconds <= 0 or 86400 % segment_seconds:
         raise ValueError(f"segment_seconds must divide 86400, got {segment_seconds}")
-    rows = add_time_columns(apply_txn_null_rules(txns), segment_seconds)
+    rows = add_time_columns(apply_txn_null_rules(txns), segment_seconds, hot_keys, hot_min_rows, hot)
     df = apply_customer_null_rules(join_customers(rows, customers))
     df = add_row_flags(df, t)
     df = add_sequence_features(df, rows, t)

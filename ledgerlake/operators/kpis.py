@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
-from .fact import ORDER, SEGMENT_SECONDS
+from .fact import ORDER, SEGMENT_SECONDS, hot_customers
 from .sequence import forward_payees_and_total, previous_by_day, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
@@ -120,8 +120,13 @@ def kpi_transaction_velocity(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFr
 
 def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """KPI 6: on one (customer, IP) the country changed within N minutes."""
+    rows = fact.withColumn("__s", F.unix_timestamp("txn_timestamp"))
+    hot = F.broadcast(hot_customers(rows).select("customer_id", F.lit(True).alias("__hot")))  # <= HOT_KEYS rows
+    rows = rows.join(hot, "customer_id", "left").withColumn(
+        "__seg", F.when(F.col("__hot"), segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)).otherwise(F.lit(0))
+    )
     df = previous_by_day(
-        fact.withColumn("__seg", segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)),
+        rows,
         ["customer_id", "ip_address"],
         "__seg",
         ORDER,

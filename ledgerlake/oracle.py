@@ -414,6 +414,7 @@ def register(name: str, sql: str) -> None:
 
 
 register("fact_transactions", with_fact(f"SELECT {FACT_COLUMNS} FROM fact"))
+register("fact_transactions_split", ORACLE["fact_transactions"])
 register("report_daily", sql_report_daily())
 register(
     "report_monthly",

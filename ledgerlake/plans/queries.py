@@ -39,6 +39,16 @@ def q_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_fact(spark, sf_dir)
 
 
+@query("fact_transactions_split")
+def q_fact_transactions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same fact with every customer treated as hot (split by minute): the
+    segmented path checked against the same oracle."""
+    tune_session(spark)
+    ev = read_test_table(spark, sf_dir, "events")
+    cu = read_test_table(spark, sf_dir, "customer")
+    return fact_transactions(binding.transactions(ev), binding.customers(cu), DEFAULT, hot_min_rows=0)
+
+
 @query("report_daily")
 def q_report_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_daily(canonical_fact(spark, sf_dir))

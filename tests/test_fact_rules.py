@@ -3,6 +3,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import T0, default_customers, make_customers, make_txns, txn
 
 from ledgerlake.operators.fact import fact_transactions
@@ -101,14 +103,29 @@ def test_ip_history_falls_back_to_current(spark):
     assert f["000004"]["previous_ip_city"] == "Toronto"  # carried across days on the same IP
 
 
-def test_segment_size_does_not_change_results(spark):
+def test_segment_size_and_hot_split_do_not_change_results(spark):
     import pytest
 
     rows = [txn(i, T0 + dt.timedelta(minutes=37 * i), to_account=f"P{i % 3}", ip_address=f"10.0.0.{i % 2}",
                 location_country=["India", "Canada"][i % 2], amount=1000 * (i + 1)) for i in range(40)]
-    base = sorted(fact_transactions(make_txns(spark, rows), default_customers(spark)).collect())
-    for seconds in (1, 3600, 86400):
-        got = sorted(fact_transactions(make_txns(spark, rows), default_customers(spark), segment_seconds=seconds).collect())
-        assert got == base, seconds
+    rows += [txn(100 + i, T0 + dt.timedelta(minutes=53 * i), customer_id="2", account_id="AC2",
+                 to_account=f"P{i % 2}") for i in range(15)]
+    txns, custs = make_txns(spark, rows), default_customers(spark)
+    base = sorted(fact_transactions(txns, custs).collect())  # nobody is hot: one segment per customer
+    variants = [dict(segment_seconds=s, hot_min_rows=0) for s in (1, 60, 3600, 86400)]
+    variants.append(dict(segment_seconds=60, hot_min_rows=0, hot_keys=1))  # only the largest customer split
+    for kw in variants:
+        assert sorted(fact_transactions(txns, custs, **kw).collect()) == base, kw
     with pytest.raises(ValueError):
-        fact_transactions(make_txns(spark, rows), default_customers(spark), segment_seconds=7)
+        fact_transactions(txns, custs, segment_seconds=7)
+
+
+def test_hot_customers_is_bounded_top_k(spark):
+    from ledgerlake.operators.fact import add_time_columns, hot_customers
+
+    rows = [txn(i, T0 + dt.timedelta(minutes=i), customer_id=str(i % 4 if i < 60 else 9)) for i in range(100)]
+    df = add_time_columns(make_txns(spark, rows), 60, hot_keys=2, hot_min_rows=1)
+    hot = {r["customer_id"] for r in hot_customers(make_txns(spark, rows), hot_keys=2, hot_min_rows=1).collect()}
+    assert len(hot) == 2 and "9" in hot  # customer 9 has 40 rows, the others 15
+    segs = {r["customer_id"]: r["n"] for r in df.groupBy("customer_id").agg(F.countDistinct("__seg").alias("n")).collect()}
+    assert segs["9"] > 1 and all(segs[c] == 1 for c in segs if c not in hot)
