@@ -1,10 +1,11 @@
 """Gold ``fact_transactions``: current transactions joined to current
 customers, with null rules, flags and the per-customer sequence features.
 
-Physical shape (see ``explain``): the customer join is a broadcast when the
-current customer table fits the broadcast threshold (Spark/AQE check its
-size), otherwise a sort-merge join that AQE splits on skewed keys. The rows
-are then hash-partitioned once on ``(customer_id, __seg)``. ``__seg`` is a
+Physical shape (see ``explain``): the transaction rows are hash-partitioned
+once on ``(customer_id, __seg)``; the customer attributes are joined after
+that, expanded to the transactions' (customer, account, segment) keys and
+shuffled to the same partitioning, so a customer table too big to broadcast
+costs a customer-sized shuffle, not a second shuffle of the fact. ``__seg`` is a
 one-minute slice of time for hot customers (the largest, found by a cheap
 count and a bounded top-k) and 0 for everyone else. Every window below is
 partitioned by a superset of those columns and every summary is joined back
@@ -51,9 +52,24 @@ FACT_COLUMNS = [
 ]
 
 
-def join_customers(txns: DataFrame, customers: DataFrame) -> DataFrame:
-    """Left join on (customer_id, account_id), customer side pruned first."""
-    return txns.join(customers.select(*CUSTOMER_COLUMNS), ["customer_id", "account_id"], "left")
+SPLIT = ["customer_id", "__seg"]  # the one hash partitioning of the fact rows
+
+
+def join_customers(base: DataFrame, rows: DataFrame, customers: DataFrame) -> DataFrame:
+    """Left join of the (already split) fact rows to customers on
+    (customer_id, account_id), without moving the fact rows again.
+
+    The customer attributes are expanded to the distinct (customer, account,
+    segment) keys of the transactions (customer-sized: one segment per
+    unsplit customer) and shuffled to the fact's partitioning, so the join
+    is co-partitioned whether or not the customer table is small enough to
+    broadcast.
+    """
+    keys = ["customer_id", "account_id", "__seg"]
+    per_segment = rows.select(*keys).distinct().join(
+        customers.select(*CUSTOMER_COLUMNS), ["customer_id", "account_id"], "inner"
+    )
+    return base.join(per_segment.repartition(*SPLIT).hint("shuffle_hash"), keys, "left")
 
 
 def apply_txn_null_rules(df: DataFrame) -> DataFrame:
@@ -148,17 +164,20 @@ def add_row_flags(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     )
 
 
-def add_sequence_features(df: DataFrame, rows: DataFrame | None = None, t: Thresholds = DEFAULT) -> DataFrame:
+def add_sequence_features(
+    df: DataFrame, rows: DataFrame | None = None, t: Thresholds = DEFAULT, split_done: bool = False
+) -> DataFrame:
     """Velocity gap, new-beneficiary flag, daily totals, rolling 7-day sum and
     same-IP previous location.
 
     ``df`` needs the columns of :func:`add_time_columns`. ``rows`` (the same
     transactions before any join, default ``df``) feeds the summaries: each
     is a partial aggregate over ``rows`` shuffled on its own keys, so a hot
-    customer is combined map-side before anything moves.
+    customer is combined map-side before anything moves. ``split_done``: ``df``
+    is already hash-partitioned on :data:`SPLIT`.
     """
-    split = ["customer_id", "__seg"]  # the one hash partitioning of the fact rows
-    base = df.repartition(*split)
+    split = SPLIT
+    base = df if split_done else df.repartition(*split)
     rows = df if rows is None else rows
 
     # Per customer-segment-day summary: row count, amount and last timestamp.
@@ -249,7 +268,8 @@ def fact_transactions(
     if segment_seconds <= 0 or 86400 % segment_seconds:
         raise ValueError(f"segment_seconds must divide 86400, got {segment_seconds}")
     rows = add_time_columns(apply_txn_null_rules(txns), segment_seconds, hot_keys, hot_min_rows, hot)
-    df = apply_customer_null_rules(join_customers(rows, customers))
+    base = rows.repartition(*SPLIT)  # the only exchange of full fact rows
+    df = apply_customer_null_rules(join_customers(base, rows, customers))
     df = add_row_flags(df, t)
-    df = add_sequence_features(df, rows, t)
+    df = add_sequence_features(df, rows, t, split_done=True)
     return df.select(*FACT_COLUMNS)

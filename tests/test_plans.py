@@ -58,5 +58,6 @@ def test_no_python_in_any_plan(spark, fact_path):
 def test_fact_rows_shuffled_once(spark):
     plan = _plan(canonical_fact(spark, SF))
     fact_exchanges = re.findall(r"Exchange hashpartitioning\(customer_id, __seg, \d+\), REPARTITION_BY_COL", plan)
-    # one for the fact rows plus one per summary joined back (pinned to the same keys)
-    assert len(fact_exchanges) == 5, fact_exchanges
+    # one for the fact rows plus one per table joined back (customers and four
+    # summaries, all pinned to the same keys)
+    assert len(fact_exchanges) == 6, fact_exchanges
