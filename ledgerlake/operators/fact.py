@@ -7,7 +7,7 @@ that, expanded to the transactions' (customer, account, segment) keys and
 shuffled to the same partitioning, so a customer table too big to broadcast
 costs a customer-sized shuffle, not a second shuffle of the fact. ``__seg`` is a
 one-minute slice of time for hot customers (the largest, found by a cheap
-count and a bounded top-k) and 0 for everyone else. Every window below is
+count and a bounded top-k) and a single constant segment for everyone else. Every window below is
 partitioned by a superset of those columns and every summary is joined back
 on a superset of them, so no further exchange of the fact rows is needed.
 Summaries (per customer-segment-day, customer-payee-segment,
@@ -55,6 +55,14 @@ FACT_COLUMNS = [
 SPLIT = ["customer_id", "__seg"]  # the one hash partitioning of the fact rows
 
 
+UNSPLIT = -(2**63)  # segment of every customer that is not split (no time slice has it)
+
+
+def split_rows():
+    """Rows of hot customers (everyone else is in segment :data:`UNSPLIT`)."""
+    return F.col("__seg") != F.lit(UNSPLIT)
+
+
 def join_customers(base: DataFrame, rows: DataFrame, customers: DataFrame) -> DataFrame:
     """Left join of the (already split) fact rows to customers on
     (customer_id, account_id), without moving the fact rows again.
@@ -138,8 +146,8 @@ def add_time_columns(
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """txn_date, txn_hour, whole epoch seconds ``__s`` and the segment index
-    ``__seg`` (internal): the time slice for hot customers, 0 (one segment
-    holding all rows) for everyone else. ``hot`` is a precomputed
+    ``__seg`` (internal): the time slice for hot customers, :data:`UNSPLIT`
+    (one segment holding all rows) for everyone else. ``hot`` is a precomputed
     :func:`hot_customers` table (e.g. materialised once per run); when
     omitted it is computed from ``df``."""
     df = (
@@ -151,7 +159,7 @@ def add_time_columns(
     if hot is None:
         hot = hot_customers(df, hot_keys, hot_min_rows)
     df = df.join(F.broadcast(hot.select("customer_id", F.lit(True).alias("__hot"))), "customer_id", "left")
-    seg = F.when(F.col("__hot"), F.floor(F.col("__s") / F.lit(segment_seconds))).otherwise(F.lit(0))
+    seg = F.when(F.col("__hot"), F.floor(F.col("__s") / F.lit(segment_seconds))).otherwise(F.lit(UNSPLIT))
     return df.withColumn("__seg", seg.cast("bigint")).drop("__hot")
 
 
@@ -217,7 +225,7 @@ def add_sequence_features(
     # (any type) is absent or more than N days earlier.
     out = previous_by_day(
         out, ["customer_id", "to_account"], "__seg", ORDER, ["txn_timestamp"], "__ben_", summary_source=rows,
-        partition_keys=split,
+        partition_keys=split, summary_filter=split_rows(),
     )
     prev_ben = F.col("__ben_txn_timestamp")
     is_new = (F.col("txn_type") == "TRANSFER") & (
@@ -243,6 +251,7 @@ def add_sequence_features(
         "__ip_",
         summary_source=rows,
         partition_keys=split,
+        summary_filter=split_rows(),
     )
     out = out.withColumn("previous_ip_city", F.coalesce("__ip_location_city", "location_city")).withColumn(
         "previous_ip_country", F.coalesce("__ip_location_country", "location_country")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
-from .fact import ORDER, SEGMENT_SECONDS, hot_customers
+from .fact import ORDER, SEGMENT_SECONDS, UNSPLIT, hot_customers, split_rows
 from .sequence import forward_payees_and_total, previous_by_day, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
@@ -123,7 +123,7 @@ def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame
     rows = fact.withColumn("__s", F.unix_timestamp("txn_timestamp"))
     hot = F.broadcast(hot_customers(rows).select("customer_id", F.lit(True).alias("__hot")))  # <= HOT_KEYS rows
     rows = rows.join(hot, "customer_id", "left").withColumn(
-        "__seg", F.when(F.col("__hot"), segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)).otherwise(F.lit(0))
+        "__seg", F.when(F.col("__hot"), segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)).otherwise(F.lit(UNSPLIT))
     )
     df = previous_by_day(
         rows,
@@ -132,6 +132,7 @@ def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame
         ORDER,
         ["location_city", "location_country", "txn_timestamp"],
         "__p_",
+        summary_filter=split_rows(),
     )
     df = df.withColumn(
         "time_diff_minutes",

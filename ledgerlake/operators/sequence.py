@@ -71,6 +71,7 @@ def previous_by_day(
     join_hint: str | None = "shuffle_hash",
     reverse: bool = False,
     partition_keys: Sequence[str] | None = None,
+    summary_filter: Column | None = None,
 ) -> DataFrame:
     """Add ``prefix + v`` = value ``v`` of the previous row of the same ``keys``.
 
@@ -93,6 +94,10 @@ def previous_by_day(
     keys + segment). When omitted, ``df`` is repartitioned on keys + segment
     here. Either way the summary is shuffled to the same partitioning before
     the join, so the row-level split is never replaced by a coarser one.
+
+    ``summary_filter`` restricts the summary to rows of entities that span
+    several segments; an entity with a single segment never needs a carry,
+    so leaving it out of the summary changes nothing but its size.
     """
     keys, order, values = list(keys), list(order), list(values)
     seg_cols = [segment] if isinstance(segment, str) else list(segment)
@@ -110,6 +115,8 @@ def previous_by_day(
     # One row per (key, segment): the segment's last row (first, when
     # reversed), then that row of the neighbouring active segment of the key.
     src = df if summary_source is None else summary_source
+    if summary_filter is not None:
+        src = src.filter(summary_filter)
     edge_max, edge_by = (F.min, F.min_by) if reverse else (F.max, F.max_by)
     if values == order[:1]:
         # Only the leading order column is needed: a plain max/min (hash aggregate).
