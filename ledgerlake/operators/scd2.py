@@ -6,9 +6,11 @@ version). Rows with an equal (key, sequence) collapse to one. With
 ``track_columns`` a row equal (null-safe) to its predecessor on those
 columns is not a new version.
 
-Both ``lead`` and the change test run segmented by hour of the sequence
-(:func:`previous_by_day`), so a key with a huge number of versions is split
-across tasks; duplicates collapse in a partial aggregate before any shuffle.
+Both ``lead`` and the change test run inside (key, segment) groups
+(:func:`previous_by_day`): a key with a huge number of versions (one of the
+bounded top-k) is split by hour of its sequence, every other key is one
+segment and needs no carry summary. Duplicates collapse in a partial
+aggregate before any shuffle.
 
 The incremental form (:func:`merge_increment`) rebuilds only the keys present
 in a batch: their existing history is selected with a semi join and the rest
@@ -28,11 +30,27 @@ from .sequence import previous_by_day, segment_of
 START, END = "__START_AT", "__END_AT"
 
 
-SEGMENT_SECONDS = 3600
+SEGMENT_SECONDS = 3600  # time slice of a hot key's versions
+HOT_KEYS = 100_000  # at most this many keys are split (a bounded broadcast)
+HOT_MIN_VERSIONS = 10_000  # ... and only keys with at least this many versions
+UNSPLIT = -(2**63)
 
 
-def _segment_of(seq: str):
-    return segment_of(F.col(seq).cast("timestamp_ntz"), SEGMENT_SECONDS)
+def _with_segments(rows: DataFrame, keys: list[str], sequence: str, hot_keys: int, hot_min_versions: int) -> DataFrame:
+    """Hour segments for the keys with the most versions (bounded top-k),
+    one segment (:data:`UNSPLIT`) for every other key."""
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__versions"))
+        .filter(F.col("__versions") >= hot_min_versions)
+        .orderBy(F.col("__versions").desc(), *keys)
+        .limit(hot_keys)
+        .select(*keys, F.lit(True).alias("__hot"))
+    )
+    seg = F.when(
+        F.col("__hot"), segment_of(F.col(sequence).cast("timestamp_ntz"), SEGMENT_SECONDS)
+    ).otherwise(F.lit(UNSPLIT))
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("__day", seg.cast("bigint")).drop("__hot")
 
 
 def rebuild(
@@ -40,29 +58,34 @@ def rebuild(
     keys: Sequence[str],
     sequence: str,
     track_columns: Sequence[str] | None = None,
+    hot_keys: int = HOT_KEYS,
+    hot_min_versions: int = HOT_MIN_VERSIONS,
 ) -> DataFrame:
     """Full SCD2 history of ``changes`` (any mix of old and new rows).
 
-    ``sequence`` must be a date/timestamp column (hour slices of it segment
-    the work, so a key with many versions is split across tasks).
+    ``sequence`` must be a date/timestamp column (hour slices of it split
+    the keys with the most versions across tasks).
     """
     keys = list(keys)
     cols = [c for c in changes.columns if c not in (START, END)]
     rows = changes.select(*cols)
     rows = latest_per_key(rows, [*keys, sequence], [sequence])  # one row per (key, sequence)
-    rows = rows.withColumn("__day", _segment_of(sequence))
+    rows = _with_segments(rows, keys, sequence, hot_keys, hot_min_versions)
     split = [*keys, "__day"]
+    carried_only = F.col("__day") != F.lit(UNSPLIT)  # single-segment keys need no carry
     rows = rows.repartition(*split)
     order = [sequence]
     if track_columns:
         tracked = [c for c in track_columns if c != sequence]
         carried = [*tracked, sequence]
-        rows = previous_by_day(rows, keys, "__day", order, carried, "__was_", partition_keys=split)
+        rows = previous_by_day(rows, keys, "__day", order, carried, "__was_", partition_keys=split,
+                               summary_filter=carried_only)
         changed = F.col("__was_" + sequence).isNull()  # first version of the key
         for c in tracked:
             changed = changed | ~F.col(c).eqNullSafe(F.col("__was_" + c))
         rows = rows.filter(changed).drop(*["__was_" + c for c in carried])
-    nxt = previous_by_day(rows, keys, "__day", order, [sequence], "__next_", reverse=True, partition_keys=split)
+    nxt = previous_by_day(rows, keys, "__day", order, [sequence], "__next_", reverse=True, partition_keys=split,
+                          summary_filter=carried_only)
     return nxt.select(*cols, F.col(sequence).alias(START), F.col("__next_" + sequence).alias(END))
 
 

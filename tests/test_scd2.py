@@ -43,3 +43,12 @@ def test_incremental_merge_equals_rebuild_and_is_idempotent(spark):
     full = scd2.rebuild(ch, ["k"], "seq")
     assert sorted(h2.collect()) == sorted(full.collect())
     assert sorted(h3.collect()) == sorted(full.collect())
+
+
+def test_hot_key_split_does_not_change_history(spark):
+    ch = _changes(spark)
+    base = sorted(scd2.rebuild(ch, ["k"], "seq").collect())
+    assert sorted(scd2.rebuild(ch, ["k"], "seq", hot_min_versions=1).collect()) == base  # every key split
+    assert sorted(scd2.rebuild(ch, ["k"], "seq", hot_keys=1, hot_min_versions=1).collect()) == base  # "hot" only
+    tracked = sorted(scd2.rebuild(ch, ["k"], "seq", ["v"]).collect())
+    assert sorted(scd2.rebuild(ch, ["k"], "seq", ["v"], hot_min_versions=1).collect()) == tracked
