@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.columns import upper_or
 from ..functions.flags import as_flag
-from .sequence import previous_by_day, trailing_sum
+from .sequence import previous_by_segment, trailing_sum
 
 ORDER = ["txn_timestamp", "txn_id"]  # tie-break on txn_id: lag/row_number are deterministic
 
@@ -223,7 +223,7 @@ def add_sequence_features(
 
     # New beneficiary: a TRANSFER whose previous row to the same to_account
     # (any type) is absent or more than N days earlier.
-    out = previous_by_day(
+    out = previous_by_segment(
         out, ["customer_id", "to_account"], "__seg", ORDER, ["txn_timestamp"], "__ben_", summary_source=rows,
         partition_keys=split, summary_filter=split_rows(),
     )
@@ -242,7 +242,7 @@ def add_sequence_features(
     )
 
     # Previous location seen on the same IP, falling back to the current one.
-    out = previous_by_day(
+    out = previous_by_segment(
         out,
         ["customer_id", "ip_address"],
         "__seg",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
 from .fact import ORDER, SEGMENT_SECONDS, UNSPLIT, hot_customers, split_rows
-from .sequence import forward_payees_and_total, previous_by_day, segment_of
+from .sequence import forward_payees_and_total, previous_by_segment, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
 
@@ -125,7 +125,7 @@ def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame
     rows = rows.join(hot, "customer_id", "left").withColumn(
         "__seg", F.when(F.col("__hot"), segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)).otherwise(F.lit(UNSPLIT))
     )
-    df = previous_by_day(
+    df = previous_by_segment(
         rows,
         ["customer_id", "ip_address"],
         "__seg",

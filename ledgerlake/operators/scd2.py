@@ -7,7 +7,7 @@ version). Rows with an equal (key, sequence) collapse to one. With
 columns is not a new version.
 
 Both ``lead`` and the change test run inside (key, segment) groups
-(:func:`previous_by_day`): a key with a huge number of versions (one of the
+(:func:`previous_by_segment`): a key with a huge number of versions (one of the
 bounded top-k) is split by hour of its sequence, every other key is one
 segment and needs no carry summary. Duplicates collapse in a partial
 aggregate before any shuffle.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cleanse import latest_per_key
-from .sequence import previous_by_day, segment_of
+from .sequence import previous_by_segment, segment_of
 
 START, END = "__START_AT", "__END_AT"
 
@@ -50,7 +50,7 @@ def _with_segments(rows: DataFrame, keys: list[str], sequence: str, hot_keys: in
     seg = F.when(
         F.col("__hot"), segment_of(F.col(sequence).cast("timestamp_ntz"), SEGMENT_SECONDS)
     ).otherwise(F.lit(UNSPLIT))
-    return rows.join(F.broadcast(hot), keys, "left").withColumn("__day", seg.cast("bigint")).drop("__hot")
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("__seg", seg.cast("bigint")).drop("__hot")
 
 
 def rebuild(
@@ -71,20 +71,20 @@ def rebuild(
     rows = changes.select(*cols)
     rows = latest_per_key(rows, [*keys, sequence], [sequence])  # one row per (key, sequence)
     rows = _with_segments(rows, keys, sequence, hot_keys, hot_min_versions)
-    split = [*keys, "__day"]
-    carried_only = F.col("__day") != F.lit(UNSPLIT)  # single-segment keys need no carry
+    split = [*keys, "__seg"]
+    carried_only = F.col("__seg") != F.lit(UNSPLIT)  # single-segment keys need no carry
     rows = rows.repartition(*split)
     order = [sequence]
     if track_columns:
         tracked = [c for c in track_columns if c != sequence]
         carried = [*tracked, sequence]
-        rows = previous_by_day(rows, keys, "__day", order, carried, "__was_", partition_keys=split,
+        rows = previous_by_segment(rows, keys, "__seg", order, carried, "__was_", partition_keys=split,
                                summary_filter=carried_only)
         changed = F.col("__was_" + sequence).isNull()  # first version of the key
         for c in tracked:
             changed = changed | ~F.col(c).eqNullSafe(F.col("__was_" + c))
         rows = rows.filter(changed).drop(*["__was_" + c for c in carried])
-    nxt = previous_by_day(rows, keys, "__day", order, [sequence], "__next_", reverse=True, partition_keys=split,
+    nxt = previous_by_segment(rows, keys, "__seg", order, [sequence], "__next_", reverse=True, partition_keys=split,
                           summary_filter=carried_only)
     return nxt.select(*cols, F.col(sequence).alias(START), F.col("__next_" + sequence).alias(END))
 

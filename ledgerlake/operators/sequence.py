@@ -5,7 +5,7 @@ one task; if one customer holds a third of the table that task holds a third
 of the table. The operators here never partition row-level work by the bare
 entity key:
 
-* ``previous_by_day`` — ``lag`` over an entity, computed inside
+* ``previous_by_segment`` — ``lag`` over an entity, computed inside
   (entity, segment) groups, a segment being a short time slice (a minute by
   default). The first row of a segment takes its predecessor from a
   one-row-per-(entity, segment) summary, whose own ``lag`` runs over at most
@@ -60,7 +60,7 @@ def segment_of(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / F.lit(seconds))
 
 
-def previous_by_day(
+def previous_by_segment(
     df: DataFrame,
     keys: Sequence[str],
     segment: str | Sequence[str],

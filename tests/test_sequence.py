@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.sequence import forward_payees_and_total, previous_by_day, trailing_sum
+from ledgerlake.operators.sequence import forward_payees_and_total, previous_by_segment, trailing_sum
 
 
 def _random_rows(n=600, seed=7):
@@ -26,9 +26,9 @@ def _df(spark):
     return df.withColumn("d", F.to_date("ts")).withColumn("s", F.unix_timestamp("ts"))
 
 
-def test_previous_by_day_equals_lag(spark):
+def test_previous_by_segment_equals_lag(spark):
     df = _df(spark)
-    got = previous_by_day(df, ["k"], "d", ["ts", "id"], ["ts", "v", "p"], "prev_")
+    got = previous_by_segment(df, ["k"], "d", ["ts", "id"], ["ts", "v", "p"], "prev_")
     w = Window.partitionBy("k").orderBy("ts", "id")
     want = df.select("id", *[F.lag(c).over(w).alias("prev_" + c) for c in ("ts", "v", "p")])
     a = sorted(got.select("id", "prev_ts", "prev_v", "prev_p").collect())
@@ -36,9 +36,9 @@ def test_previous_by_day_equals_lag(spark):
     assert a == b
 
 
-def test_previous_by_day_reverse_equals_lead(spark):
+def test_previous_by_segment_reverse_equals_lead(spark):
     df = _df(spark)
-    got = previous_by_day(df, ["k", "p"], "d", ["ts", "id"], ["ts"], "next_", reverse=True)
+    got = previous_by_segment(df, ["k", "p"], "d", ["ts", "id"], ["ts"], "next_", reverse=True)
     w = Window.partitionBy("k", "p").orderBy(F.col("ts").desc(), F.col("id").desc())
     want = df.select("id", F.lag("ts").over(w).alias("next_ts"))
     assert sorted(got.select("id", "next_ts").collect()) == sorted(want.collect())
