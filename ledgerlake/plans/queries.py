@@ -27,11 +27,12 @@ def query(name: str):
     return deco
 
 
-def canonical_fact(spark: SparkSession, sf_dir: str, t=None) -> DataFrame:
+def canonical_fact(spark: SparkSession, sf_dir: str, t=None, **fact_options) -> DataFrame:
+    """The fact over the driver's ``events`` and ``customer`` tables."""
     tune_session(spark)
     ev = read_test_table(spark, sf_dir, "events")
     cu = read_test_table(spark, sf_dir, "customer")
-    return fact_transactions(binding.transactions(ev), binding.customers(cu), t or DEFAULT)
+    return fact_transactions(binding.transactions(ev), binding.customers(cu), t or DEFAULT, **fact_options)
 
 
 @query("fact_transactions")
@@ -43,10 +44,7 @@ def q_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_fact_transactions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same fact with every customer treated as hot (split by minute): the
     segmented path checked against the same oracle."""
-    tune_session(spark)
-    ev = read_test_table(spark, sf_dir, "events")
-    cu = read_test_table(spark, sf_dir, "customer")
-    return fact_transactions(binding.transactions(ev), binding.customers(cu), DEFAULT, hot_min_rows=0)
+    return canonical_fact(spark, sf_dir, hot_min_rows=0)
 
 
 @query("report_daily")
