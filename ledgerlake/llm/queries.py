@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import source_mix
+from . import factor_machine, ngram_rules, source_mix
 
 QUERIES = {
+    "op2_factor_machine": factor_machine.op2,
     "op4_source_mix": source_mix.op4,
+    "op9_ngram_rules": ngram_rules.op9,
 }
 
 ORACLE = {
