@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import factor_machine, ngram_rules, source_mix
+from . import factor_machine, license_scan, ngram_rules, source_mix
 
 QUERIES = {
     "op2_factor_machine": factor_machine.op2,
     "op4_source_mix": source_mix.op4,
+    "op7_license_scan": license_scan.op7,
     "op9_ngram_rules": ngram_rules.op9,
 }
 
