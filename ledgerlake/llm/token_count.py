@@ -29,6 +29,8 @@ arrays per chunk batch of about a million characters and the word table.
 from __future__ import annotations
 
 import json
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ from .common import table, utf8
 LIMIT_TOKENS = 512
 CHUNK = 128  # characters per chunk of the scan
 SLICE = 1 << 20  # bytes of text handled at once
-MAX_COMPILED = 300_000  # transitions and words kept per task
+MAX_COMPILED = 800_000  # transitions and words kept per worker
 TOKENIZER = "byte_bpe_50k.json"
 
 # Character classes. Letters that may end a contraction have classes of their own.
@@ -153,7 +155,12 @@ class Merger:
         to_bytes = lambda t: bytes(byte[c] for c in t)
         model = spec["model"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(to_bytes(a), to_bytes(b)): r for r, (a, b) in enumerate(pairs)}
+        self.halves = [(to_bytes(a), to_bytes(b)) for a, b in pairs]
+        self.ranks = {pair: r for r, pair in enumerate(self.halves)}
+        self.made: dict[bytes, int] = {}
+        for r, (a, b) in enumerate(self.halves):
+            self.made.setdefault(a + b, r)
+        self.own: dict[bytes, bool] = {}
         specials = {t["content"] for t in spec["added_tokens"]}
         self.tree: list[dict[int, int]] = [{}]
         self.token: list[bytes | None] = [None]
@@ -171,36 +178,57 @@ class Merger:
         self.clear()
 
     def clear(self):
-        self.moves: dict[tuple[int, int], tuple[int, int]] = {}
+        self.moves: dict[int, tuple[int, int]] = {}
         self.ids = {((0, None, 0),): 0}
         self.keys = [((0, None, 0),)]
         self.side_by_side: dict[tuple[bytes, bytes], bool] = {}
 
-    def merge(self, raw: bytes) -> list[bytes]:
-        """The definition: merge the lowest-ranked pair, leftmost first, until none is left."""
-        parts = [raw[i : i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            found = [(r, i) for i in range(len(parts) - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
-            if not found:
-                break
-            best, i = min(found)
-            pair, out, k = (parts[i], parts[i + 1]), [], 0
-            while k < len(parts):
-                if k + 1 < len(parts) and (parts[k], parts[k + 1]) == pair:
-                    out.append(parts[k] + parts[k + 1])
-                    k += 2
-                else:
-                    out.append(parts[k])
-                    k += 1
-            parts = out
-        return parts
-
     def fits(self, left: bytes, right: bytes) -> bool:
+        """Whether two tokens stay side by side: undo their merges, the latest first, and look whether a merge
+        across the border would have come before the undone one (on equal rank the left place comes first)."""
         known = self.side_by_side.get((left, right))
+        if known is not None:
+            return known
+        key, limit, free = (left, right), len(self.ranks) + 1, True
+        while True:
+            across = self.ranks.get((left, right))
+            if across is not None and across < limit:
+                free = False
+                break
+            l, r = self.made.get(left, -1), self.made.get(right, -1)
+            if l > r:
+                limit, left = l, self.halves[l][1]
+            elif r >= 0:
+                limit, right = r + 1, self.halves[r][0]
+            else:
+                break
+        self.side_by_side[key] = free
+        return free
+
+    def whole(self, token: bytes) -> bool:
+        """Whether a vocabulary entry is its own encoding."""
+        known = self.own.get(token)
         if known is None:
-            known = self.side_by_side[left, right] = self.merge(left + right) == [left, right]
+            r = self.made.get(token)
+            known = len(token) == 1 if r is None else all(map(self.whole, self.halves[r])) and self.joins(*self.halves[r], r)
+            self.own[token] = known
         return known
 
+    def joins(self, left: bytes, right: bytes, rank: int) -> bool:
+        """Whether the two halves of a merge stay side by side until that merge."""
+        limit = rank
+        while True:
+            l, r = self.made.get(left, -1), self.made.get(right, -1)
+            if l < 0 and r < 0:
+                return True
+            if l > r:
+                limit, left = min(limit, l), self.halves[l][1]
+            else:
+                limit, right = min(limit, r + 1), self.halves[r][0]
+            across = self.ranks.get((left, right))
+            if across is not None and across < limit:
+                return False
+
     def step(self, state: int, byte: int) -> tuple[int, int]:
         """Compile one transition: the next state and the change of the token count."""
         grown, last = [], None
@@ -210,7 +238,7 @@ class Merger:
                 continue
             grown.append((child, before, count))
             token = self.token[child]
-            if token is not None and last is None and (before is None or self.fits(before, token)) and self.merge(token) == [token]:
+            if token is not None and last is None and (before is None or self.fits(before, token)) and self.whole(token):
                 last = (token, count + 1)
         token, change = last
         key = tuple((n, b, c - change) for n, b, c in grown if self.tree[n]) + ((0, token, 0),)
@@ -218,7 +246,7 @@ class Merger:
         if to is None:
             to = self.ids[key] = len(self.keys)
             self.keys.append(key)
-        self.moves[state, byte] = (to, change)
+        self.moves[state << 8 | byte] = (to, change)
         return to, change
 
     def count(self, word: bytes) -> int:
@@ -227,7 +255,7 @@ class Merger:
         state = total = 0
         moves = self.moves
         for byte in word:
-            move = moves.get((state, byte)) or self.step(state, byte)
+            move = moves.get(state << 8 | byte) or self.step(state, byte)
             state = move[0]
             total += move[1]
         return total
@@ -315,14 +343,22 @@ class TokenCounter:
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
+def worker_counter(spec: str) -> TokenCounter:
+    """One counter per Python worker, so that its compiled tables serve all tasks the worker runs."""
+    store = sys.modules.setdefault("_ledgerlake_worker_store", types.ModuleType("_ledgerlake_worker_store"))
+    kept = getattr(store, "counter", None)
+    if kept is None or kept[0] != spec:
+        kept = store.counter = (spec, TokenCounter(json.loads(spec)))
+    return kept[1]
+
+
 def count_tokens(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_tokens)`` per row. ``tokenizer_json`` is the file's content (fixed size)."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches):
-        counter = None
+        counter = worker_counter(shared.value)
         for batch in batches:
-            counter = counter or TokenCounter(json.loads(shared.value))
             bodies = batch.column("body")
             texts = [b.as_py().decode("utf-8", "replace") for b in bodies]
             yield pa.RecordBatch.from_pydict(
