@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import factor_machine, license_scan, ngram_rules, source_mix
+from . import factor_machine, license_scan, ngram_rules, source_mix, token_count, winnowing
 
 QUERIES = {
     "op2_factor_machine": factor_machine.op2,
+    "op3_winnowing": winnowing.op3,
     "op4_source_mix": source_mix.op4,
+    "op6_token_count": token_count.op6,
     "op7_license_scan": license_scan.op7,
     "op9_ngram_rules": ngram_rules.op9,
 }
 
 ORACLE = {
+    "op3_winnowing": winnowing.ORACLE_SQL,
     "op4_source_mix": source_mix.ORACLE_SQL,
 }
