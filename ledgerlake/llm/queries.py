@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import factor_machine, license_scan, ngram_rules, source_mix, token_count, winnowing
+from . import factor_machine, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
 
 QUERIES = {
+    "op1_warc_bundle": warc_bundle.op1,
     "op2_factor_machine": factor_machine.op2,
     "op3_winnowing": winnowing.op3,
     "op4_source_mix": source_mix.op4,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc_bundle": warc_bundle.ORACLE_SQL,
     "op3_winnowing": winnowing.ORACLE_SQL,
     "op4_source_mix": source_mix.ORACLE_SQL,
 }
