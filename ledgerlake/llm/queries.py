@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import factor_machine, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
+from . import factor_machine, html_mincut, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
 
 QUERIES = {
+    "op10_html_mincut": html_mincut.op10,
     "op1_warc_bundle": warc_bundle.op1,
     "op2_factor_machine": factor_machine.op2,
     "op3_winnowing": winnowing.op3,
