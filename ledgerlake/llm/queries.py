@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import factor_machine, html_mincut, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
+from . import circulant_minhash, factor_machine, html_mincut, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
 
 QUERIES = {
     "op10_html_mincut": html_mincut.op10,
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_factor_machine": factor_machine.op2,
     "op3_winnowing": winnowing.op3,
     "op4_source_mix": source_mix.op4,
+    "op5_circulant_minhash": circulant_minhash.op5,
     "op6_token_count": token_count.op6,
     "op7_license_scan": license_scan.op7,
     "op9_ngram_rules": ngram_rules.op9,
