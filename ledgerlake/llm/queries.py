@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import circulant_minhash, factor_machine, html_mincut, license_scan, ngram_rules, source_mix, token_count, warc_bundle, winnowing
+from . import circulant_minhash, factor_machine, html_mincut, license_scan, ngram_rules, source_mix, suffix_dedup, token_count, warc_bundle, winnowing
 
 QUERIES = {
     "op10_html_mincut": html_mincut.op10,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_circulant_minhash": circulant_minhash.op5,
     "op6_token_count": token_count.op6,
     "op7_license_scan": license_scan.op7,
+    "op8_suffix_dedup": suffix_dedup.op8,
     "op9_ngram_rules": ngram_rules.op9,
 }
 
