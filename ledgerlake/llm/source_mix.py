@@ -155,6 +155,12 @@ def op4(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mix(spark, docs, sf_dir):
+    """Pipeline stage (the last): the documents of the mix with the words taken of each."""
+    taken = mix_sources(docs).where("taken > 0")
+    return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
