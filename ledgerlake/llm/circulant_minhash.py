@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, table, utf8
+from .common import free_names, materialised, table, utf8
 
 SHINGLE = 5
 BANDS, ROWS = 28, 4
@@ -319,5 +319,6 @@ def op5(spark, sf_dir):
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """Pipeline stage: one document of each component stays; all columns stay."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+    (gone_id,) = free_names(docs, "gone_id")
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left_anti")

@@ -29,6 +29,17 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text.cast("binary"), F.lit(b""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: later steps
     read it instead of repeating it, and a lost executor costs no recomputation."""
@@ -58,5 +69,5 @@ def arrow_rows(make, schema):
     return run
 
 
-__all__ = ["WORD_WS", "WORD_ALNUM", "table", "lower_ascii", "utf8", "materialised", "unique_ids", "arrow_rows",
+__all__ = ["WORD_WS", "WORD_ALNUM", "table", "lower_ascii", "utf8", "free_names", "materialised", "unique_ids", "arrow_rows",
            "ensure_checkpoint_dir", "scratch_path"]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, table, unique_ids, utf8
+from .common import arrow_rows, free_names, table, unique_ids, utf8
 
 #: Labelled rows that may train the model (a documented bound).
 TRAIN_ROWS = 6_000
@@ -162,19 +162,20 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return FactorMachine(bits).fit(made, np.array([float(r["quality"]) for r in rows]))
 
 
-def score_quality(docs: DataFrame, model: FactorMachine, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns of ``docs`` (default: all) plus ``fm_score``; no shuffle."""
+def score_quality(docs: DataFrame, model: FactorMachine, *, text_col: str = "text", keep: list[str] | None = None,
+                  score_col: str = "fm_score") -> DataFrame:
+    """``keep`` columns of ``docs`` (default: all) plus the score as last column; no shuffle."""
     names = docs.columns if keep is None else keep
+    added, body = free_names(docs, score_col, "fm_body")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-    body = "__fm_body"
     source = docs.select(*names, utf8(F.col(text_col)).alias(body))
-    out = docs.select(*names).withColumn("fm_score", F.lit(0.0)).schema
+    out = docs.select(*names).withColumn(added, F.lit(0.0)).schema
 
     def score(batches):
         machine = shared.value
         for batch in batches:
             scores = pa.array([machine.score(b.as_py()) for b in batch.column(body)], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [scores], names=[*names, "fm_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [scores], names=[*names, added])
 
     return source.mapInArrow(score, out)
 
@@ -183,7 +184,8 @@ def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     fold = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 3
     labels = table(spark, sf_dir, "labels").where(fold("doc_id") != 1)
-    scored = score_quality(docs, train(docs, labels), keep=["doc_id"])
+    model = train(docs, labels)
+    scored = score_quality(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return scored.select(
         "doc_id",
         F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"),
@@ -196,4 +198,5 @@ def reject_low_quality(spark, docs, sf_dir):
     """Pipeline stage: documents the classifier rejects go; all columns stay."""
     labels = table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
     model = train(table(spark, sf_dir, "documents"), labels)
-    return score_quality(docs, model).where(F.col("fm_score") >= 0.5).drop("fm_score")
+    scored = score_quality(docs, model)
+    return scored.where(F.col(scored.columns[-1]) >= 0.5).select(docs.columns)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, scratch_path, table, utf8
+from .common import free_names, materialised, scratch_path, table, utf8
 
 LENGTH = 50
 GRAM = 24
@@ -476,14 +476,15 @@ def op8(spark, sf_dir):
 
 def drop_repeats(spark, docs, sf_dir):
     """Pipeline stage: repeated bytes go from the text (and ``n_chars`` follows); documents and columns stay."""
+    r_id, r_sha, r_kept = free_names(docs, "r_id", "r_sha", "r_kept")
     changed = (
         remove_repeats(docs, changed_texts=True)
-        .select(F.col("doc_id").alias("r_id"), F.col("input_sha256").alias("r_sha"), F.col("kept").alias("r_kept"))
-        .dropDuplicates(["r_id", "r_sha"])
+        .select(F.col("doc_id").alias(r_id), F.col("input_sha256").alias(r_sha), F.col("kept").alias(r_kept))
+        .dropDuplicates([r_id, r_sha])
     )
-    same = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.sha2(utf8(F.col("text")), 256) == F.col("r_sha"))
-    joined = docs.join(changed, same, "left").withColumn("text", F.when(F.col("r_sha").isNull(), F.col("text")).otherwise(F.col("r_kept")))
+    same = F.col("doc_id").eqNullSafe(F.col(r_id)) & (F.sha2(utf8(F.col("text")), 256) == F.col(r_sha))
+    joined = docs.join(changed, same, "left").withColumn("text", F.when(F.col(r_sha).isNull(), F.col("text")).otherwise(F.col(r_kept)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(F.col("r_sha").isNull(), F.col("n_chars")).otherwise(F.length("r_kept").cast(kind)))
+        joined = joined.withColumn("n_chars", F.when(F.col(r_sha).isNull(), F.col("n_chars")).otherwise(F.length(r_kept).cast(kind)))
     return joined.select(docs.columns)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_ALNUM, lower_ascii, materialised, table
+from .common import WORD_ALNUM, free_names, lower_ascii, materialised, table
 
 WINDOW = 13
 GRAM = 7
@@ -199,12 +199,12 @@ def op3(spark, sf_dir):
 
 def drop_contaminated(spark, docs, sf_dir):
     """Pipeline stage: contaminated documents go; all columns stay."""
+    c_id, c_tx = free_names(docs, "c_id", "c_tx")
     verdict = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(
-        F.col("doc_id").alias("c_id"), F.col("tx").alias("c_tx")
-    ).distinct()
-    return docs.join(
-        verdict, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.xxhash64(docs["text"]) == F.col("c_tx")), "left_anti"
+        F.col("doc_id").alias(c_id), F.col("tx").alias(c_tx)
     )
+    same = F.col("doc_id").eqNullSafe(F.col(c_id)) & (F.xxhash64(F.col("text")) == F.col(c_tx))
+    return docs.join(verdict.distinct(), same, "left_anti")
 
 
 ORACLE_SQL = r"""

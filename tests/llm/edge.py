@@ -1,0 +1,59 @@
+"""Small tables with the awkward rows every operator must take."""
+
+import random
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+    # Names that the operators use inside.
+    *[T.StructField(n, T.StringType()) for n in ("body", "size", "fm_score", "gone_id", "r_id", "c_id", "kept", "block")],
+])
+EXTRA = ("x",) * 8
+
+
+def text(seed: int, words: int) -> str:
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choice("abcdefghijklmno") for _ in range(rnd.randint(2, 9))) for _ in range(words))
+
+
+def edited(base: str, seed: int, changes: int) -> str:
+    rnd, words = random.Random(seed), base.split()
+    for _ in range(changes):
+        words[rnd.randrange(len(words))] = "changed%d" % rnd.randrange(10**6)
+    return " ".join(words)
+
+
+BASE = text(1, 120)
+PASSAGE = text(2, 60)
+TEXTS = [
+    (1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "One two\tthree"), (6, "one TWO three"),
+    (7, BASE), (8, BASE.upper()), (9, edited(BASE, 3, 2)), (10, edited(BASE, 4, 3)), (11, edited(BASE, 5, 40)),
+    (12, text(6, 30) + " " + PASSAGE), (13, PASSAGE + "\n" + text(7, 40)), (14, text(8, 20) + " " + PASSAGE + " " + text(9, 20)),
+    (15, " ".join([text(10, 200)] * 30)), (16, "été 日本語 \U0001f600 " * 40), (17, "a" * 5000),
+    (18, "Released under the MIT License.\n\nLicensed under the Apache License, Version 2.0."), (19, "x" * 49), (20, "x" * 50),
+    (None, text(11, 70)), (7, BASE), (21, text(12, 80) + " <|endoftext|> it's we'll 're  \n\n done"),
+]
+SOURCES = ["a", "b", "c", None, "a", "a", "d"]
+ROWS = [(i, t, "en" if k % 3 else None, SOURCES[k % len(SOURCES)], None if t is None else len(t), *EXTRA) for k, (i, t) in enumerate(TEXTS)]
+
+
+def documents(spark, rows=ROWS):
+    return spark.createDataFrame(rows, DOCS)
+
+
+def benchmark(spark, rows):
+    return spark.createDataFrame(rows, "item_id bigint, text string, w string, fp string")
+
+
+def stored(spark, folder, docs=None, bench=None, labels=None):
+    """A folder of tables, as the queries read them."""
+    docs = documents(spark) if docs is None else docs
+    docs.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    bench = benchmark(spark, [(1, PASSAGE, "x", "x")]) if bench is None else bench
+    bench.write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    if labels is None:
+        labels = spark.createDataFrame([(7, 1, 0), (2, 0, 0), (None, 1, 0), (9, None, 0), (11, 1, None), (16, 0, 1)], "doc_id bigint, quality int, toxic int")
+    labels.write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    return folder
