@@ -79,12 +79,10 @@ DEFAULT = Thresholds()
 # minutes). These wider settings give the same operators non-empty output.
 TEST_WIDE = DEFAULT.with_(rapid_window_seconds=86400, velocity_window="1 day")
 
-# Channel list used for the pivot report (explicit, so no discovery job runs).
-CHANNELS: tuple[str, ...] = ("ATM", "BRANCH", "UPI", "ONLINE", "POS", "MOBILE", "UNKNOWN")
 
-
-def session_settings(cpus: int = 8) -> dict[str, str]:
-    """Settings this library's jobs are planned for."""
+def session_settings() -> dict[str, str]:
+    """Settings this library's jobs are planned for. The number of shuffle
+    partitions is the deployment's: it follows its data and executors."""
     return {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -92,7 +90,6 @@ def session_settings(cpus: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(cpus),
         # Windows partitioned by (customer, day, x) and joins on the same
         # keys can then reuse one hash exchange on (customer, day).
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
@@ -121,8 +118,10 @@ def get_session(master: str | None = None, cpus: int = 8, app: str = "ledgerlake
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in session_settings(cpus).items():
+    for k, v in session_settings().items():
         builder = builder.config(k, v)
+    if (master or "").startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", str(cpus))
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -134,12 +133,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it is set by the deployment and only read here. When it is
-    unset (a bare local test session) a fresh scratch folder is created.
+    unset, a local test session gets a fresh scratch folder; on a cluster that
+    is an error, since executors do not see the driver's folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -159,7 +161,6 @@ __all__ = [
     "Thresholds",
     "DEFAULT",
     "TEST_WIDE",
-    "CHANNELS",
     "get_session",
     "tune_session",
     "PLAN_SETTINGS",

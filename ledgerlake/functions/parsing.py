@@ -27,9 +27,18 @@ def to_date(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(c, fmt)
 
 
+# Patterns of the two feeds' timestamps, and the shape of a text that fits them.
+SHAPES = {
+    "yyyy-MM-dd HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+}
+
+
 def to_wall_timestamp(c: Column, fmt: str) -> Column:
-    """Parse to a wall-clock ``timestamp_ntz`` (independent of session zone)."""
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    """Parse to a wall-clock ``timestamp_ntz``, NULL if the text does not fit.
+    It never passes through an instant, so hours that a session zone skips or
+    repeats stay as written."""
+    return F.when(c.rlike(SHAPES[fmt]), c.try_cast("timestamp_ntz"))
 
 
 def epoch_seconds(ts: Column) -> Column:

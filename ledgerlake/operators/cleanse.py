@@ -48,17 +48,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[st
     """Keep one row per ``keys``: the greatest by ``newest_first`` (then by the
     remaining columns, so ties resolve deterministically).
 
-    Written as an aggregate (``max_by``), not ``row_number``: the partial
-    aggregate collapses copies map-side, so a key with millions of copies
-    never reaches one task whole.
+    Written as an aggregate, not ``row_number``: the partial aggregate
+    collapses copies map-side, so a key with millions of copies never reaches
+    one task whole. The maximum is over one struct that begins with the order
+    columns and holds all the others, so a row moves once.
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    order = list(newest_first) + [c for c in others if c not in newest_first]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), F.struct(*order)).alias("__latest")
-    )
-    return picked.select(*keys, *[F.col("__latest").getField(c).alias(c) for c in others]).select(*df.columns)
+    order = [c for c in newest_first if c not in keys] + [c for c in others if c not in newest_first]
+    if not order:
+        return df.dropDuplicates(keys)
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("__latest"))
+    return picked.select(*[c if c in keys else F.col("__latest").getField(c).alias(c) for c in df.columns])
 
 
 def split_by_rules(df: DataFrame, rules: Sequence[tuple[str, Column]], reason: str = "failed_rule") -> DataFrame:

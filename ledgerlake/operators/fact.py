@@ -77,7 +77,7 @@ def join_customers(base: DataFrame, rows: DataFrame, customers: DataFrame) -> Da
     per_segment = rows.select(*keys).distinct().join(
         customers.select(*CUSTOMER_COLUMNS), ["customer_id", "account_id"], "inner"
     )
-    return base.join(per_segment.repartition(*SPLIT).hint("shuffle_hash"), keys, "left")
+    return base.join(per_segment.repartition(*SPLIT).hint("merge"), keys, "left")
 
 
 def apply_txn_null_rules(df: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def add_sequence_features(
         F.countDistinct("to_account").alias("daily_unique_beneficiaries")
     )
     per_seg = per_seg.join(payees, ["customer_id", "txn_date"], "left")
-    out = base.join(per_seg.repartition(*split).hint("shuffle_hash"), ["customer_id", "txn_date", "__seg"], "left")
+    out = base.join(per_seg.repartition(*split).hint("merge"), ["customer_id", "txn_date", "__seg"], "left")
 
     # Gap to the customer's previous transaction (minutes, whole seconds):
     # inside the segment by lag, for its first row from the previous segment.
@@ -237,7 +237,7 @@ def add_sequence_features(
     rolling = trailing_sum(
         rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["__seg"]
     )
-    out = out.join(rolling.repartition(*split).hint("shuffle_hash"), ["customer_id", "__seg", "__s"], "left").withColumn(
+    out = out.join(rolling.repartition(*split).hint("merge"), ["customer_id", "__seg", "__s"], "left").withColumn(
         "rolling_7day_amount", F.col("rolling_7day_amount").cast("decimal(28,2)")
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..functions.flags import channel_limit_flag
-from .fact import ORDER, SEGMENT_SECONDS, UNSPLIT, hot_customers, split_rows
+from .fact import HOT_MIN_ROWS, ORDER, SEGMENT_SECONDS, UNSPLIT, hot_customers, split_rows
 from .sequence import forward_payees_and_total, previous_by_segment, segment_of
 
 DETAIL_COLUMNS = ["txn_id", "customer_id", "account_id", "txn_date", "amount", "kyc_status", "channel"]
@@ -118,10 +118,14 @@ def kpi_transaction_velocity(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFr
     )
 
 
-def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """KPI 6: on one (customer, IP) the country changed within N minutes."""
+def kpi_impossible_travel(fact: DataFrame, t: Thresholds = DEFAULT, hot: DataFrame | None = None,
+                          hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+    """KPI 6: on one (customer, IP) the country changed within N minutes.
+    ``hot`` is a precomputed :func:`hot_customers` table (the build's);
+    otherwise customers with ``hot_min_rows`` rows are split."""
     rows = fact.withColumn("__s", F.unix_timestamp("txn_timestamp"))
-    hot = F.broadcast(hot_customers(rows).select("customer_id", F.lit(True).alias("__hot")))  # <= HOT_KEYS rows
+    hot = hot_customers(rows, hot_min_rows=hot_min_rows) if hot is None else hot
+    hot = F.broadcast(hot.select("customer_id", F.lit(True).alias("__hot")))  # <= HOT_KEYS rows
     rows = rows.join(hot, "customer_id", "left").withColumn(
         "__seg", F.when(F.col("__hot"), segment_of(F.col("txn_timestamp"), SEGMENT_SECONDS)).otherwise(F.lit(UNSPLIT))
     )

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CHANNELS
-
 
 def report_daily(fact: DataFrame) -> DataFrame:
     """Count and total per (txn_date, channel)."""
@@ -26,7 +22,8 @@ def report_monthly(fact: DataFrame) -> DataFrame:
     )
 
 
-def report_daily_pivot(fact: DataFrame, channels: Sequence[str] = CHANNELS) -> DataFrame:
-    """txn_date x channel -> sum(amount). Channels are passed explicitly so the
-    output schema is fixed and no discovery job runs over the fact."""
-    return fact.groupBy("txn_date").pivot("channel", list(channels)).agg(F.sum("amount"))
+def report_daily_pivot(daily: DataFrame) -> DataFrame:
+    """txn_date x channel -> sum of amounts, with a column for every channel in
+    the data. ``daily`` is the :func:`report_daily` table: one row per day and
+    channel, so finding the channels does not read the fact again."""
+    return daily.groupBy("txn_date").pivot("channel").agg(F.sum("total_amount").cast("decimal(28,2)"))

@@ -94,18 +94,23 @@ def current(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END).isNull())
 
 
-def merge_increment(
-    history: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    sequence: str,
-    track_columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """New full history after applying ``batch``. Only keys present in the
-    batch are rebuilt; replaying the same batch gives the same table."""
+def tracked(history: DataFrame, keys: Sequence[str], sequence: str, track_columns: Sequence[str]) -> DataFrame:
+    """A history without the versions that change none of ``track_columns``.
+
+    A view over the complete history: dropping unchanged versions when they
+    are stored would lose them, and a late row between two of them could not
+    bring them back.
+    """
+    return rebuild(history.drop(START, END), keys, sequence, track_columns)
+
+
+def merge_increment(history: DataFrame, batch: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """New full history after applying ``batch``, late rows included. Only keys
+    present in the batch are rebuilt; replaying the same batch gives the same
+    table. ``history`` must hold every version (see :func:`tracked`)."""
     keys = list(keys)
     touched = batch.select(*keys).dropDuplicates()
     affected = history.join(touched, keys, "left_semi").drop(START, END)
     untouched = history.join(touched, keys, "left_anti")
-    rebuilt = rebuild(affected.unionByName(batch.select(*affected.columns)), keys, sequence, track_columns)
+    rebuilt = rebuild(affected.unionByName(batch.select(*affected.columns)), keys, sequence)
     return untouched.unionByName(rebuilt.select(*untouched.columns))

@@ -68,7 +68,7 @@ def previous_by_segment(
     values: Sequence[str],
     prefix: str = "prev_",
     summary_source: DataFrame | None = None,
-    join_hint: str | None = "shuffle_hash",
+    join_hint: str | None = "merge",
     reverse: bool = False,
     partition_keys: Sequence[str] | None = None,
     summary_filter: Column | None = None,

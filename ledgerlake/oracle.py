@@ -199,7 +199,7 @@ FROM (SELECT {terms} AS risk_score
       FROM (SELECT *, p1 + p2 + p3 + p4 + p5 + p6 + p7 AS tp FROM ({percentages_select(span)})))"""
 
 
-CHANNELS = ("ATM", "BRANCH", "UPI", "ONLINE", "POS", "MOBILE", "UNKNOWN")
+CHANNELS = ("ATM", "BRANCH", "UPI", "ONLINE", "POS", "MOBILE")
 
 
 def sql_report_daily() -> str:
@@ -363,9 +363,9 @@ bronze_sess AS (
 )"""
 
 
-def silver_sess_cte(as_of: str = AS_OF) -> str:
+def silver_sess_cte(as_of: str = AS_OF, name: str = "silver_sess") -> str:
     return rf"""
-ss_a AS (
+{name}_a AS (
   SELECT * EXCLUDE (location_country, location_city, device_type, is_new_device, is_new_location,
                     login_timestamp, logout_timestamp, os, browser),
          {INITCAP.format("coalesce(location_country, 'UNKNOWN')")} AS location_country,
@@ -378,15 +378,15 @@ ss_a AS (
   FROM bronze_sess
   WHERE session_id IS NOT NULL AND customer_id IS NOT NULL AND device_id IS NOT NULL
 ),
-ss_b AS (
+{name}_b AS (
   SELECT *, epoch_us(logout_timestamp) // 1000000 - epoch_us(login_timestamp) // 1000000 AS session_duration_seconds,
          TIMESTAMP '{as_of}' AS ingest_timestamp
-  FROM ss_a WHERE login_timestamp IS NOT NULL AND logout_timestamp IS NOT NULL
+  FROM {name}_a WHERE login_timestamp IS NOT NULL AND logout_timestamp IS NOT NULL
 ),
-silver_sess AS (
+{name} AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY login_timestamp DESC) AS rn
-    FROM ss_b WHERE session_duration_seconds >= 0
+    FROM {name}_b WHERE session_duration_seconds >= 0
   ) WHERE rn = 1
 )"""
 
@@ -488,10 +488,18 @@ register("bronze_rescued", with_ctes(TXN, BRONZE_TXN) + """
 SELECT txn_id, coalesce(CAST(txn_id AS BIGINT) % 97 = 0, false) AS rescued FROM bronze_txn""")
 register("bronze_lineage", with_ctes(TXN, BRONZE_TXN) + "SELECT txn_id, true AS lineage_ok FROM bronze_txn")
 register("stream_customer_quarantine", ORACLE["quarantine_customers"])
-register("stream_velocity_1d", with_fact(
-    "SELECT * FROM (" + velocity("1 day") + ") v WHERE window_end <= (SELECT max(txn_timestamp) FROM fact) - INTERVAL 15 MINUTE"))
+register("stream_velocity_1d", ORACLE["kpi_transaction_velocity_1d"])
 register("stream_dedup_transactions", with_ctes(TXN) + "SELECT * FROM txn")
 register("stream_scd2_customers", ORACLE["scd2_customers"])
+register("stream_scd2_transactions", ORACLE["scd2_transactions"])
+register("scd2_sessions", with_ctes(BRONZE_SESS, silver_sess_cte(AS_OF, "s1"), silver_sess_cte("2024-02-02 00:00:00", "s2")) + """
+SELECT *, ingest_timestamp AS __START_AT,
+       lead(ingest_timestamp) OVER (PARTITION BY session_id ORDER BY ingest_timestamp) AS __END_AT
+FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2)""")
+register("stream_scd2_sessions", ORACLE["scd2_sessions"])
+register("scd2_late_batch", ORACLE["scd2_customers_tracked"])
+register("kpi_impossible_travel_split", ORACLE["kpi_impossible_travel"])
+register("fact_beneficiary_5d", with_fact("SELECT txn_id, new_beneficiary_flag FROM fact", new_days=5))
 
 register("fact_partition_prune", with_fact(f"SELECT {FACT_COLUMNS} FROM fact WHERE txn_date = DATE '2024-01-15'"))
 register("fact_from_history", with_ctes(

@@ -21,7 +21,7 @@ from ..config import DEFAULT, Thresholds, get_session, scratch_path, tune_sessio
 from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions, hot_customers
 from ..sources import binding, feeds
-from ..sources.tables import read_test_table, write_table
+from ..sources.tables import TableNotFound, read_table, read_test_table, write_table
 from ..streaming import ingest
 
 FEEDS = {
@@ -42,18 +42,15 @@ def land_from_tables(spark: SparkSession, sf_dir: str, landing: str) -> None:
 
 
 def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str]) -> None:
-    """Apply a silver snapshot to the SCD2 table at ``path`` (created if absent)."""
+    """Apply a silver snapshot to the SCD2 table at ``path`` (created if absent).
+    The new version is written beside the old one, which it reads."""
     try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first run: no table yet
-        existing = None
-    if existing is None:
-        hist = scd2.rebuild(silver, keys, "ingest_timestamp")
-    else:
-        hist = scd2.merge_increment(existing, silver.select(*existing.drop(scd2.START, scd2.END).columns),
-                                    keys, "ingest_timestamp")
-        hist = hist.checkpoint(eager=True)  # the old files are about to be replaced
-    write_table(hist, path)
+        existing = read_table(spark, path)
+    except TableNotFound:  # any other error, e.g. of the storage, must not look like a first run
+        write_table(scd2.rebuild(silver, keys, "ingest_timestamp"), path)
+        return
+    changes = silver.select(*existing.drop(scd2.START, scd2.END).columns)
+    write_table(scd2.merge_increment(existing, changes, keys, "ingest_timestamp"), path)
 
 
 def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t: Thresholds = DEFAULT,
@@ -81,9 +78,9 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
     write_table(cleanse.silver_customers(bc, as_of, t), path("silver/customers"))
     write_table(cleanse.quarantine_sessions(bs), path("silver/device_sessions_quarantine"))
     write_table(cleanse.silver_sessions(bs, as_of), path("silver/device_sessions"))
-    st = spark.read.parquet(tables["silver/transactions"])
-    sc = spark.read.parquet(tables["silver/customers"])
-    ss = spark.read.parquet(tables["silver/device_sessions"])
+    st = read_table(spark, tables["silver/transactions"])
+    sc = read_table(spark, tables["silver/customers"])
+    ss = read_table(spark, tables["silver/device_sessions"])
 
     # history
     _history(spark, path("silver/transactions_history"), st, ["txn_id"])
@@ -94,14 +91,14 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
     write_table(dims.dim_customers(sc), path("gold/dim_customers"))
     write_table(dims.dim_devices(ss), path("gold/dim_devices"))
     write_table(dims.dim_merchants(st), path("gold/dim_merchants"))
-    current_txn = scd2.current(spark.read.parquet(tables["silver/transactions_history"]))
-    current_cust = scd2.current(spark.read.parquet(tables["silver/customers_history"]))
+    current_txn = scd2.current(read_table(spark, tables["silver/transactions_history"]))
+    current_cust = scd2.current(read_table(spark, tables["silver/customers_history"]))
     # The few customers whose rows are split by time, computed once (<= HOT_KEYS rows).
     write_table(hot_customers(current_txn), path("gold/_hot_customers"))
-    hot = spark.read.parquet(tables["gold/_hot_customers"])
+    hot = read_table(spark, tables["gold/_hot_customers"])
     write_table(fact_transactions(current_txn, current_cust, t, hot=hot), path("gold/fact_transactions"),
                 partition_by=("txn_date",))
-    fact = spark.read.parquet(tables["gold/fact_transactions"])
+    fact = read_table(spark, tables["gold/fact_transactions"])
 
     indicator_tables = {
         "gold/kpi_new_beneficiary_high_amt": kpis.kpi_new_beneficiary_high_amt(fact),
@@ -109,21 +106,22 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
         "gold/kpi_savings_abnormal": kpis.kpi_savings_abnormal(fact, t),
         "gold/kpi_current_overactivity": kpis.kpi_current_overactivity(fact, t),
         "gold/kpi_night_velocity": kpis.kpi_night_velocity(fact),
-        "gold/kpi_impossible_travel": kpis.kpi_impossible_travel(fact, t),
+        "gold/kpi_impossible_travel": kpis.kpi_impossible_travel(fact, t, hot=hot),
         "gold/kpi_kyc_pending": kpis.kpi_kyc_pending(fact, t),
     }
     for name, df in indicator_tables.items():
         write_table(df, path(name))
     write_table(kpis.kpi_transaction_velocity(fact, t), path("gold/kpi_transaction_velocity"))
 
-    counts = score.kpi_counts_from_tables(fact, [spark.read.parquet(tables[n]) for n in indicator_tables])
+    counts = score.kpi_counts_from_tables(fact, [read_table(spark, tables[n]) for n in indicator_tables])
     write_table(score.kpi_percentages_from_counts(counts), path("gold/kpi_percentages"))
-    pct = spark.read.parquet(tables["gold/kpi_percentages"])
+    pct = read_table(spark, tables["gold/kpi_percentages"])
     write_table(score.system_risk_score(pct, t), path("gold/system_risk_score"))
 
     write_table(reports.report_daily(fact), path("gold/report_daily"))
     write_table(reports.report_monthly(fact), path("gold/report_monthly"))
-    write_table(reports.report_daily_pivot(fact), path("gold/report_daily_pivot"))
+    daily = read_table(spark, tables["gold/report_daily"])
+    write_table(reports.report_daily_pivot(daily), path("gold/report_daily_pivot"))
     return tables
 
 

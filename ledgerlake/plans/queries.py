@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, TEST_WIDE, tune_session
+from ..config import DEFAULT, TEST_WIDE, scratch_path, tune_session
 from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions
 from ..sources import binding
-from ..sources.tables import read_test_table
+from ..sources.tables import read_table, read_test_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,13 @@ def canonical_fact(spark: SparkSession, sf_dir: str, t=None, **fact_options) ->
     return fact_transactions(binding.transactions(ev), binding.customers(cu), t or DEFAULT, **fact_options)
 
 
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written once to the shared scratch folder, for queries that read it in several branches."""
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path, partition_by)
+    return read_table(df.sparkSession, path)
+
+
 @query("fact_transactions")
 def q_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_fact(spark, sf_dir)
@@ -59,7 +66,7 @@ def q_report_monthly(spark, sf_dir):
 
 @query("report_daily_pivot")
 def q_report_daily_pivot(spark, sf_dir):
-    return reports.report_daily_pivot(canonical_fact(spark, sf_dir))
+    return reports.report_daily_pivot(stored(reports.report_daily(canonical_fact(spark, sf_dir)), "daily"))
 
 
 @query("kpi_new_beneficiary_high_amt")
@@ -113,6 +120,20 @@ def q_kpi6(spark, sf_dir):
     return kpis.kpi_impossible_travel(canonical_fact(spark, sf_dir))
 
 
+@query("kpi_impossible_travel_split")
+def q_kpi6_split(spark, sf_dir):
+    """KPI 6 with every customer treated as hot: the split path against the same oracle."""
+    return kpis.kpi_impossible_travel(canonical_fact(spark, sf_dir), hot_min_rows=0)
+
+
+@query("fact_beneficiary_5d")
+def q_fact_beneficiary_5d(spark, sf_dir):
+    """The fact's new-beneficiary rule with 5 days instead of 90, so that "long ago" occurs in the data."""
+    return canonical_fact(spark, sf_dir, DEFAULT.with_(new_beneficiary_days=5)).select(
+        "txn_id", "new_beneficiary_flag"
+    )
+
+
 @query("kpi_kyc_pending")
 def q_kpi7(spark, sf_dir):
     return kpis.kpi_kyc_pending(canonical_fact(spark, sf_dir))
@@ -120,17 +141,17 @@ def q_kpi7(spark, sf_dir):
 
 @query("kpi_percentages")
 def q_percentages(spark, sf_dir):
-    return score.kpi_percentages(canonical_fact(spark, sf_dir), DEFAULT)
+    return score.kpi_percentages(stored(canonical_fact(spark, sf_dir), "score-fact"), DEFAULT)
 
 
 @query("system_risk_score")
 def q_score(spark, sf_dir):
-    return score.system_risk_score(score.kpi_percentages(canonical_fact(spark, sf_dir), DEFAULT), DEFAULT)
+    return score.system_risk_score(q_percentages(spark, sf_dir), DEFAULT)
 
 
 @query("system_risk_score_1d")
 def q_score_wide(spark, sf_dir):
-    return score.system_risk_score(score.kpi_percentages(canonical_fact(spark, sf_dir), TEST_WIDE), TEST_WIDE)
+    return score.system_risk_score(score.kpi_percentages(stored(canonical_fact(spark, sf_dir), "score-fact"), TEST_WIDE), TEST_WIDE)
 
 
 # --- cleansing, dimensions, history ----------------------------------------
@@ -216,29 +237,49 @@ def q_scd2_current(spark, sf_dir):
 def q_scd2_transactions(spark, sf_dir):
     """Two ingests of the same feed: every re-ingest is a new version."""
     bronze = binding.bronze_transactions(_events(spark, sf_dir))
-    first = cleanse.silver_transactions(bronze, AS_OF)
-    second = cleanse.silver_transactions(bronze, "2024-02-02 00:00:00")
-    return scd2.rebuild(first.unionByName(second), ["txn_id"], "ingest_timestamp")
+    return scd2.rebuild(_two_ingests(cleanse.silver_transactions, bronze), ["txn_id"], "ingest_timestamp")
+
+
+def _two_ingests(silver, bronze):
+    """Two ingests of the same feed: every re-ingest is a new version."""
+    return silver(bronze, AS_OF).unionByName(silver(bronze, "2024-02-02 00:00:00"))
+
+
+@query("scd2_sessions")
+def q_scd2_sessions(spark, sf_dir):
+    return scd2.rebuild(
+        _two_ingests(cleanse.silver_sessions, binding.bronze_sessions(_events(spark, sf_dir))), ["session_id"], "ingest_timestamp"
+    )
+
+
+@query("scd2_late_batch")
+def q_scd2_late_batch(spark, sf_dir):
+    """The second version of every customer arrives after the third; the
+    tracked view of the merged history equals the one of a rebuild."""
+    keys = ["customer_id", "account_id"]
+    changes = _customer_changes(spark, sf_dir)
+    late = F.to_date("ingest_timestamp") == F.lit("2024-01-02").cast("date")
+    history = stored(scd2.rebuild(changes.filter(~late), keys, "ingest_timestamp"), "late-history")
+    merged = scd2.merge_increment(history, changes.filter(late), keys, "ingest_timestamp")
+    return scd2.tracked(merged, keys, "ingest_timestamp", ["account_balance"])
 
 
 @query("fact_partition_prune")
 def q_fact_partition_prune(spark, sf_dir):
     """Fact materialised with ``partitionBy("txn_date")``; a date predicate is
     then a PartitionFilters entry (only that directory is listed and read)."""
-    from ..config import scratch_path
-    from ..sources.tables import write_table
-
-    path = scratch_path(spark, "fact-by-date")
-    write_table(canonical_fact(spark, sf_dir), path, partition_by=("txn_date",))
-    return spark.read.parquet(path).filter(F.col("txn_date") == F.lit("2024-01-15").cast("date"))
+    return stored(canonical_fact(spark, sf_dir), "fact-by-date", ("txn_date",)).filter(F.col("txn_date") == F.lit("2024-01-15").cast("date"))
 
 
 @query("fact_from_history")
 def q_fact_from_history(spark, sf_dir):
     """The reference's path: bronze -> silver -> SCD2 history -> current
     versions of transactions and customers -> fact."""
-    txn_hist = scd2.rebuild(q_silver_txn(spark, sf_dir), ["txn_id"], "ingest_timestamp")
-    cust_hist = scd2.rebuild(q_silver_cust(spark, sf_dir), ["customer_id", "account_id"], "ingest_timestamp")
+    tune_session(spark)
+    txn_hist = stored(scd2.rebuild(q_silver_txn(spark, sf_dir), ["txn_id"], "ingest_timestamp"), "txn-history")
+    cust_hist = stored(
+        scd2.rebuild(q_silver_cust(spark, sf_dir), ["customer_id", "account_id"], "ingest_timestamp"), "cust-history"
+    )
     return fact_transactions(scd2.current(txn_hist), scd2.current(cust_hist), DEFAULT)
 
 

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TEST_WIDE, scratch_path
+from ..operators import cleanse
 from ..sources import binding, feeds
 from ..sources.tables import read_test_table
 from ..streaming import ingest, live, scd2_stream
-from .queries import query
+from .queries import _two_ingests, query
 
 
 def _land_and_ingest(spark, feed: DataFrame, fields, name: str, rescue: bool = False, csv_options=None) -> DataFrame:
@@ -98,14 +99,14 @@ def q_stream_customer_quarantine(spark, sf_dir):
 
 @query("stream_velocity_1d")
 def q_stream_velocity(spark, sf_dir):
-    """Append-mode windowed count with a 15-minute watermark: windows the
-    watermark has closed by the end of the input."""
+    """Append-mode windowed count with a 15-minute watermark, and the windows
+    still open at the end of the input: together the batch table."""
     landing, out = scratch_path(spark, "vel-landing"), scratch_path(spark, "vel-out")
     binding.transactions(_events(spark, sf_dir)).write.parquet(landing)
     q = ingest.write_append(live.velocity_stream(live.table_stream(spark, landing), TEST_WIDE), out,
                             scratch_path(spark, "vel-ck"))
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).unionByName(live.open_windows(spark.read.parquet(landing), TEST_WIDE))
 
 
 @query("stream_dedup_transactions")
@@ -126,16 +127,29 @@ def q_stream_scd2(spark, sf_dir):
     """Change feed landed out of order (version 3, then 1, then 2), applied
     micro-batch by micro-batch with foreachBatch; equals the batch rebuild."""
     changes = binding.customer_changes(read_test_table(spark, sf_dir, "customer"))
+    days = [f"2024-01-0{version}" for version in (3, 1, 2)]
+    return _stream_history(spark, changes, days, ["customer_id", "account_id"])
+
+
+def _stream_history(spark, changes: DataFrame, days: list[str], keys: list[str]) -> DataFrame:
+    """Land the changes of each day, in the given order, and apply them as a stream."""
     landing, target = scratch_path(spark, "scd2-landing"), scratch_path(spark, "scd2-target")
-    day = F.datediff(F.to_date("ingest_timestamp"), F.lit("2024-01-01").cast("date"))
-    for version in (3, 1, 2):
-        changes.filter(day == version - 1).write.mode("append").parquet(landing)
+    for day in days:
+        changes.filter(F.to_date("ingest_timestamp") == F.lit(day).cast("date")).coalesce(2).write.mode("append").parquet(landing)
     scd2_stream.run_scd2_stream(
-        live.table_stream(spark, landing, max_files_per_trigger=2),
-        target,
-        scratch_path(spark, "scd2-ck"),
-        ["customer_id", "account_id"],
-        "ingest_timestamp",
-        buckets=16,
+        live.table_stream(spark, landing, max_files_per_trigger=2), target, scratch_path(spark, "scd2-ck"), keys, "ingest_timestamp", buckets=16
     )
     return scd2_stream.read_history(spark, target)
+
+
+@query("stream_scd2_transactions")
+def q_stream_scd2_transactions(spark, sf_dir):
+    """The re-ingest arrives before the first ingest."""
+    changes = _two_ingests(cleanse.silver_transactions, binding.bronze_transactions(_events(spark, sf_dir)))
+    return _stream_history(spark, changes, ["2024-02-02", "2024-02-01"], ["txn_id"])
+
+
+@query("stream_scd2_sessions")
+def q_stream_scd2_sessions(spark, sf_dir):
+    changes = _two_ingests(cleanse.silver_sessions, binding.bronze_sessions(_events(spark, sf_dir)))
+    return _stream_history(spark, changes, ["2024-02-02", "2024-02-01"], ["session_id"])

@@ -55,6 +55,22 @@ def velocity_stream(txns: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 m
     )
 
 
+def open_windows(txns: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 minutes") -> DataFrame:
+    """The windows that :func:`velocity_stream` has not emitted at the end of
+    the input ``txns`` (a batch): those the watermark has not passed. Together
+    with the emitted ones they are the whole result."""
+    last = F.expr(f"max(txn_timestamp) - INTERVAL {delay}")
+    passed = txns.agg(last.alias("mark")).first()["mark"]
+    if passed is None:
+        passed = "1970-01-01 00:00:00"
+    # Only rows of the last windows are counted again.
+    recent = txns.filter(F.window("txn_timestamp", t.velocity_window)["end"] > F.lit(passed).cast("timestamp_ntz"))
+    counted = recent.groupBy(F.window("txn_timestamp", t.velocity_window), "customer_id").count()
+    return counted.filter(F.col("count") > t.velocity_min_count).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "customer_id", "count"
+    )
+
+
 def dedup_stream(rows: DataFrame, keys: Sequence[str], time_col: str, delay: str = "15 minutes") -> DataFrame:
     """Drop repeated keys arriving within ``delay`` of event time (first copy
     wins; state per key expires with the watermark)."""

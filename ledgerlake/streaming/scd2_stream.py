@@ -1,18 +1,20 @@
 """Incremental SCD2 from a change stream with ``foreachBatch``.
 
-The history table is Parquet, partitioned by a hash bucket of the key. Each
-micro-batch:
+The history is a bucketed table (hash of the key) of immutable folders, see
+:mod:`ledgerlake.sources.tables`. Each micro-batch:
 
 1. buckets its rows and lists the touched bucket ids (at most ``buckets``
    small integers),
-2. reads only those bucket partitions of the history (partition pruning),
+2. reads only those buckets of the published version,
 3. rebuilds the keys of the batch (:func:`merge_increment`), leaving other
    keys of those buckets as they were,
-4. checkpoints the result (cutting lineage to the files about to be
-   replaced) and overwrites just those partitions (dynamic overwrite).
+4. writes the touched buckets into a new folder and publishes it together
+   with the number of the batch.
 
-Replaying a batch after a failure gives the same table: equal
-(key, sequence) rows collapse to one during the rebuild.
+A failure before the publication leaves the old version; a batch that was
+published but not committed by the stream is recognised by its number and not
+applied again. The work of a batch follows the buckets it touches: choose
+``buckets`` so that a usual batch touches a small part of them.
 """
 
 from __future__ import annotations
@@ -20,59 +22,36 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import scd2
+from ..sources.tables import BUCKET, TableNotFound, last_batch, read_buckets, with_bucket, write_buckets
 
-BUCKET = "__bucket"
 
-
-def _read_if_exists(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def scd2_batch_writer(
-    target: str,
-    keys: Sequence[str],
-    sequence: str,
-    buckets: int = 64,
-    track_columns: Sequence[str] | None = None,
-) -> Callable[[DataFrame, int], None]:
+def scd2_batch_writer(target: str, keys: Sequence[str], sequence: str, buckets: int = 1024) -> Callable[[DataFrame, int], None]:
     keys = list(keys)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+        if batch_id <= last_batch(spark, target):
+            return
+        rows = with_bucket(batch, keys, buckets)
         touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())  # <= buckets ints
         if not touched:
             return
-        history = _read_if_exists(spark, target)
+        history = read_buckets(spark, target, touched)
         if history is None:
-            merged = scd2.rebuild(rows, keys, sequence, track_columns)
+            merged = scd2.rebuild(batch, keys, sequence)
         else:
-            affected = history.filter(F.col(BUCKET).isin(touched))
-            merged = scd2.merge_increment(affected, rows.select(*affected.drop(scd2.START, scd2.END).columns),
-                                          keys, sequence, track_columns)
-        merged = merged.checkpoint(eager=True)
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(target)
-        )
+            merged = scd2.merge_increment(history, batch.select(*history.drop(scd2.START, scd2.END).columns), keys, sequence)
+        write_buckets(with_bucket(merged, keys, buckets), target, touched, batch_id)
 
     return apply
 
 
-def run_scd2_stream(changes: DataFrame, target: str, checkpoint: str, keys: Sequence[str], sequence: str,
-                    buckets: int = 64, track_columns: Sequence[str] | None = None) -> None:
+def run_scd2_stream(changes: DataFrame, target: str, checkpoint: str, keys: Sequence[str], sequence: str, buckets: int = 1024) -> None:
     """Drain ``changes`` (a streaming DataFrame) into the SCD2 table once."""
     q = (
-        changes.writeStream.foreachBatch(scd2_batch_writer(target, keys, sequence, buckets, track_columns))
+        changes.writeStream.foreachBatch(scd2_batch_writer(target, keys, sequence, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -83,4 +62,7 @@ def run_scd2_stream(changes: DataFrame, target: str, checkpoint: str, keys: Sequ
 
 
 def read_history(spark, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BUCKET)
+    history = read_buckets(spark, target)
+    if history is None:
+        raise TableNotFound(target)
+    return history

@@ -4,22 +4,23 @@ from pyspark.sql import functions as F
 
 from ledgerlake.config import scratch_path
 from ledgerlake.plans import build
+from ledgerlake.sources.tables import read_table
 
 
 def test_build_twice(spark):
     landing, out = scratch_path(spark, "t-landing"), scratch_path(spark, "t-out")
     build.land_from_tables(spark, "/root/testdata/sf0.001", landing)
     t1 = build.run(spark, landing, out, as_of="2024-02-01 00:00:00")
-    silver = spark.read.parquet(t1["silver/transactions"]).count()
-    fact = spark.read.parquet(t1["gold/fact_transactions"])
+    silver = read_table(spark, t1["silver/transactions"]).count()
+    fact = read_table(spark, t1["gold/fact_transactions"])
     assert fact.count() == silver > 0
     assert fact.filter(F.col("txn_date") == "2024-01-15").count() > 0
-    score = spark.read.parquet(t1["gold/system_risk_score"]).collect()
+    score = read_table(spark, t1["gold/system_risk_score"]).collect()
     assert len(score) == 1 and score[0]["risk_level"] in ("LOW", "MEDIUM", "HIGH")
 
     t2 = build.run(spark, landing, out, as_of="2024-02-02 00:00:00")
-    hist = spark.read.parquet(t2["silver/transactions_history"])
+    hist = read_table(spark, t2["silver/transactions_history"])
     assert hist.count() == 2 * silver  # each re-ingest is a new version
     assert hist.filter(F.col("__END_AT").isNull()).count() == silver
     assert spark.read.parquet(t2["bronze/transactions"]).count() == spark.read.parquet(t1["bronze/transactions"]).count()
-    assert spark.read.parquet(t2["gold/fact_transactions"]).count() == silver
+    assert read_table(spark, t2["gold/fact_transactions"]).count() == silver

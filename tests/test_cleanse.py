@@ -63,3 +63,37 @@ def test_split_by_rules_first_failure(spark):
     df = spark.createDataFrame([(1, None), (-1, "x"), (5, "y")], "a int, b string")
     out = cleanse.split_by_rules(df, [("a_positive", F.col("a") > 0), ("b_present", F.col("b").isNotNull())])
     assert sorted((r["a"], r["failed_rule"]) for r in out.collect()) == [(-1, "a_positive"), (1, "b_present"), (5, None)]
+
+
+def test_wall_clock_in_a_zone_with_daylight_saving(spark):
+    from ledgerlake.functions.parsing import to_wall_timestamp
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-02-30 02:30:00",), ("x",), (None,), ("2024-03-10 02:30:00.000001",)], "s string")
+        got = [str(r[0]) for r in rows.select(to_wall_timestamp(F.col("s"), "yyyy-MM-dd HH:mm:ss")).collect()]
+        assert got == ["2024-03-10 02:30:00", "None", "None", "None", "None"]
+        fine = rows.select(to_wall_timestamp(F.col("s"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).where("t is not null").collect()
+        assert [str(r[0]) for r in fine] == ["2024-03-10 02:30:00.000001"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_clock_default(spark):
+    import datetime as dt
+
+    from ledgerlake.operators import cleanse
+    from ledgerlake.sources import binding
+
+    bronze = binding.bronze_transactions(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    stamps = [r[0] for r in cleanse.silver_transactions(bronze).select("ingest_timestamp").distinct().collect()]
+    assert len(stamps) == 1 and abs(stamps[0] - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) < dt.timedelta(minutes=10)
+
+
+def test_pivot_has_every_channel(spark):
+    from ledgerlake.operators import reports
+
+    fact = spark.createDataFrame([("2024-01-01", "ATM", 10), ("2024-01-01", "NEFT", 99)], "txn_date string, channel string, amount int")
+    got = reports.report_daily_pivot(reports.report_daily(fact)).collect()
+    assert [(int(r["ATM"]), int(r["NEFT"])) for r in got] == [(10, 99)]
