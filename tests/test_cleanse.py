@@ -97,3 +97,12 @@ def test_pivot_has_every_channel(spark):
     fact = spark.createDataFrame([("2024-01-01", "ATM", 10), ("2024-01-01", "NEFT", 99)], "txn_date string, channel string, amount int")
     got = reports.report_daily_pivot(reports.report_daily(fact)).collect()
     assert [(int(r["ATM"]), int(r["NEFT"])) for r in got] == [(10, 99)]
+
+
+def test_audit_names_the_first_failed_rule(spark):
+    rows = [{"txn_id": "1", "account_id": "a", "customer_id": "c", "amount": "5", "txn_timestamp": "2024-01-01 00:00:00.000000"},
+            {"txn_id": "2", "account_id": "a", "amount": "5"}, {"txn_id": "3", "account_id": "a", "customer_id": "c", "amount": "-1"},
+            {"txn_id": "4", "account_id": "a", "customer_id": "c", "amount": "5", "txn_timestamp": "?"}]
+    got = cleanse.audit(_bronze(spark, rows), cleanse.TRANSACTIONS)
+    named = {r["txn_id"]: r["failed_rule"] for r in got.collect()}
+    assert named == {"1": None, "2": "customer_id missing", "3": "amount not positive", "4": "txn_timestamp unreadable"}
