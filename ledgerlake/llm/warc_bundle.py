@@ -212,7 +212,8 @@ def write_archives(records: DataFrame, path: str, bundle_bytes: int = BUNDLE_BYT
 
         part, number, writer, seen = TaskContext.get().partitionId(), 0, None, 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = {name: column[k].as_py() for name, column in zip(batch.schema.names, batch.columns)}  # one payload at a time
                 if writer is None:
                     writer = BundleWriter(f"bundle-{part:06d}-{number:06d}")
                 identifier = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{row['page_id']}|{row['payload_digest']}|{part}|{seen}')}"
