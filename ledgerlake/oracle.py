@@ -7,6 +7,8 @@ as a mismatch. Tables are the driver's pre-registered views.
 
 from __future__ import annotations
 
+from .sources.feeds import TRANSACTION_FIELDS
+
 # --- bindings (must mirror ledgerlake.sources.binding) ---------------------
 
 TXN = r"""
@@ -485,7 +487,11 @@ register("bronze_customers", with_ctes(CUST, BRONZE_CUST) + "SELECT * FROM bronz
 register("bronze_sessions", with_ctes(BRONZE_SESS) + "SELECT * FROM bronze_sess")
 register("scan_csv_batch", with_ctes(BRONZE_SESS) + "SELECT * FROM bronze_sess")
 register("bronze_rescued", with_ctes(TXN, BRONZE_TXN) + """
-SELECT txn_id, coalesce(CAST(txn_id AS BIGINT) % 97 = 0, false) AS rescued FROM bronze_txn""")
+SELECT txn_id, CASE WHEN CAST(txn_id AS BIGINT) % 97 = 0 THEN """ + " || ',' || ".join(
+    "'SUCCESS,EXTRA'" if f == "status" else f"coalesce({f}, '')" for f in TRANSACTION_FIELDS) + """ END AS rescued_data FROM bronze_txn""")
+register("bronze_by_name", with_ctes(TXN, BRONZE_TXN) + """
+SELECT * EXCLUDE (status), CAST(NULL AS VARCHAR) AS status, '2024-01-31' AS ingest_ts,
+       '{"sender note":"note ' || txn_id || '"}' AS rescued_data FROM bronze_txn""")
 register("bronze_lineage", with_ctes(TXN, BRONZE_TXN) + "SELECT txn_id, true AS lineage_ok FROM bronze_txn")
 register("stream_customer_quarantine", ORACLE["quarantine_customers"])
 register("stream_velocity_1d", ORACLE["kpi_transaction_velocity_1d"])

@@ -65,8 +65,7 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
 
     # bronze: exactly-once file ingest
     for feed, (fields, rescue) in FEEDS.items():
-        ingest.ingest_bronze(spark, f"{landing}/{feed}", feeds.raw_schema(fields, rescue), path(f"bronze/{feed}"),
-                             f"{ckpt}/bronze_{feed}")
+        ingest.ingest_bronze(spark, f"{landing}/{feed}", fields, path(f"bronze/{feed}"), f"{ckpt}/bronze_{feed}", rescue)
     bt = spark.read.parquet(tables["bronze/transactions"])
     bc = spark.read.parquet(tables["bronze/customers"])
     bs = spark.read.parquet(tables["bronze/device_sessions"])

@@ -24,7 +24,7 @@ def _land_and_ingest(spark, feed: DataFrame, fields, name: str, rescue: bool = F
     for k, v in (csv_options or {}).items():
         writer = writer.option(k, v)
     writer.csv(landing)
-    ingest.ingest_bronze(spark, landing, feeds.raw_schema(fields, rescue=rescue), table, ckpt)
+    ingest.ingest_bronze(spark, landing, fields, table, ckpt, rescue)
     return spark.read.parquet(table)
 
 
@@ -61,7 +61,20 @@ def q_bronze_rescued(spark, sf_dir):
     feed = feed.withColumn("status", F.when(eid % 97 == 0, F.lit("SUCCESS,EXTRA")).otherwise(F.col("status")))
     bronze = _land_and_ingest(spark, feed, feeds.TRANSACTION_FIELDS, "bronze-rescue", rescue=True,
                               csv_options={"quote": ""})
-    return bronze.select("txn_id", F.col("rescued_data").isNotNull().alias("rescued"))
+    # With quoting off the CSV writer puts NUL characters round such a value.
+    return bronze.select("txn_id", F.translate("rescued_data", "\x00", "").alias("rescued_data"))
+
+
+@query("bronze_by_name")
+def q_bronze_by_name(spark, sf_dir):
+    """A file with another column order, without ``status``, with the sender's
+    ingest time and a column no field is declared for."""
+    feed = binding.bronze_transactions(_events(spark, sf_dir))
+    kept = [c for c in reversed(feed.columns) if c != "status"]
+    note = F.concat(F.lit("note "), F.col("txn_id"))
+    feed = feed.select(*kept, F.lit("2024-01-31").alias("_ingest_ts"), note.alias("sender note"))
+    bronze = _land_and_ingest(spark, feed, feeds.TRANSACTION_FIELDS, "bronze-name", rescue=True)
+    return bronze.select(*feeds.TRANSACTION_FIELDS, "ingest_ts", "rescued_data")
 
 
 @query("bronze_lineage")
@@ -89,7 +102,7 @@ def q_stream_customer_quarantine(spark, sf_dir):
     feed = binding.bronze_customers(read_test_table(spark, sf_dir, "customer"), read_test_table(spark, sf_dir, "nation"))
     landing, bronze, quarantine = (scratch_path(spark, f"sq-{p}") for p in ("landing", "bronze", "quarantine"))
     feeds.land_csv(feed, landing, mode="overwrite")
-    ingest.ingest_bronze(spark, landing, feeds.raw_schema(feeds.CUSTOMER_FIELDS), bronze, scratch_path(spark, "sq-ck1"))
+    ingest.ingest_bronze(spark, landing, feeds.CUSTOMER_FIELDS, bronze, scratch_path(spark, "sq-ck1"))
     q = ingest.write_append(
         live.quarantine_customers_stream(live.table_stream(spark, bronze)), quarantine, scratch_path(spark, "sq-ck2")
     )

@@ -30,24 +30,52 @@ SESSION_FIELDS = (
     "location_country", "location_city", "device_type", "os", "browser", "is_new_device", "is_new_location",
 )
 
+# Columns the feeds carry besides: the sender's ingest time, and (transactions) text it could not place.
+INGEST_TS = "_ingest_ts"
 RESCUE_COLUMN = "_rescued_data"
+RAW_RECORD = "__raw_record"
 
 
-def raw_schema(fields: Sequence[str], rescue: bool = False) -> StructType:
+def landed_columns(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """The header of the files under ``path`` (one line is read)."""
+    return spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path).columns
+
+
+def raw_schema(columns: Sequence[str], rescue: bool = False) -> StructType:
     """All-string schema; with ``rescue`` a trailing column receives the raw
     line of any record that does not fit (too many/few tokens)."""
-    cols = [StructField(f, StringType(), True) for f in fields]
+    names = [*columns, RAW_RECORD] if rescue else list(columns)
+    return StructType([StructField(n, StringType(), True) for n in names])
+
+
+def by_name(df: DataFrame, fields: Sequence[str], rescue: bool) -> DataFrame:
+    """The declared ``fields`` in their order, whatever the order of the file.
+
+    A field the file lacks is NULL. With ``rescue`` what has no field of its
+    own lands in the rescue column: the raw line of a record that does not fit
+    the header, else the extra columns as JSON, else what the sender rescued.
+    Without it, extra columns are left out.
+    """
+    have = set(df.columns)
+    out = [F.col(f) if f in have else F.lit(None).cast("string").alias(f) for f in fields]
     if rescue:
-        cols.append(StructField(RESCUE_COLUMN, StringType(), True))
-    return StructType(cols)
+        extra = [c for c in df.columns if c not in (*fields, RESCUE_COLUMN, RAW_RECORD)]
+        parts = [F.col(RAW_RECORD)] if RAW_RECORD in have else []
+        if extra:
+            some = F.greatest(*[F.col(c).isNotNull() for c in extra]) if len(extra) > 1 else F.col(extra[0]).isNotNull()
+            parts.append(F.when(some, F.to_json(F.struct(*extra))))
+        if RESCUE_COLUMN in have:
+            parts.append(F.col(RESCUE_COLUMN))
+        out.append(F.coalesce(*parts, F.lit(None).cast("string")).alias(RESCUE_COLUMN))
+    return df.select(*out, "_metadata")
 
 
 def _csv_options(reader, schema: StructType, sep: str):
     reader = reader.schema(schema).option("header", True).option("sep", sep)
-    if RESCUE_COLUMN in schema.fieldNames():
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUE_COLUMN)
-    # Check the header against the declared columns: a re-ordered file is an
-    # error instead of silently shifting values between columns.
+    if RAW_RECORD in schema.fieldNames():
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_RECORD)
+    # Check every file's header against the schema: a file with another header
+    # is an error instead of silently shifting values between columns.
     return reader.option("enforceSchema", False)
 
 
@@ -58,21 +86,23 @@ def read_csv_batch(spark: SparkSession, path: str, schema: StructType | None = N
     return _csv_options(spark.read, schema, sep).csv(path)
 
 
-def read_csv_stream(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+def read_csv_stream(spark: SparkSession, path: str, fields: Sequence[str], rescue: bool = False, sep: str = ",",
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental directory stream: each new file is read exactly once (the
-    query checkpoint records the files already seen)."""
+    query checkpoint records the files already seen). Columns are matched by
+    the name in the header."""
+    schema = raw_schema(landed_columns(spark, path, sep), rescue)
     reader = _csv_options(spark.readStream, schema, sep)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path)
+    return by_name(reader.csv(path), [*fields, INGEST_TS], rescue)
 
 
 def with_lineage(df: DataFrame, ingest_time=None) -> DataFrame:
     """Bronze shaping: expose the file metadata struct, clean column names
     (``_metadata`` -> ``metadata``, ``_rescued_data`` -> ``rescued_data``),
     add ``source_file``, ``file_name`` and ``ingest_timestamp``."""
-    df = clean_columns(df.select("*", "_metadata"))
+    df = clean_columns(df if "_metadata" in df.columns else df.select("*", "_metadata"))
     return (
         df.withColumn("source_file", F.col("metadata.file_path"))
         .withColumn("file_name", file_name_of(F.col("metadata.file_path")))

@@ -10,17 +10,18 @@ processing-time trigger instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..sources.feeds import read_csv_stream, with_lineage
 
 
-def bronze_stream(spark: SparkSession, landing: str, schema: StructType,
+def bronze_stream(spark: SparkSession, landing: str, fields: Sequence[str], rescue: bool = False,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming bronze DataFrame: declared strings, rescued records, lineage."""
-    return with_lineage(read_csv_stream(spark, landing, schema, max_files_per_trigger=max_files_per_trigger))
+    return with_lineage(read_csv_stream(spark, landing, fields, rescue, max_files_per_trigger=max_files_per_trigger))
 
 
 def write_append(df: DataFrame, table_path: str, checkpoint: str, available_now: bool = True,
@@ -33,10 +34,10 @@ def write_append(df: DataFrame, table_path: str, checkpoint: str, available_now:
     return writer.start(table_path)
 
 
-def ingest_bronze(spark: SparkSession, landing: str, schema: StructType, table_path: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None) -> None:
+def ingest_bronze(spark: SparkSession, landing: str, fields: Sequence[str], table_path: str, checkpoint: str,
+                  rescue: bool = False, max_files_per_trigger: int | None = None) -> None:
     """Run one availableNow ingest of ``landing`` into ``table_path``."""
-    q = write_append(bronze_stream(spark, landing, schema, max_files_per_trigger), table_path, checkpoint)
+    q = write_append(bronze_stream(spark, landing, fields, rescue, max_files_per_trigger), table_path, checkpoint)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
