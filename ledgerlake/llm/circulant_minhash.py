@@ -13,7 +13,8 @@ bucket each node is compared with one pivot (chosen by a hash, another one in
 each band); confirmed links are merged into components. What is then left is
 every pair of nodes in one bucket with different components: nodes outside
 the bucket's largest component are compared with all its members, in blocks
-of bounded size, first by signature agreement, then exactly. Nothing is capped.
+of bounded size, first by signature agreement, then exactly. Each pair is looked at in the
+first bucket it shares. Nothing is capped.
 
 Scale: three narrow tables move (class keys, band keys, links); shingle sets
 are built only for nodes that share a bucket, found by a bitmap of fixed size.
@@ -167,7 +168,7 @@ def node_sets(bodies: DataFrame, reps: DataFrame) -> DataFrame:
                 if len(shingles):
                     nodes.append(node_of(text_key(body)))
                     sets.append(shingles.tobytes())
-                    sigs.append(signature(shingles).astype(np.uint16).tobytes())
+                    sigs.append(signature(shingles).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["node", "shingles", "sig"]
             )
@@ -182,16 +183,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(small) < MIN_PERCENT * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * both >= MIN_PERCENT * (len(x) + len(y) - both))
+            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                    for x, y in zip(batch.column("sa"), batch.column("sb"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
@@ -223,30 +216,52 @@ def components(links: DataFrame, reps: DataFrame) -> DataFrame:
             return labels.select("node", "label")
 
 
-def block_pairs(rest: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of a rest node and a member of another component whose signatures agree enough."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough to be linked."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < MIN_PERCENT * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= MIN_PERCENT * (len(x) + len(y) - both)
+
+
+def block_links(rest: DataFrame, members: DataFrame) -> DataFrame:
+    """Confirmed links ``(a, b)`` of rest nodes with members of other components.
+
+    Every pair of a bucket is looked at, in the first band that the two share;
+    the exact comparison is left out only where the signatures disagree too
+    much or the two components are linked already. One link per pair of
+    components and block is enough for the components, so the output does not
+    grow with the pairs.
+    """
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b = [], []
+        a, b, joined = [], [], set()
         if left.num_rows and right.num_rows:
-            sig = [np.frombuffer(b"".join(t.column(f"{tag}_sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+            sig = [np.frombuffer(b"".join(t.column(f"{tag}_sig").to_pylist()), np.uint32).reshape(-1, COORDINATES)
                    for tag, t in (("r", left), ("m", right))]
+            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in t.column(f"{tag}_shingles")] for tag, t in (("r", left), ("m", right))]
             label = [left.column("r_label").to_numpy(), right.column("m_label").to_numpy()]
             node = [left.column("r_node").to_numpy(), right.column("m_node").to_numpy()]
+            slot = left.column("r_slot")[0].as_py()
             columns = np.ascontiguousarray(sig[1].T)
             for i in range(left.num_rows):
-                other = label[1] != label[0][i]
-                if other.any():
-                    agree = (columns == sig[0][i][:, None]).sum(axis=0, dtype=np.int16)
-                    hit = np.nonzero(other & (agree >= MIN_AGREEMENT))[0]
-                    a.append(np.minimum(node[1][hit], node[0][i]))
-                    b.append(np.maximum(node[1][hit], node[0][i]))
-        cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        return pa.Table.from_arrays([pa.array(cat(a), pa.int64()), pa.array(cat(b), pa.int64())], schema=out)
-
-    left, right = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in ("band", "block", "node", "label", "sig")])
-                   for tag, df in (("r", rest), ("m", members)))
+                equal = columns == sig[0][i][:, None]
+                agree = equal.sum(axis=0, dtype=np.int16)
+                hit = np.nonzero((label[1] != label[0][i]) & (agree >= MIN_AGREEMENT))[0]
+                first = equal[:, hit].reshape(BANDS, ROWS, -1).all(axis=1).argmax(axis=0)
+                hit = hit[first == slot]
+                for j in hit[np.argsort(-agree[hit], kind="stable")].tolist():
+                    pair = (min(label[0][i], label[1][j]), max(label[0][i], label[1][j]))
+                    if pair not in joined and similar(sets[0][i], sets[1][j]):
+                        joined.add(pair)
+                        a.append(int(min(node[0][i], node[1][j])))
+                        b.append(int(max(node[0][i], node[1][j])))
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    names = ("band", "block", "slot", "node", "label", "sig", "shingles")
+    left, right = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in names]) for tag, df in (("r", rest), ("m", members)))
     grouped = left.groupBy("r_band", "r_block").cogroup(right.groupBy("m_band", "m_block"))
     return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
 
@@ -263,7 +278,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     # One row of each class brings the bands; buckets with one node only are dropped at once.
     firsts = rows.where(F.col("key").isNotNull()).join(classes.select("key", "rep"), "key").where(F.col("doc_id") == F.col("rep"))
-    banded = firsts.select("node", F.explode("bands").alias("band"))
+    banded = firsts.select("node", F.posexplode("bands").alias("slot", "band"))
     draw = F.struct(F.xxhash64("node", "band").alias("draw"), F.col("node").alias("node"))
     buckets = (
         banded.groupBy("band")
@@ -284,7 +299,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     # The exact rest: buckets of three or more nodes that still hold several components.
     known = shared.where("size > 2").join(labels, "node", "left").join(reps, "node").select(
-        "band", "node", "pivot", F.coalesce("label", "rep").alias("label")
+        "band", "slot", "node", "pivot", F.coalesce("label", "rep").alias("label")
     ).distinct()
     known = materialised(known, "minhash-known")
     by_label = known.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -294,14 +309,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     blocks = F.ceil(F.col("all") / F.lit(BLOCK)).cast("int")
     left = known.join(mixed, "band").withColumn("blocks", blocks)
     rest = left.where((F.col("label") != F.col("main")) & (F.col("node") != F.col("pivot")))
-    rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "block", "node", "label")
-    members = left.where(F.col("node") != F.col("pivot")).select(
-        "band", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "label"
-    )
-    sigs = sets.groupBy("node").agg(F.min("sig").alias("sig"))
-    more = materialised(block_pairs(rest.join(sigs, "node"), members.join(sigs, "node")), "minhash-rest")
+    rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = left.where(F.col("node") != F.col("pivot")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    wanted = left.select("node").distinct()
+    wanted = materialised(sets.join(wanted, "node").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")), "minhash-wanted")
+    more = materialised(block_links(rest.join(wanted, "node"), members.join(wanted, "node")), "minhash-rest")
     if more.limit(1).count():
-        labels = components(links.unionByName(confirmed(more, sets)).distinct(), reps)
+        labels = components(links.unionByName(more).distinct(), reps)
 
     by_key = classes.join(labels, "node", "left").select("key", F.coalesce("label", "rep").alias("label"))
     # rep is the class minimum; a label may be smaller still, never larger.
