@@ -296,14 +296,16 @@ def shared_grams(blocks: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
         number = block.column("block")[0].as_py()
         low = (unique & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         high = (unique >> np.uint64(32)).astype(np.uint8)
+        # Only ranges that the block has grams of; the last row carries its splitter sample.
+        parts = [(r, x, y) for r, (x, y) in enumerate(zip(cut.tolist(), cut[1:].tolist())) if x < y]
         return pa.Table.from_pydict(
             {
-                "range": pa.array([*range(ranges), -1], pa.int32()),
-                "block": pa.array([number] * (ranges + 1), pa.int32()),
-                "low": pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:])] + [b""], pa.binary()),
-                "high": pa.array([run_lengths(high[a:b]) for a, b in zip(cut, cut[1:])] + [b""], pa.binary()),
-                "several": pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(cut, cut[1:])] + [b""], pa.binary()),
-                "leads": pa.array([[]] * ranges + [leads], pa.list_(pa.binary())),
+                "range": pa.array([r for r, _, _ in parts] + [-1], pa.int32()),
+                "block": pa.array([number] * (len(parts) + 1), pa.int32()),
+                "low": pa.array([low[x:y].tobytes() for _, x, y in parts] + [b""], pa.binary()),
+                "high": pa.array([run_lengths(high[x:y]) for _, x, y in parts] + [b""], pa.binary()),
+                "several": pa.array([np.packbits(several[x:y]).tobytes() for _, x, y in parts] + [b""], pa.binary()),
+                "leads": pa.array([[]] * len(parts) + [leads], pa.list_(pa.binary())),
             }
         )
 
@@ -316,12 +318,13 @@ def shared_grams(blocks: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
         flags = [np.unpackbits(np.frombuffer(f, np.uint8))[: len(g)].astype(bool) for f, g in zip(group.column("several").to_pylist(), grams)]
         every = np.sort(np.concatenate(grams))
         again = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[g[f] for g, f in zip(grams, flags)]]))
-        replies = [g[np.isin(g, again, assume_unique=True)] for g in grams]
+        replies = [(n, g[np.isin(g, again, assume_unique=True)]) for n, g in zip(numbers, grams)]
+        replies = [(n, g) for n, g in replies if len(g)]
         return pa.Table.from_pydict(
-            {"block": pa.array(numbers, pa.int32()), "grams": pa.array([r.tobytes() for r in replies], pa.binary())}
+            {"block": pa.array([n for n, _ in replies], pa.int32()), "grams": pa.array([g.tobytes() for _, g in replies], pa.binary())}
         )
 
-    asked = sent.where("range >= 0 and octet_length(low) > 0").drop("leads")
+    asked = sent.where("range >= 0").drop("leads")
     replies = materialised(asked.groupBy("range").applyInArrow(answer, "block int, grams binary"), "suffix-shared")
     return replies, sent.where("range = -1").select(F.explode("leads").alias("lead"))
 
