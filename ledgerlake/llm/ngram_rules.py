@@ -31,7 +31,7 @@ SYMBOLS = b"#*$%&|<>"
 #: Labelled rows that may define the trusted target (a documented bound).
 TARGET_ROWS = 20_000
 #: Mean log ratio a document needs; clean text scores around 0, junk far below.
-MIN_SCORE = -0.3
+MIN_SCORE = -0.25
 BITS = 16
 
 
