@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialised, table, utf8
+from .common import Scratch, free_names, materialised, table, utf8
 
 SHINGLE = 5
 BANDS, ROWS = 28, 4
@@ -151,7 +151,7 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def node_sets(bodies: DataFrame, reps: DataFrame) -> DataFrame:
+def node_sets(bodies: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, shingles, sig)`` of the rows that stand for a node of ``reps(id)`` (a few others may be among them)."""
     shared = bodies.sparkSession.sparkContext.broadcast(id_bitmap(reps))
     slotted = bodies.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
@@ -173,10 +173,10 @@ def node_sets(bodies: DataFrame, reps: DataFrame) -> DataFrame:
                 [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["node", "shingles", "sig"]
             )
 
-    return materialised(slotted.mapInArrow(run, "node bigint, shingles binary, sig binary"), "minhash-sets")
+    return scratch.table(slotted.mapInArrow(run, "node bigint, shingles binary, sig binary"), "minhash-sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows ``(a, b)`` of ``pairs`` whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
@@ -188,28 +188,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return materialised(full.mapInArrow(run, "a bigint, b bigint").distinct(), "minhash-links")
+    return scratch.table(full.mapInArrow(run, "a bigint, b bigint").distinct(), "minhash-links")
 
 
-def components(links: DataFrame, reps: DataFrame) -> DataFrame:
+def components(links: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, label)`` of all linked nodes: the smallest ``rep`` that links reach."""
-    both = materialised(
+    both = scratch.table(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "minhash-edges"
     )
     nodes = both.select(F.col("a").alias("node")).distinct()
-    labels = materialised(nodes.join(reps, "node").select("node", "rep", F.col("rep").alias("label")), "minhash-labels")
+    labels = scratch.table(nodes.join(reps, "node").select("node", "rep", F.col("rep").alias("label")), "minhash-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), "b").groupBy("a").agg(F.min("seen").alias("seen"))
         stepped = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select(
             "node", "rep", "label", F.least("label", F.coalesce("seen", "label")).alias("next")
         )
-        stepped = materialised(stepped, "minhash-step")
+        stepped = scratch.table(stepped, "minhash-step")
         # Pointer jumping: a label is a rep; that rep's own label may be smaller.
         jump = stepped.groupBy(F.col("rep").alias("next")).agg(F.min("next").alias("far"))
         jumped = stepped.join(jump, "next", "left").select(
             "node", "rep", F.least("next", F.coalesce("far", "next")).alias("new"), "label"
         )
-        jumped = materialised(jumped, "minhash-jump")
+        jumped = scratch.table(jumped, "minhash-jump")
         changed = jumped.where(F.col("new") != F.col("label")).limit(1).count()
         labels = jumped.select("node", "rep", F.col("new").alias("label"))
         if not changed:
@@ -268,10 +268,11 @@ def block_links(rest: DataFrame, members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``."""
+    scratch = Scratch(docs.sparkSession)
     last = F.lit(2**63 - 1)  # stands for a null id, after all others
     bodies = docs.select(F.coalesce(F.col(id_col).cast("bigint"), last).alias("doc_id"), utf8(F.col(text_col)).alias("body"))
-    rows = materialised(described(bodies), "minhash-rows")
-    classes = materialised(
+    rows = scratch.table(described(bodies), "minhash-rows")
+    classes = scratch.table(
         rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("node").alias("node")), "minhash-classes"
     )
     reps = classes.groupBy("node").agg(F.min("rep").alias("rep"))
@@ -286,22 +287,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .where(F.col("hi") != F.col("lo"))
         .drop("hi", "lo")
     )
-    shared = materialised(banded.join(buckets, "band"), "minhash-buckets")
+    shared = scratch.table(banded.join(buckets, "band"), "minhash-buckets")
     pairs = (
         shared.where(F.col("node") != F.col("pivot"))
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
     used = shared.select("node").distinct().join(reps, "node").select(F.col("rep").alias("id"))
-    sets = node_sets(bodies, used)
-    links = confirmed(pairs, sets)
-    labels = components(links, reps)
+    sets = node_sets(bodies, used, scratch)
+    links = confirmed(pairs, sets, scratch)
+    labels = components(links, reps, scratch)
 
     # The exact rest: buckets of three or more nodes that still hold several components.
     known = shared.where("size > 2").join(labels, "node", "left").join(reps, "node").select(
         "band", "slot", "node", "pivot", F.coalesce("label", "rep").alias("label")
     ).distinct()
-    known = materialised(known, "minhash-known")
+    known = scratch.table(known, "minhash-known")
     by_label = known.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = by_label.groupBy("band").agg(
         F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels")
@@ -312,19 +313,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = left.where(F.col("node") != F.col("pivot")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     wanted = left.select("node").distinct()
-    wanted = materialised(sets.join(wanted, "node").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")), "minhash-wanted")
-    more = materialised(block_links(rest.join(wanted, "node"), members.join(wanted, "node")), "minhash-rest")
+    wanted = scratch.table(sets.join(wanted, "node").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")), "minhash-wanted")
+    more = scratch.table(block_links(rest.join(wanted, "node"), members.join(wanted, "node")), "minhash-rest")
     if more.limit(1).count():
-        labels = components(links.unionByName(more).distinct(), reps)
+        labels = components(links.unionByName(more).distinct(), reps, scratch)
 
     by_key = classes.join(labels, "node", "left").select("key", F.coalesce("label", "rep").alias("label"))
     # rep is the class minimum; a label may be smaller still, never larger.
     marked = rows.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
     component = F.coalesce("label", "doc_id")
     clean = lambda c: F.nullif(c, last)
-    return marked.select(
+    result = marked.select(
         clean(F.col("doc_id")).alias("doc_id"), "n_shingles", clean(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
+    result = materialised(result, "minhash-result")
+    scratch.clear()
+    return result
 
 
 def op5(spark, sf_dir):

@@ -49,6 +49,31 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Folders of one operator run in the shared scratch folder, removed by
+    :meth:`clear` once the operator's result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once and read back."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, name: str = "") -> None:
+        """Remove the folders whose name starts with ``name`` (all by default)."""
+        for path in [p for p in self.paths if p.rsplit("/", 1)[1].startswith(name)]:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self.paths.remove(path)
+
+
 def unique_ids(df: DataFrame, column: str, limit: int) -> DataFrame:
     """At most ``limit`` distinct non-null values of ``column``, chosen by a
     hash of the value (the same on every run), marked for a broadcast join:
@@ -69,5 +94,5 @@ def arrow_rows(make, schema):
     return run
 
 
-__all__ = ["WORD_WS", "WORD_ALNUM", "table", "lower_ascii", "utf8", "free_names", "materialised", "unique_ids", "arrow_rows",
+__all__ = ["WORD_WS", "WORD_ALNUM", "table", "lower_ascii", "utf8", "free_names", "materialised", "Scratch", "unique_ids", "arrow_rows",
            "ensure_checkpoint_dir", "scratch_path"]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialised, scratch_path, table, utf8
+from .common import Scratch, free_names, materialised, table, utf8
 
 LENGTH = 50
 GRAM = 24
@@ -261,7 +261,7 @@ def covered_places(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
 # -- Spark steps ---------------------------------------------------------------------------
 
 
-def stored_blocks(bodies: DataFrame) -> tuple[str, int]:
+def stored_blocks(bodies: DataFrame, scratch: Scratch) -> tuple[str, int]:
     """``bodies(doc_id, body)`` as a table bucketed by block, in the shared scratch folder."""
     spark = bodies.sparkSession
     size = bodies.agg(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -269,13 +269,13 @@ def stored_blocks(bodies: DataFrame) -> tuple[str, int]:
     name = f"suffix_blocks_{uuid.uuid4().hex}"
     placed = bodies.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int"))
     (
-        placed.repartition(count, "block").write.format("parquet").option("path", scratch_path(spark, "suffix-blocks"))
+        placed.repartition(count, "block").write.format("parquet").option("path", scratch.path("suffix-blocks"))
         .option("compression", "zstd").bucketBy(count, "block").sortBy("block").saveAsTable(name)
     )
     return name, count
 
 
-def shared_grams(blocks: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
+def shared_grams(blocks: DataFrame, ranges: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``(block, grams)``: the short hashes of each block that another document has too; and the splitter sample."""
 
     def send(block: pa.Table) -> pa.Table:
@@ -310,7 +310,7 @@ def shared_grams(blocks: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
         )
 
     kind = "range int, block int, low binary, high binary, several binary, leads array<binary>"
-    sent = materialised(blocks.groupBy("block").applyInArrow(send, kind), "suffix-grams")
+    sent = scratch.table(blocks.groupBy("block").applyInArrow(send, kind), "suffix-grams")
 
     def answer(group: pa.Table) -> pa.Table:
         numbers = group.column("block").to_pylist()
@@ -325,7 +325,7 @@ def shared_grams(blocks: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
         )
 
     asked = sent.where("range >= 0").drop("leads")
-    replies = materialised(asked.groupBy("range").applyInArrow(answer, "block int, grams binary"), "suffix-shared")
+    replies = scratch.table(asked.groupBy("range").applyInArrow(answer, "block int, grams binary"), "suffix-shared")
     return replies, sent.where("range = -1").select(F.explode("leads").alias("lead"))
 
 
@@ -438,10 +438,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     (without characters that lost a byte) and the hash of the input."""
     spark = docs.sparkSession
     bodies = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc_id"), utf8(F.col(text_col)).alias("body"))
-    name, ranges = stored_blocks(bodies)
+    scratch = Scratch(spark)
+    name, ranges = stored_blocks(bodies, scratch)
     blocks = spark.table(name)
-    replies, leads = shared_grams(blocks, ranges)
-    masks = materialised(sorted_ranges(sent_suffixes(blocks, replies, splitters(leads, ranges))), "suffix-masks")
+    replies, leads = shared_grams(blocks, ranges, scratch)
+    cuts = splitters(leads, ranges)
+    scratch.clear("suffix-grams")
+    masks = scratch.table(sorted_ranges(sent_suffixes(blocks, replies, cuts)), "suffix-masks")
     nothing = F.lit(None).cast("binary")
     news = replies.select("block", "grams", nothing.alias("numbers"), nothing.alias("masks")).unionByName(
         masks.select("block", nothing.alias("grams"), "numbers", "masks")
@@ -470,6 +473,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     done = blocks.groupBy("block").cogroup(news.groupBy("block")).applyInArrow(finish, RESULT_DDL)
     done = materialised(done if changed_texts else done.drop("kept", "input_sha256"), "suffix-result")
     spark.sql(f"DROP TABLE {name}")
+    scratch.clear()
     return done
 
 
