@@ -191,27 +191,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(full.mapInArrow(run, "a bigint, b bigint").distinct(), "minhash-links")
 
 
-def components(links: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(node, label)`` of all linked nodes: the smallest ``rep`` that links reach."""
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(node, label)`` of all linked nodes: the smallest node that links reach."""
     both = scratch.table(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "minhash-edges"
     )
-    nodes = both.select(F.col("a").alias("node")).distinct()
-    labels = scratch.table(nodes.join(reps, "node").select("node", "rep", F.col("rep").alias("label")), "minhash-labels")
+    labels = scratch.table(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "minhash-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("seen")), "b").groupBy("a").agg(F.min("seen").alias("seen"))
         stepped = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select(
-            "node", "rep", "label", F.least("label", F.coalesce("seen", "label")).alias("next")
+            "node", "label", F.least("label", F.coalesce("seen", "label")).alias("next")
         )
         stepped = scratch.table(stepped, "minhash-step")
-        # Pointer jumping: a label is a rep; that rep's own label may be smaller.
-        jump = stepped.groupBy(F.col("rep").alias("next")).agg(F.min("next").alias("far"))
-        jumped = stepped.join(jump, "next", "left").select(
-            "node", "rep", F.least("next", F.coalesce("far", "next")).alias("new"), "label"
-        )
+        # Pointer jumping: a label is a node; that node's own label may be smaller.
+        jump = stepped.select(F.col("node").alias("next"), F.col("next").alias("far"))
+        jumped = stepped.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("new"), "label")
         jumped = scratch.table(jumped, "minhash-jump")
         changed = jumped.where(F.col("new") != F.col("label")).limit(1).count()
-        labels = jumped.select("node", "rep", F.col("new").alias("label"))
+        labels = jumped.select("node", F.col("new").alias("label"))
         if not changed:
             return labels.select("node", "label")
 
@@ -296,11 +293,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     used = shared.select("node").distinct().join(reps, "node").select(F.col("rep").alias("id"))
     sets = node_sets(bodies, used, scratch)
     links = confirmed(pairs, sets, scratch)
-    labels = components(links, reps, scratch)
+    labels = components(links, scratch)
 
     # The exact rest: buckets of three or more nodes that still hold several components.
-    known = shared.where("size > 2").join(labels, "node", "left").join(reps, "node").select(
-        "band", "slot", "node", "pivot", F.coalesce("label", "rep").alias("label")
+    known = shared.where("size > 2").join(labels, "node", "left").select(
+        "band", "slot", "node", "pivot", F.coalesce("label", "node").alias("label")
     ).distinct()
     known = scratch.table(known, "minhash-known")
     by_label = known.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -316,12 +313,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     wanted = scratch.table(sets.join(wanted, "node").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")), "minhash-wanted")
     more = scratch.table(block_links(rest.join(wanted, "node"), members.join(wanted, "node")), "minhash-rest")
     if more.limit(1).count():
-        labels = components(links.unionByName(more).distinct(), reps, scratch)
+        labels = components(links.unionByName(more).distinct(), scratch)
 
-    by_key = classes.join(labels, "node", "left").select("key", F.coalesce("label", "rep").alias("label"))
-    # rep is the class minimum; a label may be smaller still, never larger.
+    # Components are known by their nodes; ids, which may be null or repeated, only name them.
+    smallest = labels.join(reps, "node").groupBy("label").agg(F.min("rep").alias("component"))
+    by_key = classes.join(labels.join(smallest, "label").select("node", "component"), "node", "left").select(
+        "key", F.coalesce("component", "rep").alias("component")
+    )
     marked = rows.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
-    component = F.coalesce("label", "doc_id")
+    component = F.coalesce("component", "doc_id")
     clean = lambda c: F.nullif(c, last)
     result = marked.select(
         clean(F.col("doc_id")).alias("doc_id"), "n_shingles", clean(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
