@@ -38,10 +38,10 @@ import types
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_names, materialised, table, utf8
+from .common import WORD_WS, Scratch, free_names, materialised, table, utf8
 
 SHINGLE = 5
 BANDS, ROWS = 28, 4
@@ -119,7 +119,7 @@ def node_of(key: bytes) -> int:
 
 
 def described(bodies: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, key, node, bands)`` per row of ``bodies(doc_id, body)``; key is null without words."""
+    """``(doc_id, digest, n_shingles, key, node, bands)`` per row of ``bodies(doc_id, body, digest)``; key is null without words."""
 
     def run(batches):
         for batch in batches:
@@ -133,12 +133,12 @@ def described(bodies: DataFrame) -> DataFrame:
                 nodes.append(None if key is None else node_of(key))
                 bands.append(band_keys(signature(shingles)) if len(shingles) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(nodes, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "key", "node", "bands"],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "digest", "n_shingles", "key", "node", "bands"],
             )
 
-    return bodies.mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, node bigint, bands array<bigint>")
+    return bodies.mapInArrow(run, "doc_id bigint, digest binary, n_shingles bigint, key binary, node bigint, bands array<bigint>")
 
 
 def id_bitmap(ids: DataFrame) -> np.ndarray:
@@ -263,16 +263,30 @@ def block_links(rest: DataFrame, members: DataFrame) -> DataFrame:
     return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits that tell texts apart; null counts as the empty text."""
+    return F.unhex(F.md5(utf8(text)))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``."""
+    return marked_rows(docs, id_col=id_col, text_col=text_col).drop("digest", "only")
+
+
+def marked_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of :func:`near_duplicates` with ``digest`` (of the text) and
+    ``only``: whether ``(doc_id, digest)`` is the one of its component that stays."""
     scratch = Scratch(docs.sparkSession)
     last = F.lit(2**63 - 1)  # stands for a null id, after all others
-    bodies = docs.select(F.coalesce(F.col(id_col).cast("bigint"), last).alias("doc_id"), utf8(F.col(text_col)).alias("body"))
+    bodies = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), last).alias("doc_id"), utf8(F.col(text_col)).alias("body"), text_digest(F.col(text_col)).alias("digest")
+    )
     rows = scratch.table(described(bodies), "minhash-rows")
     classes = scratch.table(
-        rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("node").alias("node")), "minhash-classes"
+        rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.first("node").alias("node"))
+        .select("key", F.col("first.doc_id").alias("rep"), F.col("first.digest").alias("digest"), "node"), "minhash-classes"
     )
-    reps = classes.groupBy("node").agg(F.min("rep").alias("rep"))
+    reps = classes.groupBy("node").agg(F.min(F.struct("rep", "digest")).alias("first")).select("node", "first.rep", "first.digest")
 
     # One row of each class brings the bands; buckets with one node only are dropped at once.
     firsts = rows.where(F.col("key").isNotNull()).join(classes.select("key", "rep"), "key").where(F.col("doc_id") == F.col("rep"))
@@ -291,7 +305,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .distinct()
     )
     used = shared.select("node").distinct().join(reps, "node").select(F.col("rep").alias("id"))
-    sets = node_sets(bodies, used, scratch)
+    sets = node_sets(bodies.drop("digest"), used, scratch)
     links = confirmed(pairs, sets, scratch)
     labels = components(links, scratch)
 
@@ -316,15 +330,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         labels = components(links.unionByName(more).distinct(), scratch)
 
     # Components are known by their nodes; ids, which may be null or repeated, only name them.
-    smallest = labels.join(reps, "node").groupBy("label").agg(F.min("rep").alias("component"))
-    by_key = classes.join(labels.join(smallest, "label").select("node", "component"), "node", "left").select(
-        "key", F.coalesce("component", "rep").alias("component")
+    first = F.struct("rep", "digest")
+    named = labels.join(reps, "node").groupBy("label").agg(F.min(first).alias("first"))
+    by_key = classes.join(labels.join(named, "label").select("node", "first"), "node", "left").select(
+        "key", F.coalesce("first", first).alias("first")
     )
-    marked = rows.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
-    component = F.coalesce("component", "doc_id")
+    marked = rows.select("doc_id", "digest", "n_shingles", "key").join(by_key, "key", "left")
+    component = F.coalesce(F.col("first")["rep"], F.col("doc_id"))
     clean = lambda c: F.nullif(c, last)
     result = marked.select(
-        clean(F.col("doc_id")).alias("doc_id"), "n_shingles", clean(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
+        clean(F.col("doc_id")).alias("doc_id"), "digest", "n_shingles", clean(component).alias("component_id"),
+        (F.col("doc_id") == component).alias("kept"),
+        F.coalesce(F.struct("doc_id", "digest") == F.col("first"), F.lit(True)).alias("only"),
     )
     result = materialised(result, "minhash-result")
     scratch.clear()
@@ -336,7 +353,20 @@ def op5(spark, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """Pipeline stage: one document of each component stays; all columns stay."""
-    (gone_id,) = free_names(docs, "gone_id")
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left_anti")
+    """Pipeline stage: one document of each component stays; all columns stay.
+
+    A document is known by its id and text; rows that repeat both stay or go
+    together. Equal texts without an id are not told apart: one row of them
+    stays, the first by its other columns.
+    """
+    gone_id, gone_digest, digest, row = free_names(docs, "gone_id", "gone_digest", "digest", "row")
+    gone = marked_rows(docs).where(~F.col("only")).select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest)).distinct()
+    nameless = F.col("doc_id").isNull() & (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_WS)) > 0)
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    keyed = docs.withColumn(digest, text_digest(F.col("text")))
+    # Combined per task first, so many copies of one text are one row of each task.
+    single = (
+        keyed.where(nameless).groupBy(digest).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*others))).alias(row)).select(f"{row}.*", digest)
+    )
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(digest) == F.col(gone_digest))
+    return keyed.where(~nameless).unionByName(single).join(gone, same, "left_anti").drop(digest)
