@@ -11,8 +11,16 @@ page at once, by max-flow.
 Pages are independent: one Spark task labels its own rows, nothing moves, and
 work and memory are in proportion to the page.
 
+A class or id speaks against what an element holds as far as the element is a
+part of the page: up to 40 % of the page's unlinked words it counts in full,
+from 80 % on (a wrapper) not at all. The same holds for forms. Where the page
+has an article or main element, only elements round one can be wrappers. Such
+an element ends what names and forms round it say, and main also what other
+markup round it says; hidden stays hidden.
+
 Defined results: null and empty html give an empty text; markup that never
-closes is closed at the end, a cut-off tag is dropped; repeated rows are
+closes is closed at the end, only script and style then take the rest of the
+page with them; a cut-off tag is dropped; repeated rows are
 extracted alike; only id, url and html are read.
 """
 
@@ -37,7 +45,8 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object canvas title select button".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog head header fieldset".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog head header".split())
+FORM_TAGS = frozenset("form fieldset".split())
 BODY_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An opening tag ends these elements if they are open.
@@ -51,7 +60,10 @@ BOILER_NAMES = frozenset(
     "sponsor sponsored subscribe subscription tags toc toolbar widget widgets".split()
 )
 BODY_NAMES = frozenset("article body content entry main post story text".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
+#: What boilerplate costs a block, and the shares of the page between which a name's cost falls to nothing.
+BOILER_COST = 9.0
+PART, WRAPPER = 0.4, 0.8
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>",
@@ -63,29 +75,62 @@ NAME_PART = re.compile(r"[a-zA-Z]+")
 
 
 class Element:
-    """An open element: how much it and its ancestors speak for content or boilerplate."""
+    """An element: what its own markup says, and after :func:`settle` how much
+    it and its ancestors speak for content or boilerplate."""
 
-    __slots__ = ("tag", "number", "depth", "parent", "boiler", "body", "link")
+    __slots__ = ("tag", "number", "depth", "parent", "link", "named", "region", "hidden", "content", "explicit",
+                 "words", "holds", "hard", "soft", "cost", "boiler", "body")
 
     def __init__(self, tag, number, parent, attrs):
         self.tag, self.number, self.parent = tag, number, parent
         self.depth = parent.depth + 1 if parent else 0
-        boiler = tag in BOILER_TAGS and not (tag == "header" and parent is not None and parent.body)
-        body = tag in BODY_TAGS
+        self.link = tag == "a" or bool(parent and parent.link)
+        names = self.region = self.hidden = False
+        self.content = self.explicit = tag in BODY_TAGS
         if attrs and tag not in ("html", "body"):
             for m in ATTR.finditer(attrs):
                 name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
                 if name in ("class", "id"):
                     parts = set(NAME_PART.findall(value))
-                    boiler = boiler or (tag not in BODY_TAGS and not parts.isdisjoint(BOILER_NAMES))
-                    body = body or not parts.isdisjoint(BODY_NAMES)
+                    names = names or not parts.isdisjoint(BOILER_NAMES)
+                    self.content = self.content or not parts.isdisjoint(BODY_NAMES)
                 elif name == "role":
-                    boiler, body = boiler or value in ROLES, body or value in ("main", "article")
+                    self.region = self.region or value in ROLES
+                    names = names or value == "form"
+                    self.explicit = self.explicit or value in ("main", "article")
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-                    boiler = True
-        self.boiler = boiler or bool(parent and parent.boiler)
-        self.body = not boiler and (body or bool(parent and parent.body))
-        self.link = tag == "a" or bool(parent and parent.link)
+                    self.hidden = True
+        self.content = self.content or self.explicit
+        self.named = tag in FORM_TAGS or names and tag not in BODY_TAGS
+        # An article of a comment list or of related pages is none that ends anything.
+        self.explicit = self.explicit and not (names or self.region or self.hidden)
+        self.words = self.holds = 0
+
+
+def settle(elements: list[Element], blocks: list[Block]) -> None:
+    """Costs of all elements; ``elements`` has parents before their children."""
+    for block in blocks:
+        block.element.words += (block.text.count(" ") + 1) * (1.0 - block.links)
+    for e in reversed(elements):
+        e.holds += e.explicit
+        if e.parent is not None:
+            e.parent.words += e.words
+            e.parent.holds += e.holds
+    page = elements[0]
+    for e in elements:
+        up = e.parent
+        own = 0.0
+        if e.named:
+            share = e.words / page.words if page.words and (e.holds or not page.holds) else 0.0
+            own = BOILER_COST * min(1.0, max(0.0, (WRAPPER - share) / (WRAPPER - PART)))
+        region = e.region or e.tag in BOILER_TAGS and not (e.tag == "header" and up is not None and up.body)
+        e.hidden = e.hidden or bool(up and up.hidden)
+        e.hard = region or bool(up and up.hard and not (e.explicit and e.tag != "article"))
+        e.soft = own if up is None or e.explicit else max(own, up.soft)
+        e.cost = BOILER_COST if e.hidden or e.hard else e.soft
+        e.boiler = e.cost > BOILER_COST / 2
+        against = region or e.hidden or own > BOILER_COST / 2
+        e.body = not against and (e.content or bool(up and up.body))
 
 
 class Block:
@@ -99,7 +144,8 @@ def text_blocks(page: str) -> list[Block]:
     """The page's non-empty text blocks in order."""
     out: list[Block] = []
     root = Element("html", 0, None, "")
-    stack, number = [root], 1
+    stack, elements = [root], [root]
+    endless: set[str] = set()
     pieces: list[str] = []
     linked = 0
     heading = False
@@ -149,8 +195,13 @@ def text_blocks(page: str) -> list[Block]:
         if tag in RAW_TAGS and not attrs.endswith("/"):
             if tag in BLOCK_TAGS:
                 end_block()
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+            end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif tag in ("script", "style"):
+                at = size
+            else:
+                endless.add(tag)  # never closed: the tag alone is dropped
             continue
         if tag in BLOCK_TAGS:
             end_block()
@@ -166,10 +217,11 @@ def text_blocks(page: str) -> list[Block]:
                 pieces.append(" " if tag != "wbr" else "")
             continue
         if not attrs.endswith("/"):
-            stack.append(Element(tag, number, stack[-1], attrs))
-            number += 1
+            stack.append(Element(tag, len(elements), stack[-1], attrs))
+            elements.append(stack[-1])
             heading = heading or tag in HEADINGS
     end_block()
+    settle(elements, out)
     return out
 
 
@@ -178,7 +230,7 @@ def content_logit(block: Block) -> float:
     e, words = block.element, block.text.count(" ") + 1
     z = -0.8 + 0.55 * math.log1p(words) - 4.0 * block.links
     z += 4.0 if e.body else 0.0
-    z -= 9.0 if e.boiler else 0.0
+    z -= e.cost
     z += 1.0 if block.heading and not e.boiler else 0.0
     z += 0.4 if block.text[-1] in ".!?\"”»…" else 0.0
     return z
