@@ -2,7 +2,9 @@
 
 A block holds a template when ``|block & template| >= containment *
 |template|`` over distinct words. Blocks are the lines of a text (for notice
-templates) and its paragraphs, lines between blank lines (for long templates).
+templates), each with the words after it in its paragraph that a notice begun
+in the line can run on to, and the paragraphs, lines between blank lines (for
+long templates).
 
 Method. Words are ordered by their frequency in the whole corpus, rarest
 first. With an overlap of at least ``a`` needed, one of the template's first
@@ -94,6 +96,8 @@ class Templates:
         vocabulary = sorted({w for s in sets for w in s}, key=lambda w: (freq.get(w.decode(), 0), w))
         self.rank = {w: r for r, w in enumerate(vocabulary)}
         self.sets = [sorted(self.rank[w] for w in s) for s in sets]
+        #: Words that a notice can have after the line it begins in.
+        self.reach = max((len(text.split()) - 1 for kind, _, text in templates if kind == "line"), default=0)
         self.need = [max(1, math.ceil(containment * len(s) - 1e-9)) for s in self.sets]
         #: word -> (template, position of the word in it), for prefix words only
         self.prefix: dict[str, dict[int, list[tuple[int, int]]]] = {"line": {}, "paragraph": {}}
@@ -114,17 +118,21 @@ class Templates:
                     yield t
 
 
-def blocks(text: bytes):
-    """``(kind, block)`` of a folded text: every line and every paragraph."""
-    lines = text.split(b"\n")
-    start = 0
-    for i in range(len(lines) + 1):
-        if i == len(lines) or not lines[i].strip():
-            if i > start:
-                yield "paragraph", b" ".join(lines[start:i])
-            start = i + 1
-        else:
-            yield "line", lines[i]
+def blocks(text: bytes, reach: int):
+    """``(kind, words)`` of a folded text: every line with the next ``reach``
+    words of its paragraph, and every paragraph."""
+    paragraph: list[bytes] = []
+    ends: list[int] = []
+    for line in [*text.split(b"\n"), b""]:
+        words = line.split()
+        if words:
+            paragraph += words
+            ends.append(len(paragraph))
+        elif ends:
+            for start, end in zip([0, *ends], ends):
+                yield "line", paragraph[start : end + reach]
+            yield "paragraph", paragraph
+            paragraph, ends = [], []
 
 
 def phrase_places(words: list[bytes], phrases) -> list[tuple[int, int, str]]:
@@ -192,8 +200,8 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             places = phrase_places(words, phrases) if any(w in text for w in first_words) else []
             found = []
             if not set(words).isdisjoint(triggers):
-                for kind, block in blocks(text):
-                    ranks = sorted({index.rank[w] for w in block.split() if w in index.rank})
+                for kind, block in blocks(text, index.reach):
+                    ranks = sorted({index.rank[w] for w in block if w in index.rank})
                     for t in index.candidates(kind, ranks):
                         found.append({"template": t, "kind": kind, "ranks": ranks})
             for name, value in (
