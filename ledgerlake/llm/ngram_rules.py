@@ -1,14 +1,19 @@
 """Quality rules with a hashed n-gram log-likelihood ratio.
 
-Each text's word unigrams and bigrams are hashed into ``2**bits`` buckets. Two
-multinomials over the buckets are counted: a trusted target (a bounded sample
-of rows labelled good and not toxic) and the raw corpus (every row). A
-document's score is the mean of ``log p_target - log p_raw`` over its n-grams,
-so length does not matter; it passes when the score reaches the threshold. The
-decision is deterministic.
-
-The counts are summed per task before they are shuffled (at most one row per
-bucket and task), and the model is one float per bucket, whatever the corpus.
+Each text's word unigrams and bigrams are keyed by a hash of as many bits
+as number the corpus's n-grams and eight more, so the key space grows with
+the corpus. Two multinomials are counted: a trusted target
+(the rows labelled good and not toxic, less a held-out fifth) and the raw
+corpus (every row). A document's score is the mean of ``log p_target - log
+p_raw`` over its n-grams, so length does not matter; the target is smoothed
+with the raw corpus, by a share of its own size. It passes when the score
+reaches the threshold, which the scores of the held-out labelled rows of the
+same run give. The decision is deterministic.
+
+Scale: a task cuts its texts into blocks and sends each range of keys the
+block's n-grams with the documents that hold them, packed, one row per block
+and range. A range counts its n-grams and sends back each document's share of
+the sum. Text never moves, and no table of n-grams is collected or broadcast.
 
 Defined results: null and empty texts have no words, fail the base rules and
 score 0; a missing or empty target gives every document the score 0, which
@@ -17,32 +22,40 @@ passes; repeated rows are scored alike; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, table, unique_ids, utf8
+from .common import Scratch, materialised, table, utf8
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
-#: Labelled rows that may define the trusted target (a documented bound).
-TARGET_ROWS = 20_000
-#: Mean log ratio a document needs; clean text scores around 0, junk far below.
+#: The threshold where no held-out rows of both labels pass the base rules.
 MIN_SCORE = -0.25
-BITS = 16
+#: Bits of a key beyond those that number the corpus's n-grams, so one key in 2**8 at most is shared; never above 48.
+SPARE_BITS, MAX_KEY_BITS = 8, 48
+#: Weight of the raw corpus in the smoothed target, as a share of the target's n-grams.
+SMOOTHING = 0.05
+#: One in so many labelled ids sets the threshold and is no part of the target.
+HELD_OUT = 5
+#: N-grams of a block (which has at most 2**16 texts) and, on average, of a range of keys.
+BLOCK_GRAMS, RANGE_GRAMS = 2_000_000, 3_000_000
+#: Trusted ids up to which they are broadcast; more of them are joined by a shuffle, with the same result.
+BROADCAST_IDS = 2_000_000
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 32-bit hash per word, computed once per different word."""
+    """A 64-bit hash per word, computed once per different word."""
     known: dict[bytes, int] = {}
     out = []
     for w in words:
         h = known.get(w)
         if h is None:
-            known[w] = h = zlib.crc32(w)
+            known[w] = h = xxhash.xxh64_intdigest(w)
         out.append(h)
     return np.array(out, dtype=np.uint64)
 
@@ -88,91 +101,216 @@ def word_chars(text: bytes) -> int:
     return int(((raw & 0xC0) != 0x80).sum()) - sum(text.count(w) for w in WHITE)
 
 
-def raw_counts(texts: DataFrame, bits: int = BITS) -> DataFrame:
-    """``(bucket, n)`` over all rows of ``texts(body)``; summed inside each task first."""
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of an array by their place, compressed."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes(), 1)
 
-    def count(batches):
-        total = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
-            for body in batch.column("body"):
-                total += np.bincount(ngram_buckets(word_hashes(body.as_py().split()), bits), minlength=1 << bits)
-        seen = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
-
-    return texts.mapInArrow(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-
-
-def log_ratios(target: DataFrame, raw: DataFrame, bits: int = BITS, smoothing: float = 1.0) -> np.ndarray:
-    """One float per bucket. Both count tables have at most ``2**bits`` rows."""
-    sides = []
-    for counts in (target, raw):
-        side = np.zeros(1 << bits)
-        for bucket, n in counts.collect():
-            side[bucket] = n
-        sides.append(side)
-    t, r = sides
-    if t.sum() == 0:
-        return np.zeros(1 << bits, dtype=np.float32)
-    # The raw corpus is the prior of the target: a bucket never seen in the target stays finite.
-    prior = (r + smoothing) / (r.sum() + smoothing * len(r))
-    weight = smoothing * len(r)
-    return (np.log((t + weight * prior) / (t.sum() + weight)) - np.log(prior)).astype(np.float32)
-
-
-RESULT = pa.schema([
+
+def from_planes(raw: bytes, dtype) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, dtype)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+#: A block's n-grams in one range: differences of the ascending keys, documents of each, the documents, their counts.
+PACKED = pa.schema([
+    ("part", pa.int32()), ("block", pa.int64()), ("target", pa.bool_()), ("keys", pa.binary()), ("spread", pa.binary()),
+    ("holders", pa.binary()), ("counts", pa.binary()), ("docs", pa.binary()),
+])
+PACKED_DDL = "part int, block bigint, target boolean, keys binary, spread binary, holders binary, counts binary, docs binary"
+SUMS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("holders", pa.binary()), ("sums", pa.binary()), ("docs", pa.binary())])
+SUMS_DDL = "block bigint, part int, holders binary, sums binary, docs binary"
+FACTS = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()),
-    ("kept", pa.bool_()), ("score", pa.float64()),
 ])
-RESULT_DDL = (
+SCORED_DDL = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-    "n_repeat_words bigint, base_failed boolean, kept boolean, score double"
+    "n_repeat_words bigint, base_failed boolean, score double"
 )
 
 
+def facts(doc_id, text: bytes, hashes: np.ndarray) -> tuple:
+    n, repeats = len(hashes), repeated_words(hashes)
+    return (doc_id, n, word_chars(text), sum(text.count(c) for c in SYMBOLS), duplicate_lines(text), repeats, n < 50 or 100 * repeats > 50 * n)
+
+
+def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool) -> DataFrame:
+    """The n-grams of ``texts(doc_id, body)``, one row per block and range; the
+    target has no documents, the others bring their facts in a row of their own."""
+
+    def run(batches):
+        grams: list[np.ndarray] = []
+        known: list[tuple] = []
+        total, serial = 0, 0
+
+        def flush():
+            block = (TaskContext.get().partitionId() << 32) + serial
+            if not target:
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*known), FACTS)]
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, FACTS) as out:
+                    out.write_batch(pa.RecordBatch.from_arrays(columns, schema=FACTS))
+                rows = [(block % parts, block, False, b"", b"", b"", b"", sink.getvalue().to_pybytes())]
+            else:
+                rows = []
+            holder = np.zeros(total, np.uint64) if target else np.repeat(np.arange(len(grams), dtype=np.uint64), [len(g) for g in grams])
+            pairs, counts = np.unique((np.concatenate(grams) << np.uint64(16)) | holder, return_counts=True)
+            keys, holder = pairs >> np.uint64(16), (pairs & np.uint64(0xFFFF)).astype(np.uint16)
+            part = (keys * np.uint64(parts)) >> np.uint64(bits)
+            at = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
+            for x, y in zip(at, [*at[1:], len(keys)]):
+                start = np.flatnonzero(np.diff(keys[x:y], prepend=~keys[x]))
+                rows.append((int(part[x]), block, target, planes(np.diff(keys[x:y][start], prepend=np.uint64(0))),
+                             planes(np.diff(start, append=y - x).astype(np.uint32)), planes(holder[x:y]), planes(counts[x:y].astype(np.uint32)), None))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
+
+        for batch in batches:
+            for doc_id, body in zip(batch.column("doc_id").to_pylist(), batch.column("body")):
+                text = body.as_py()
+                hashes = word_hashes(text.split())
+                grams.append(ngram_buckets(hashes, bits).astype(np.uint64))
+                total += len(grams[-1])
+                if not target:
+                    known.append(facts(doc_id, text, hashes))
+                if total >= BLOCK_GRAMS or len(grams) == 1 << 16:
+                    yield flush()
+                    grams, known, total, serial = [], [], 0, serial + 1
+        if grams and (total or not target):
+            yield flush()
+
+    return texts.mapInArrow(run, PACKED_DDL)
+
+
+def gram_count(texts: DataFrame) -> int:
+    """All unigrams and bigrams of ``texts(body)``."""
+
+    def run(batches):
+        for batch in batches:
+            words = (len(body.as_py().split()) for body in batch.column("body"))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(2 * n - 1 for n in words if n)], pa.int64())})
+
+    return texts.select("body").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def range_sums(n_target: int, n_raw: int, bits: int | None):
+    """For each block the summed log ratios of its documents over the n-grams of one range."""
+    # Given buckets count once more each, in the prior and as the target's smoothing; keys of the growing space need no more than their counts.
+    size = 0 if bits is None else 1 << bits
+    weight, more = (SMOOTHING * n_target, 0) if bits is None else (size, 1)
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.to_pylist()
+        keys = [np.cumsum(from_planes(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
+        different, at = np.unique(np.concatenate(keys), return_inverse=True)
+        ends = np.cumsum([len(k) for k in keys])
+        counted = {True: np.zeros(len(different)), False: np.zeros(len(different))}
+        starts = [from_planes(r["spread"], np.uint32).astype(np.int64) for r in rows]
+        for r, k, spread, end in zip(rows, keys, starts, ends):
+            if len(k):
+                first = np.cumsum(spread) - spread
+                counted[r["target"]][at[end - len(k) : end]] += np.add.reduceat(from_planes(r["counts"], np.uint32).astype(np.int64), first)
+        ratio = np.zeros(len(different))
+        if n_target:
+            prior = np.maximum(counted[False] + more, 1) / (n_raw + more * size)
+            ratio = np.log((counted[True] + weight * prior) / (n_target + weight)) - np.log(prior)
+        out = []
+        for r, k, spread, end in zip(rows, keys, starts, ends):
+            if r["target"]:
+                continue
+            holders, sums = np.zeros(0, np.uint16), np.zeros(0, np.float32)
+            if len(k):
+                each = np.repeat(ratio[at[end - len(k) : end]], spread) * from_planes(r["counts"], np.uint32)
+                holders, place = np.unique(from_planes(r["holders"], np.uint16), return_inverse=True)
+                sums = np.bincount(place, each).astype(np.float32)
+            out.append((r["block"], r["part"], holders.tobytes(), sums.tobytes(), r["docs"]))
+        return pa.Table.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(SUMS)], schema=SUMS)
+
+    return run
+
+
+def block_scores(rows: pa.Table) -> pa.Table:
+    """The facts and scores of a block's documents."""
+    rows = sorted(rows.to_pylist(), key=lambda r: (r["part"], r["docs"] is not None))
+    known = pa.ipc.open_stream(next(r["docs"] for r in rows if r["docs"] is not None)).read_all()
+    total = np.zeros(known.num_rows)
+    for r in rows:
+        total[np.frombuffer(r["holders"], np.uint16)] += np.frombuffer(r["sums"], np.float32)
+    n = known.column("n_words").to_numpy()
+    return known.append_column("score", pa.array(total / np.maximum(2 * n - 1, 1)))
+
+
+def held_out_cut(scored: DataFrame, labelled: DataFrame, fallback: float) -> float:
+    """The score that tells held-out good rows from bad ones with the smallest
+    sum of both error shares; in the middle of the widest stretch of such scores."""
+    good = F.col("good").cast("bigint")
+    bins = (
+        scored.where(~F.col("base_failed")).join(labelled.where(held_out()), "doc_id")
+        .groupBy(F.floor(F.col("score") * 100).cast("bigint").alias("bin")).agg(F.sum(good).alias("g"), F.sum(1 - good).alias("b"))
+        .orderBy("bin").collect()  # one row per hundredth of a score
+    )
+    n_good, n_bad = sum(r["g"] for r in bins), sum(r["b"] for r in bins)
+    if not n_good or not n_bad:
+        return fallback
+    best, below, above = (float("inf"),), 0, n_bad
+    for last, r in zip([None, *bins], bins):
+        if last is not None:
+            below, above = below + last["g"], above - last["b"]
+            gap = r["bin"] - last["bin"] - 1
+            best = min(best, (below / n_good + above / n_bad, -gap, (last["bin"] + 1 + r["bin"]) / 200))
+    return best[2] if len(best) == 3 else fallback
+
+
+def held_out():
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(HELD_OUT)) == 0
+
+
 def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bits: int = BITS,
+    bits: int | None = None,
     min_score: float = MIN_SCORE,
+    labelled: DataFrame | None = None,
 ) -> DataFrame:
     """Rule counts, score and verdict per row of ``docs``. ``trusted`` has the
-    texts of the target in a column of the same name."""
-    bodies = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(F.col(text_col)).alias("body"))
-    ratios = log_ratios(
-        raw_counts(trusted.select(utf8(F.col(text_col)).alias("body")), bits), raw_counts(bodies.select("body"), bits), bits
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)  # 2**bits floats
-
-    def score(batch):
-        ratio, cols = shared.value, {f.name: [] for f in RESULT}
-        for body in batch.column("body"):
-            text = body.as_py()
-            hashes = word_hashes(text.split())
-            n, repeats = len(hashes), repeated_words(hashes)
-            mean = float(ratio[ngram_buckets(hashes, bits)].mean(dtype=np.float64)) if n else 0.0
-            failed = n < 50 or 100 * repeats > 50 * n
-            for name, value in (
-                ("n_words", n), ("word_chars", word_chars(text)), ("n_symbols", sum(text.count(c) for c in SYMBOLS)),
-                ("n_dup_lines", duplicate_lines(text)), ("n_repeat_words", repeats), ("base_failed", failed),
-                ("kept", not failed and mean >= min_score), ("score", mean),
-            ):
-                cols[name].append(value)
-        cols["doc_id"] = batch.column("doc_id")
-        return cols
-
-    return bodies.mapInArrow(arrow_rows(score, RESULT), RESULT_DDL)
-
-
-def trusted_rows(docs: DataFrame, labels: DataFrame, limit: int = TARGET_ROWS) -> DataFrame:
-    """Rows of ``docs`` that ``labels`` marks good and not toxic, at most ``limit`` ids."""
-    good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-    return docs.join(unique_ids(good, "doc_id", limit), "doc_id", "left_semi")
+    texts of the target in a column of the same name. ``bits`` puts n-grams in
+    so many buckets instead of a key space that grows with the corpus. The held-out rows of
+    ``labelled(doc_id, good)`` set the threshold, otherwise it is ``min_score``."""
+    scratch = Scratch(docs.sparkSession)
+    body = utf8(F.col(text_col)).alias("body")
+    bodies = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body)
+    target = trusted.select(F.lit(None).cast("bigint").alias("doc_id"), body)
+    n_target, n_raw = gram_count(target), gram_count(bodies)
+    key_bits = bits or min(MAX_KEY_BITS, n_raw.bit_length() + SPARE_BITS)
+    parts = max(1, min(1 << 15, -(-(n_raw + n_target) // RANGE_GRAMS)))
+    packed = packed_grams(bodies, key_bits, parts, False).unionByName(packed_grams(target, key_bits, parts, True))
+    sums = packed.groupBy("part").applyInArrow(range_sums(n_target, n_raw, bits), SUMS_DDL)
+    scored = scratch.table(sums.groupBy("block").applyInArrow(block_scores, SCORED_DDL), "ngram-scores")
+    cut = min_score if labelled is None else held_out_cut(scored, labelled, min_score)
+    kept = ~F.col("base_failed") & (F.col("score") >= F.lit(cut))
+    result = materialised(scored.select(*FACTS.names, kept.alias("kept"), "score"), "ngram-result")
+    scratch.clear()
+    return result
+
+
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """``(doc_id, good)`` of the labels: good and not toxic, or of low quality."""
+    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+    known = labels.where(F.col("doc_id").isNotNull() & (good | (F.col("quality") == 0)))
+    return known.groupBy("doc_id").agg(F.min(good).alias("good"))
+
+
+def trusted_rows(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """All rows of ``docs`` that are labelled good and not held out."""
+    ids = labelled.where(F.col("good") & ~held_out()).select("doc_id")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
 def op9(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return quality_rules(docs, trusted_rows(docs, table(spark, sf_dir, "labels")))
+    docs, labelled = table(spark, sf_dir, "documents"), labelled_ids(table(spark, sf_dir, "labels"))
+    return quality_rules(docs, trusted_rows(docs, labelled), labelled=labelled)
