@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from . import circulant_minhash, factor_machine, html_mincut, license_scan, ngram_rules, source_mix, suffix_dedup, token_count, warc_bundle, winnowing
+from . import (
+    circulant_minhash, conversation_repair, embedding_whitening, factor_machine, html_mincut, license_scan, line_dedup, ngram_rules, source_mix,
+    suffix_dedup, token_count, warc_bundle, winnowing,
+)
 
 QUERIES = {
     "op10_html_mincut": html_mincut.op10,
+    "op11_line_dedup": line_dedup.op11,
+    "op12_embedding_whitening": embedding_whitening.op12,
+    "op13_conversation_repair": conversation_repair.op13,
     "op1_warc_bundle": warc_bundle.op1,
     "op2_factor_machine": factor_machine.op2,
     "op3_winnowing": winnowing.op3,
@@ -18,6 +24,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op11_line_dedup": line_dedup.ORACLE_SQL,
     "op1_warc_bundle": warc_bundle.ORACLE_SQL,
     "op3_winnowing": winnowing.ORACLE_SQL,
     "op4_source_mix": source_mix.ORACLE_SQL,
