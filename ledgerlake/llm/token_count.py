@@ -10,6 +10,8 @@ state to exit state, the maps are composed by a parallel prefix scan, and with
 the entry state of every chunk known all chunks write their boundaries at
 once. Text ends are a class of their own that leads back to the start.
 
+Words are told apart by their bytes: a hash only says which ones to compare.
+
 *Merger.* Byte-pair merging of a word, read byte by byte. A state holds, for
 every place where a token may still be open, the token that ends there in the
 encoding of the prefix and its count relative to the whole prefix; each
@@ -44,6 +46,7 @@ LIMIT_TOKENS = 512
 CHUNK = 128  # characters per chunk of the scan
 SLICE = 1 << 20  # bytes of text handled at once
 MAX_COMPILED = 800_000  # transitions and words kept per worker
+REMEMBERED = 64  # bytes of the longest word kept
 TOKENIZER = "byte_bpe_50k.json"
 
 # Character classes. Letters that may end a contraction have classes of their own.
@@ -261,6 +264,21 @@ class Merger:
         return total
 
 
+def unlike(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Whether each word ``data[begin:stop]`` differs from word number ``same``, byte by byte."""
+    size = stop - begin
+    other = size != size[same]
+    repeats = np.flatnonzero((same != np.arange(len(same))) & ~other)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size[repeats]) // SLICE)) + 1
+    for check in np.split(repeats, cuts) if len(repeats) else []:
+        own = size[check]
+        ends = np.cumsum(own)
+        place = np.arange(ends[-1]) - np.repeat(ends - own, own)
+        differs = data[place + np.repeat(begin[check], own)] != data[place + np.repeat(begin[same[check]], own)]
+        other[check] = np.logical_or.reduceat(differs, ends - own)
+    return other
+
+
 class TokenCounter:
     """Counts of many texts at once."""
 
@@ -272,7 +290,7 @@ class TokenCounter:
         self.code = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
         self.base = np.uint64(0x9E3779B97F4A7C15)
         self.inverse = np.uint64(pow(int(self.base), -1, 2**64))
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.grow(1 << 16)
 
     def grow(self, n: int):
@@ -327,17 +345,23 @@ class TokenCounter:
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(self.code[data] * self.up[: len(data)], out=sums[1:])
         keys = (sums[stop] - sums[begin]) * self.down[begin] + (stop - begin).astype(np.uint64)
-        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) > MAX_COMPILED:
-            self.known.clear()
-        known, made = self.known, np.empty(len(unique), dtype=np.int64)
-        for j, key in enumerate(unique.tolist()):
-            n = known.get(key)
-            if n is None:
-                f = first[j]
-                known[key] = n = self.merger.count(raw[begin[f] : stop[f]])
-            made[j] = n
-        out += np.bincount(owner, weights=made[inverse], minlength=len(out)).astype(np.int64)
+        _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        made = np.array([self.word(raw[b:e]) for b, e in zip(begin[first].tolist(), stop[first].tolist())], dtype=np.int64)
+        each = made[inverse]
+        for k in np.flatnonzero(unlike(data, begin, stop, first[inverse])).tolist():  # equal keys of different words
+            each[k] = self.word(raw[begin[k] : stop[k]])
+        out += np.bincount(owner, weights=each, minlength=len(out)).astype(np.int64)
+
+    def word(self, raw: bytes) -> int:
+        """The count of one word, remembered by its bytes."""
+        n = self.known.get(raw)
+        if n is None:
+            if len(self.known) > MAX_COMPILED:
+                self.known.clear()
+            n = self.merger.count(raw)
+            if len(raw) <= REMEMBERED:
+                self.known[raw] = n
+        return n
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
