@@ -8,8 +8,10 @@ blocks that follow each other inside one element; they are heavier the more of
 the path from the root the two share. The minimum cut labels all blocks of a
 page at once, by max-flow.
 
-Pages are independent: one Spark task labels its own rows, nothing moves, and
-work and memory are in proportion to the page.
+Pages are independent: one Spark task labels its own rows, nothing moves.
+Parsing takes work and memory in proportion to the page, as open elements are
+found by their name; blocks whose own cost outweighs all their edges need no
+flow, and the others are settled by blocking flows.
 
 A class or id speaks against what an element holds as far as the element is a
 part of the page: up to 40 % of the page's unlinked words it counts in full,
@@ -20,7 +22,9 @@ markup round it says; hidden stays hidden.
 
 Defined results: null and empty html give an empty text; markup that never
 closes is closed at the end, only script and style then take the rest of the
-page with them; a cut-off tag is dropped; repeated rows are
+page with them; formulas (math) and the fallback text of objects and canvases
+are text where they stand, a formula's annotations are not; a cut-off tag is
+dropped; repeated rows are
 extracted alike; only id, url and html are read.
 """
 
@@ -44,7 +48,7 @@ BLOCK_TAGS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object canvas title select button".split())
+RAW_TAGS = frozenset("script style noscript template textarea iframe svg annotation annotation-xml title select button".split())
 BOILER_TAGS = frozenset("nav footer aside menu dialog head header".split())
 FORM_TAGS = frozenset("form fieldset".split())
 BODY_TAGS = frozenset("article main".split())
@@ -78,12 +82,13 @@ class Element:
     """An element: what its own markup says, and after :func:`settle` how much
     it and its ancestors speak for content or boilerplate."""
 
-    __slots__ = ("tag", "number", "depth", "parent", "link", "named", "region", "hidden", "content", "explicit",
+    __slots__ = ("tag", "number", "depth", "parent", "holder", "link", "named", "region", "hidden", "content", "explicit",
                  "words", "holds", "hard", "soft", "cost", "boiler", "body")
 
     def __init__(self, tag, number, parent, attrs):
         self.tag, self.number, self.parent = tag, number, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.holder = self if tag in BLOCK_TAGS or parent is None else parent.holder
         self.link = tag == "a" or bool(parent and parent.link)
         names = self.region = self.hidden = False
         self.content = self.explicit = tag in BODY_TAGS
@@ -140,11 +145,41 @@ class Block:
         self.text, self.element, self.links, self.heading = text, element, links, heading
 
 
+class OpenElements:
+    """The open elements, with the places of each name and of all scopes, so no
+    end tag searches the stack. The root stays."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places, self.scopes = [root], {}, []
+
+    def push(self, element: Element):
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        if element.tag in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, *tags: str) -> int:
+        """The highest place of an open element of one of these names; 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, place: int):
+        """Close the element at ``place`` and all above it."""
+        while len(self.stack) > place:
+            gone = self.stack.pop()
+            self.places[gone.tag].pop()
+            if gone.tag in SCOPES:
+                self.scopes.pop()
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else 0
+
+
 def text_blocks(page: str) -> list[Block]:
     """The page's non-empty text blocks in order."""
     out: list[Block] = []
     root = Element("html", 0, None, "")
-    stack, elements = [root], [root]
+    opened, elements = OpenElements(root), [root]
+    stack = opened.stack
     endless: set[str] = set()
     pieces: list[str] = []
     linked = 0
@@ -155,10 +190,7 @@ def text_blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                holder = stack[-1]
-                while holder.parent is not None and holder.tag not in BLOCK_TAGS:
-                    holder = holder.parent
-                out.append(Block(text, holder, min(1.0, linked / len(text)), heading))
+                out.append(Block(text, stack[-1].holder, min(1.0, linked / len(text)), heading))
             pieces.clear()
         linked, heading = 0, False
 
@@ -170,8 +202,12 @@ def text_blocks(page: str) -> list[Block]:
                 linked += len(text.strip())
 
     at, size = 0, len(page)
+    tags_end = page.rfind(">") + 1  # after it no tag is complete
     while at < size:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at, tags_end) if at < tags_end else None
+        if m is None and (comment := page.find("<!--", at)) >= 0:
+            add(page[at:comment])
+            break  # a comment that never closes
         if m is None:
             rest = page[at:]
             add(CUT_TAG.sub("", rest))
@@ -180,17 +216,17 @@ def text_blocks(page: str) -> list[Block]:
         at = m.end()
         closing, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if tag is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break  # a comment that never closes
             continue  # a comment or a declaration
         tag = tag.lower()
         if closing:
             if tag in BLOCK_TAGS:
                 end_block()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES and tag not in SCOPES and tag in BLOCK_TAGS:
-                    break  # a stray end tag doesn't leave its container
+            place = opened.last(tag)
+            # A stray end tag doesn't leave its container.
+            if place and (tag in SCOPES or tag not in BLOCK_TAGS or place > opened.scope()):
+                opened.cut(place)
             continue
         if tag in RAW_TAGS and not attrs.endswith("/"):
             if tag in BLOCK_TAGS:
@@ -205,19 +241,15 @@ def text_blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK_TAGS:
             end_block()
-            drop = CLOSES.get(tag)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p" or drop and stack[k].tag in drop:
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPES:
-                    break
+            place = opened.last("p", *CLOSES.get(tag, ()))
+            if place > opened.scope():
+                opened.cut(place)
         if tag in VOID_TAGS:
             if tag in ("br", "wbr", "img", "hr"):
                 pieces.append(" " if tag != "wbr" else "")
             continue
         if not attrs.endswith("/"):
-            stack.append(Element(tag, len(elements), stack[-1], attrs))
+            opened.push(Element(tag, len(elements), stack[-1], attrs))
             elements.append(stack[-1])
             heading = heading or tag in HEADINGS
     end_block()
@@ -292,34 +324,56 @@ def min_cut(terminal: list[float], edges: dict[tuple[int, int], float]) -> list[
     free = [i for i in range(n) if side[i] is None]
     if not free:
         return [bool(x) for x in side]
-    source, sink = n, n + 1
-    residual = {i: dict(capacity[i]) for i in free}
-    residual[source] = {i: own[i] for i in free if own[i] > 0}
-    residual[sink] = {}
-    for i in free:
-        if own[i] < 0:
-            residual[i][sink] = -own[i]
+    return [bool(x) for x in max_flow_sides(free, own, capacity, side)]
+
+
+def max_flow_sides(free: list[int], own: list[int], capacity: list[dict[int, int]], side: list[bool | None]) -> list[bool | None]:
+    """``side`` with the free nodes: True for those that the source still reaches after a maximum flow, which
+    goes phase by phase along all shortest paths (blocking flows), so long pages take few passes."""
+    into = {i: max(own[i], 0) for i in free}  # what is left of the edges from the source
+    out = {i: max(-own[i], 0) for i in free}  # and of those to the sink
+    left = {i: dict(capacity[i]) for i in free}
     while True:
-        came, queue = {source: source}, deque([source])
-        while queue and sink not in came:
+        level = {i: 0 for i in free if into[i]}
+        queue, found = deque(level), False
+        while queue:
             i = queue.popleft()
-            for j, c in residual[i].items():
-                if c > 0 and j not in came:
-                    came[j] = i
+            found = found or out[i] > 0
+            for j, c in left[i].items():
+                if c and j not in level:
+                    level[j] = level[i] + 1
                     queue.append(j)
-        if sink not in came:
+        if not found:
             break
-        path, j = [], sink
-        while j != source:
-            path.append((came[j], j))
-            j = came[j]
-        push = min(residual[i][j] for i, j in path)
-        for i, j in path:
-            residual[i][j] -= push
-            residual[j][i] = residual[j].get(i, 0) + push
+        ways, tried = {i: list(left[i]) for i in level}, dict.fromkeys(level, 0)
+        for start in [i for i in level if level[i] == 0]:
+            path = [start]
+            while path and into[start]:
+                i = path[-1]
+                if out[i]:
+                    push = min(into[start], out[i], *(left[x][y] for x, y in zip(path, path[1:])))
+                    into[start] -= push
+                    out[i] -= push
+                    for x, y in zip(path, path[1:]):
+                        left[x][y] -= push
+                        left[y][x] += push
+                    full = next((k for k, (x, y) in enumerate(zip(path, path[1:])) if not left[x][y]), None)
+                    if full is not None:
+                        del path[full + 1 :]
+                    continue
+                while tried[i] < len(ways[i]):
+                    j = ways[i][tried[i]]
+                    if left[i][j] and level.get(j) == level[i] + 1:
+                        path.append(j)
+                        break
+                    tried[i] += 1
+                else:
+                    path.pop()
+                    if path:
+                        tried[path[-1]] += 1
     for i in free:
-        side[i] = i in came
-    return [bool(x) for x in side]
+        side[i] = i in level
+    return side
 
 
 def main_text(page: str) -> str:
