@@ -4,16 +4,22 @@ A window is 13 consecutive words of a benchmark item. Both sides hash every
 7-word gram and keep the smallest hash of each 7 consecutive grams, so two
 texts that share 13 words in a row always share a kept hash. Kept hashes of
 documents are joined with those of the benchmark; in documents with a match,
-each matching place is extended word by word to both sides, and counts if at
-least 13 words agree. Items of fewer words are one window each; they are found
-by the grams of the shortest such item and compared whole.
+every matching place is extended to the windows that hold it, and these are
+joined with the benchmark's windows word for word. Items of fewer words are one
+window each; they are found by the grams of the shortest such item.
+
+A word is hashed once. Grams and minima of 7 come from those of 1, 2 and 4 by
+doubling, so a word takes the same few steps whatever the widths. Hashes use
+the whole lower case of a word, which joins all words that are equal with A-Z
+lowered; the windows compare words with exactly A-Z lowered.
 
 Scale: documents are never shuffled for the join when the benchmark's hashes
 are few (their number is counted first; up to ``BROADCAST_ROWS`` rows of 8
 bytes are broadcast), otherwise kept hashes (about a quarter of the words, 8
 bytes each) are joined by a shuffle. Only documents with a match are read
-again. A benchmark context shared by many items is compared once and expanded
-to its items afterwards, per document.
+again. A place of a document has one window to be joined, and the benchmark
+has every window once with its items, so a phrase that is common on both sides
+multiplies nothing; items are named per document at the end.
 
 Defined results: null and empty texts have no words, are not hit and not
 contaminated; items without words or id are ignored; an empty benchmark hits
@@ -26,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_ALNUM, free_names, lower_ascii, materialised, table
+from .common import free_names, lower_ascii, materialised, table
 
 WINDOW = 13
 GRAM = 7
@@ -37,42 +43,49 @@ BROADCAST_ROWS = 1_000_000
 SHARE = 20
 
 
+# The word pattern of the contract, with A-Z in the class. A class of single
+# characters is looked up in a table.
+BETWEEN = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum())
+WORD_RAW = f"[^{BETWEEN}]+"
+
+
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD_ALNUM), F.lit(0))
+    """The words as they are written."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_RAW), F.lit(0))
 
 
-def no_longs() -> Column:
-    return F.array().cast("array<bigint>")
+def lowered(w: Column) -> Column:
+    return F.transform(w, lower_ascii)
 
 
-def grams(w: Column, n: int) -> Column:
-    """The hash of every ``n``-word gram, by place."""
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n)))).otherwise(
-        no_longs()
-    )
+def with_widened(df: DataFrame, name: str, source: str, width: int, join) -> DataFrame:
+    """Column ``name``: ``join`` over ``width`` neighbours of ``source``, by place; widths 1, 2, 4, ... are columns
+    on the way. A filter on the result would be pushed below these columns and repeat each of them several times, so
+    rows are filtered before, and the result is exploded by the outer forms, which imply no filter."""
+    df, have = df.withColumn(f"{name}_1", F.col(source)), 1
+    while have < width:
+        step = min(have, width - have)
+        last = F.col(f"{name}_{have}")
+        size = F.greatest(F.size(last) - step, F.lit(0))
+        df = df.withColumn(f"{name}_{have + step}", F.zip_with(F.slice(last, 1, size), F.slice(last, 1 + step, size), join)).drop(f"{name}_{have}")
+        have += step
+    return df.withColumnRenamed(f"{name}_{width}", name)
 
 
-def winnowed(h: Column) -> Column:
-    """The smallest hash of each window of grams, without repeats."""
-    return F.when(
-        F.size(h) >= KEEP,
-        F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - (KEEP - 1)), lambda j: F.array_min(F.slice(h, j, KEEP)))),
-    ).otherwise(no_longs())
+def with_grams(df: DataFrame, name: str, width: int) -> DataFrame:
+    """Column ``name``: the hash of every gram of ``width`` words of ``h``, by place."""
+    return with_widened(df, name, "h", width, lambda x, y: F.xxhash64(x, y))
 
 
-def agreeing(a: Column, b: Column) -> Column:
-    """How many words two lists have in common from their start on."""
-    first_other = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
-    return F.when(first_other == 0, F.least(F.size(a), F.size(b))).otherwise(first_other - 1).cast("int")
+def hashed(df: DataFrame) -> DataFrame:
+    """Column ``h``: a hash of every word of ``w``."""
+    return df.withColumn("h", F.transform("w", lambda x: F.xxhash64(F.lower(x))))
 
 
-def context(w: Column, at: Column, reach: int) -> tuple[Column, Column]:
-    """Words before place ``at`` (1-based; nearest first) and from it on."""
-    before = F.least(at - 1, F.lit(WINDOW - GRAM))
-    return (
-        F.when(before > 0, F.reverse(F.slice(w, at - before, before))).otherwise(F.array().cast("array<string>")),
-        F.slice(w, at, F.lit(reach)),
-    )
+def with_kept(df: DataFrame) -> DataFrame:
+    """Column ``kept``: the smallest hash of each window of grams, without repeats."""
+    df = with_widened(with_grams(df, "grams", GRAM), "least", "grams", KEEP, lambda x, y: F.least(x, y))
+    return df.withColumn("kept", F.array_distinct("least")).drop("least")
 
 
 def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -82,36 +95,41 @@ def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataF
     return materialised(items.where(F.size("w") > 0).distinct(), "winnow-items")
 
 
-def long_contexts(items: DataFrame) -> DataFrame:
-    """``(fp, before, after, item_id)`` of every kept hash of items with a full window."""
-    hashed = items.where(F.size("w") >= WINDOW).withColumn("h", grams(F.col("w"), GRAM))
-    placed = hashed.withColumn("kept", winnowed(F.col("h"))).select("item_id", "w", "kept", F.posexplode("h").alias("i", "fp"))
-    before, after = context(F.col("w"), F.col("i") + 1, WINDOW)
-    return placed.where(F.array_contains("kept", F.col("fp"))).select("fp", before.alias("before"), after.alias("after"), "item_id")
+def windows_of(items: DataFrame) -> DataFrame:
+    """``(code, n, window, ids, win)``: every different window of the items, once; ``win`` numbers them."""
+    long = with_grams(hashed(items.where(F.size("w") >= WINDOW)), "code", WINDOW).withColumn("w", lowered(F.col("w")))
+    cut = long.select("item_id", "w", F.posexplode_outer("code").alias("i", "code"))
+    parts = [cut.select("code", F.lit(WINDOW).alias("n"), F.slice("w", F.col("i") + 1, WINDOW).alias("window"), "item_id")]
+    for n in [r["n"] for r in items.where(F.size("w") < WINDOW).select(F.size("w").alias("n")).distinct().collect()]:  # 12 at most
+        short = with_grams(hashed(items.where(F.size("w") == n)), "code", n)
+        parts.append(short.select(F.element_at("code", 1).alias("code"), F.lit(n).alias("n"), lowered(F.col("w")).alias("window"), "item_id"))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    once = every.groupBy("code", "n", "window").agg(F.collect_set("item_id").alias("ids"))
+    return materialised(once.withColumn("win", F.monotonically_increasing_id()), "winnow-windows")
 
 
-def matching_documents(docs: DataFrame, kept: Column, keys: DataFrame) -> DataFrame:
+def matching_documents(docs: DataFrame, kept: str, keys: DataFrame) -> DataFrame:
     """``(doc_id, tx, fps)``: the hashes each document shares with ``keys(fp)``."""
     if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    shared = docs.select("doc_id", "tx", F.explode(kept).alias("fp")).join(keys, "fp", "left_semi")
+    shared = docs.select("doc_id", "tx", F.explode_outer(kept).alias("fp")).join(keys, "fp", "left_semi")
     return shared.groupBy("doc_id", "tx").agg(F.collect_set("fp").alias("fps"))
 
 
-def matches(docs: DataFrame, found: DataFrame, size: int, reach: int) -> DataFrame:
-    """``(doc_id, tx, pos, fp, before, after)`` for every place of a shared hash."""
+def found_windows(docs: DataFrame, found: DataFrame, gram: int, n: int, reach: int) -> DataFrame:
+    """``(doc_id, tx, start, code, n, window)``: the windows of ``n`` words that start up to ``reach`` places before a shared gram."""
     back = found.select(F.col("doc_id").alias("f_id"), F.col("tx").alias("f_tx"), "fps")
     joined = docs.join(back, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("tx") == F.col("f_tx")))
-    hashed = joined.select("doc_id", "tx", "fps", words(F.col("text")).alias("w")).dropDuplicates(["doc_id", "tx"])
-    placed = hashed.withColumn("h", grams(F.col("w"), size))
-    places = F.filter(F.sequence(F.lit(1), F.size("h")), lambda i: F.array_contains("fps", F.element_at("h", i)))
-
-    def at(i):
-        before, after = context(F.col("w"), i, reach)
-        return F.struct((i - 1).alias("pos"), F.element_at("h", i).alias("fp"), before.alias("before"), after.alias("after"))
-
-    hit = placed.where(F.size("h") > 0).select("doc_id", "tx", F.explode(F.transform(places, at)).alias("m"))
-    return hit.select("doc_id", "tx", "m.*")
+    rows = hashed(joined.select("doc_id", "tx", "fps", words(F.col("text")).alias("w")).dropDuplicates(["doc_id", "tx"]))
+    placed = with_grams(with_grams(rows, "grams", gram), "code", n).withColumn("w", lowered(F.col("w")))
+    marked = placed.withColumn("hit", F.transform("grams", lambda g: F.array_contains("fps", g)))
+    near = with_widened(marked, "near", "hit", reach + 1, lambda x, y: x | y) if reach else marked.withColumn("near", F.col("hit"))
+    # Place k of ``near`` tells of the grams at places k to k + reach, all those of the window that starts there.
+    each = F.transform("code", lambda c, k: F.struct(k.alias("start"), c.alias("code"), F.get("near", k).alias("ok")))
+    at = F.transform(F.filter(each, lambda m: m["ok"]), lambda m: F.struct(m["start"].alias("start"), m["code"].alias("code"), F.slice("w", m["start"] + 1, n).alias("window")))
+    return near.select("doc_id", "tx", F.explode_outer(at).alias("m")).select("doc_id", "tx", "m.*", F.lit(n).alias("n"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -121,43 +139,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("tx")
     )
     items = benchmark_items(benchmark, item_col, item_text_col)
+    windows = windows_of(items)
+    worded = docs.withColumn("w", words(F.col("text")))
 
-    contexts = materialised(
-        long_contexts(items)
-        .groupBy("fp", "before", "after")
-        .agg(F.collect_set("item_id").alias("ids"))
-        .withColumn("ctx", F.xxhash64("fp", "before", "after")),
-        "winnow-contexts",
-    )
-    w = words(F.col("text"))
-    fingerprinted = docs.withColumn("w", w).withColumn("h", grams(F.col("w"), GRAM))
-    found = matching_documents(fingerprinted, winnowed(F.col("h")), contexts.select("fp").distinct())
-    here = matches(docs, found, GRAM, WINDOW)
-    side = contexts.select("fp", F.col("before").alias("i_before"), F.col("after").alias("i_after"), "ids")
-    grown = (
-        here.join(side, "fp")
-        .withColumn("left", agreeing(F.col("before"), F.col("i_before")))
-        .withColumn("right", agreeing(F.col("after"), F.col("i_after")))
-        .where((F.col("right") >= GRAM) & (F.col("left") + F.col("right") >= WINDOW))
-    )
-    spans = grown.select(
-        "doc_id", "tx", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"), "ids"
-    )
+    marks = with_kept(hashed(items.where(F.size("w") >= WINDOW))).select(F.explode_outer("kept").alias("fp")).distinct()
+    found = matching_documents(with_kept(hashed(worded)), "kept", marks)
+    places = found_windows(docs, found, GRAM, WINDOW, WINDOW - GRAM)
 
     short = items.where(F.size("w") < WINDOW)
-    shortest = short.agg(F.min(F.size("w"))).first()[0]
-    if shortest is not None:
-        starts = short.select(F.xxhash64(F.slice("w", 1, shortest)).alias("fp"), F.col("w").alias("item"), "item_id")
-        starts = starts.groupBy("fp", "item").agg(F.collect_set("item_id").alias("ids"))
-        again = docs.withColumn("w", w).withColumn("h", grams(F.col("w"), shortest))
-        found = matching_documents(again, F.array_distinct("h"), starts.select("fp").distinct())
-        same = matches(docs, found, shortest, WINDOW).join(starts, "fp").where(
-            F.slice("after", 1, F.size("item")) == F.col("item")
-        )
-        spans = spans.unionByName(
-            same.select("doc_id", "tx", F.col("pos").alias("start"), (F.col("pos") + F.size("item")).alias("stop"), "ids")
-        )
-
+    sizes = sorted(r["n"] for r in short.select(F.size("w").alias("n")).distinct().collect())  # 12 at most
+    if sizes:
+        starts = with_grams(hashed(short), "grams", sizes[0]).select(F.element_at("grams", 1).alias("fp")).distinct()
+        again = with_grams(hashed(worded), "grams", sizes[0]).withColumn("grams", F.array_distinct("grams"))
+        found = materialised(matching_documents(again, "grams", starts), "winnow-short")
+        for n in sizes:
+            places = places.unionByName(found_windows(docs, found, sizes[0], n, 0))
+
+    spans = places.join(windows.drop("ids"), ["code", "n", "window"]).select(
+        "doc_id", "tx", "start", (F.col("start") + F.col("n")).alias("stop"), "win"
+    )
     spans = materialised(spans, "winnow-spans")
     # Union length of the spans of a document: the longest span per start, then a running end.
     longest = spans.groupBy("doc_id", "tx", "start").agg(F.max("stop").alias("stop"))
@@ -165,7 +165,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     new = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), F.coalesce(F.max("stop").over(earlier), F.lit(0))))
     hit = longest.withColumn("new", new).groupBy("doc_id", "tx").agg(F.sum("new").alias("n_hit"))
     named = (
-        spans.select("doc_id", "tx", F.explode("ids").alias("item_id"))
+        spans.select("doc_id", "tx", "win")
+        .distinct()
+        .join(windows.select("win", "ids"), "win")
+        .select("doc_id", "tx", F.explode("ids").alias("item_id"))
         .distinct()
         .groupBy("doc_id", "tx")
         .agg(F.array_sort(F.collect_list("item_id")).alias("items"))
@@ -178,7 +181,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         return F.col("doc_id").eqNullSafe(F.col(f"{tag}_id")) & (F.col("tx") == F.col(f"{tag}_tx"))
 
     counted = docs.select(
-        "doc_id", "tx", F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(WORD_ALNUM)), F.lit(0)).cast("bigint").alias("n_words")
+        "doc_id", "tx", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_RAW)), F.lit(0)).cast("bigint").alias("n_words")
     )
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("bigint")
     listed = F.coalesce(F.col("items"), F.array().cast("array<string>"))
