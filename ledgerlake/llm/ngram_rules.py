@@ -10,10 +10,15 @@ with the raw corpus, by a share of its own size. It passes when the score
 reaches the threshold, which the scores of the held-out labelled rows of the
 same run give. The decision is deterministic.
 
-Scale: a task cuts its texts into blocks and sends each range of keys the
+Scale: about ``COMMON`` n-grams make up half of a corpus. They are picked by a
+look at every task's first texts, counted exactly over all rows, and their log
+ratios (a table of fixed size) go to every task, which adds them up where the
+text is. So no key that many documents hold is ever gathered. For the other
+n-grams a task cuts its texts into blocks and sends each range of keys the
 block's n-grams with the documents that hold them, packed, one row per block
-and range. A range counts its n-grams and sends back each document's share of
-the sum. Text never moves, and no table of n-grams is collected or broadcast.
+and range that meet. A range counts its n-grams and sends back each
+document's share of the sum. Text never moves. Which n-grams are common changes
+what travels, never a count or a score.
 
 Defined results: null and empty texts have no words, fail the base rules and
 score 0; a missing or empty target gives every document the score 0, which
@@ -42,6 +47,14 @@ SPARE_BITS, MAX_KEY_BITS = 8, 48
 SMOOTHING = 0.05
 #: One in so many labelled ids sets the threshold and is no part of the target.
 HELD_OUT = 5
+#: N-grams whose log ratios go to every task: 12 bytes each there.
+COMMON = 1 << 16
+#: Slots of each of the two tables that find a common key.
+SLOT_BITS = 18
+#: N-grams of a task's first texts that are looked at for common ones, and how many it names.
+LOOK_GRAMS, NAMED = 1_000_000, 1 << 14
+#: Parts in which the common counts of the tasks are added up, and the groups of tasks.
+SLICES, GROUPS = 64, 256
 #: N-grams of a block (which has at most 2**16 texts) and, on average, of a range of keys.
 BLOCK_GRAMS, RANGE_GRAMS = 2_000_000, 3_000_000
 #: Trusted ids up to which they are broadcast; more of them are joined by a shuffle, with the same result.
@@ -125,6 +138,7 @@ FACTS = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()),
 ])
+BASED = FACTS.append(pa.field("base", pa.float64()))
 SCORED_DDL = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, base_failed boolean, score double"
@@ -136,9 +150,98 @@ def facts(doc_id, text: bytes, hashes: np.ndarray) -> tuple:
     return (doc_id, n, word_chars(text), sum(text.count(c) for c in SYMBOLS), duplicate_lines(text), repeats, n < 50 or 100 * repeats > 50 * n)
 
 
-def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool) -> DataFrame:
-    """The n-grams of ``texts(doc_id, body)``, one row per block and range; the
-    target has no documents, the others bring their facts in a row of their own."""
+class CommonKeys:
+    """The number of a common key, by two tables with one slot a key; keys that find no slot in either are not common."""
+
+    def __init__(self, keys: list[int], bits: int):
+        self.shift = np.uint64(max(bits - SLOT_BITS, 0))
+        self.tables = [(np.full(1 << SLOT_BITS, 1 << 63, np.uint64), np.zeros(1 << SLOT_BITS, np.int32)) for _ in range(2)]
+        self.size = 0
+        waiting = np.array(keys, np.uint64)
+        for slot, (own, number) in zip((self.first, self.second), self.tables):
+            at, first = np.unique(slot(waiting), return_index=True)  # the more frequent key takes the slot
+            own[at], number[at] = waiting[first], np.arange(self.size, self.size + len(at))
+            self.size += len(at)
+            waiting = np.delete(waiting, first)
+
+    def first(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> self.shift
+
+    def second(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - SLOT_BITS)
+
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """The number of every key, -1 for keys that are not common."""
+        (own, number), (own_2, number_2) = self.tables
+        at = self.first(keys)
+        out = np.where(own[at] == keys, number[at], -1)
+        rest = np.flatnonzero(out < 0)
+        at = self.second(keys[rest])
+        out[rest] = np.where(own_2[at] == keys[rest], number_2[at], -1)
+        return out
+
+
+def profile(texts: DataFrame) -> tuple[int, list[int]]:
+    """The number of all n-grams of ``texts(body)``, and at most ``COMMON`` keys of
+    ``MAX_KEY_BITS`` bits, the most frequent of the tasks' first texts first."""
+
+    def run(batches):
+        grams, looked, n = [], 0, 0
+        for batch in batches:
+            for body in batch.column("body"):
+                words = body.as_py().split()
+                n += max(2 * len(words) - 1, 0)
+                if looked < LOOK_GRAMS:
+                    grams.append(ngram_buckets(word_hashes(words), MAX_KEY_BITS))
+                    looked += len(grams[-1])
+        keys, counts = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, np.int64),) * 2
+        top = np.argsort(-counts, kind="stable")[:NAMED]
+        yield pa.RecordBatch.from_pydict({"key": np.append(keys[top], -1), "n": np.append(counts[top], n)})
+
+    named = texts.select("body").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    rows = named.orderBy((F.col("key") >= 0), F.desc("n"), "key").limit(COMMON + 1).toArrow()
+    if not rows.num_rows:
+        return 0, []
+    return rows.column("n")[0].as_py(), rows.column("key").to_pylist()[1:]
+
+
+def common_counts(texts: DataFrame, bits: int, common: CommonKeys) -> np.ndarray:
+    """How often ``texts`` hold each common key: counts of every task, added up in slices and two steps."""
+
+    def run(batches):
+        counts = np.zeros(common.size, np.int64)
+        for batch in batches:
+            found = [common.numbers(ngram_buckets(word_hashes(body.as_py().split()), bits).astype(np.uint64)) for body in batch.column("body")]
+            counts += np.bincount(np.concatenate([np.zeros(0, np.int64), *found]) + 1, minlength=common.size + 1)[1:]
+        slices = [planes(x) if len(x) else b"" for x in np.array_split(counts, SLICES)]
+        yield pa.RecordBatch.from_pydict({
+            "slice": pa.array(range(SLICES), pa.int32()), "team": pa.array([TaskContext.get().partitionId() % GROUPS] * SLICES, pa.int32()), "counts": pa.array(slices, pa.binary()),
+        })
+
+    def added(rows: pa.Table) -> pa.Table:
+        total = sum(from_planes(x, np.int64) for x in rows.column("counts").to_pylist())
+        return rows.slice(0, 1).set_column(2, "counts", pa.array([planes(total) if len(total) else b""], pa.binary()))
+
+    ddl = "slice int, team int, counts binary"
+    rows = texts.select("body").mapInArrow(run, ddl).groupBy("slice", "team").applyInArrow(added, ddl).groupBy("slice").applyInArrow(added, ddl)
+    found = {r["slice"]: from_planes(r["counts"], np.int64) for r in rows.collect()}  # one row a slice
+    return np.concatenate([found[k] for k in sorted(found)]) if found else np.zeros(common.size, np.int64)
+
+
+def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: int, n_raw: int, bits: int | None) -> np.ndarray:
+    """``log p_target - log p_raw`` of n-grams by their counts."""
+    # Given buckets count once more each, in the prior and as the target's smoothing; keys of the growing space need no more than their counts.
+    size = 0 if bits is None else 1 << bits
+    weight, more = (SMOOTHING * n_target, 0) if bits is None else (size, 1)
+    if not n_target:
+        return np.zeros(len(raw))
+    prior = np.maximum(raw + more, 1) / (n_raw + more * size)
+    return np.log((target + weight * prior) / (n_target + weight)) - np.log(prior)
+
+
+def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool, common: CommonKeys, ratios: np.ndarray) -> DataFrame:
+    """The n-grams of ``texts(doc_id, body)`` that are not common, one row per block and
+    range; the target has no documents, the others bring their facts and the sum of their common ratios in a row of their own."""
 
     def run(batches):
         grams: list[np.ndarray] = []
@@ -148,17 +251,17 @@ def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool) -> DataF
         def flush():
             block = (TaskContext.get().partitionId() << 32) + serial
             if not target:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*known), FACTS)]
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*known), BASED)]
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, FACTS) as out:
-                    out.write_batch(pa.RecordBatch.from_arrays(columns, schema=FACTS))
+                with pa.ipc.new_stream(sink, BASED) as out:
+                    out.write_batch(pa.RecordBatch.from_arrays(columns, schema=BASED))
                 rows = [(block % parts, block, False, b"", b"", b"", b"", sink.getvalue().to_pybytes())]
             else:
                 rows = []
             holder = np.zeros(total, np.uint64) if target else np.repeat(np.arange(len(grams), dtype=np.uint64), [len(g) for g in grams])
             pairs, counts = np.unique((np.concatenate(grams) << np.uint64(16)) | holder, return_counts=True)
             keys, holder = pairs >> np.uint64(16), (pairs & np.uint64(0xFFFF)).astype(np.uint16)
-            part = (keys * np.uint64(parts)) >> np.uint64(bits)
+            part = ((keys >> np.uint64(max(bits - 32, 0))) * np.uint64(parts)) >> np.uint64(min(bits, 32))
             at = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
             for x, y in zip(at, [*at[1:], len(keys)]):
                 start = np.flatnonzero(np.diff(keys[x:y], prepend=~keys[x]))
@@ -170,10 +273,13 @@ def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool) -> DataF
             for doc_id, body in zip(batch.column("doc_id").to_pylist(), batch.column("body")):
                 text = body.as_py()
                 hashes = word_hashes(text.split())
-                grams.append(ngram_buckets(hashes, bits).astype(np.uint64))
+                keys = ngram_buckets(hashes, bits).astype(np.uint64)
+                number = common.numbers(keys)
+                rare = number < 0
+                grams.append(keys[rare])
                 total += len(grams[-1])
                 if not target:
-                    known.append(facts(doc_id, text, hashes))
+                    known.append((*facts(doc_id, text, hashes), float(ratios[number[~rare]].sum())))
                 if total >= BLOCK_GRAMS or len(grams) == 1 << 16:
                     yield flush()
                     grams, known, total, serial = [], [], 0, serial + 1
@@ -183,22 +289,8 @@ def packed_grams(texts: DataFrame, bits: int, parts: int, target: bool) -> DataF
     return texts.mapInArrow(run, PACKED_DDL)
 
 
-def gram_count(texts: DataFrame) -> int:
-    """All unigrams and bigrams of ``texts(body)``."""
-
-    def run(batches):
-        for batch in batches:
-            words = (len(body.as_py().split()) for body in batch.column("body"))
-            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(2 * n - 1 for n in words if n)], pa.int64())})
-
-    return texts.select("body").mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-
 def range_sums(n_target: int, n_raw: int, bits: int | None):
     """For each block the summed log ratios of its documents over the n-grams of one range."""
-    # Given buckets count once more each, in the prior and as the target's smoothing; keys of the growing space need no more than their counts.
-    size = 0 if bits is None else 1 << bits
-    weight, more = (SMOOTHING * n_target, 0) if bits is None else (size, 1)
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.to_pylist()
@@ -211,10 +303,7 @@ def range_sums(n_target: int, n_raw: int, bits: int | None):
             if len(k):
                 first = np.cumsum(spread) - spread
                 counted[r["target"]][at[end - len(k) : end]] += np.add.reduceat(from_planes(r["counts"], np.uint32).astype(np.int64), first)
-        ratio = np.zeros(len(different))
-        if n_target:
-            prior = np.maximum(counted[False] + more, 1) / (n_raw + more * size)
-            ratio = np.log((counted[True] + weight * prior) / (n_target + weight)) - np.log(prior)
+        ratio = log_ratios(counted[True], counted[False], n_target, n_raw, bits)
         out = []
         for r, k, spread, end in zip(rows, keys, starts, ends):
             if r["target"]:
@@ -234,11 +323,11 @@ def block_scores(rows: pa.Table) -> pa.Table:
     """The facts and scores of a block's documents."""
     rows = sorted(rows.to_pylist(), key=lambda r: (r["part"], r["docs"] is not None))
     known = pa.ipc.open_stream(next(r["docs"] for r in rows if r["docs"] is not None)).read_all()
-    total = np.zeros(known.num_rows)
+    total = known.column("base").to_numpy().copy()
     for r in rows:
         total[np.frombuffer(r["holders"], np.uint16)] += np.frombuffer(r["sums"], np.float32)
     n = known.column("n_words").to_numpy()
-    return known.append_column("score", pa.array(total / np.maximum(2 * n - 1, 1)))
+    return known.drop_columns(["base"]).append_column("score", pa.array(total / np.maximum(2 * n - 1, 1)))
 
 
 def held_out_cut(scored: DataFrame, labelled: DataFrame, fallback: float) -> float:
@@ -284,10 +373,13 @@ def quality_rules(
     body = utf8(F.col(text_col)).alias("body")
     bodies = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body)
     target = trusted.select(F.lit(None).cast("bigint").alias("doc_id"), body)
-    n_target, n_raw = gram_count(target), gram_count(bodies)
+    (n_target, _), (n_raw, often) = profile(target), profile(bodies)
     key_bits = bits or min(MAX_KEY_BITS, n_raw.bit_length() + SPARE_BITS)
-    parts = max(1, min(1 << 15, -(-(n_raw + n_target) // RANGE_GRAMS)))
-    packed = packed_grams(bodies, key_bits, parts, False).unionByName(packed_grams(target, key_bits, parts, True))
+    common = CommonKeys(list(dict.fromkeys(k >> max(MAX_KEY_BITS - key_bits, 0) for k in often)), key_bits)
+    in_raw, in_target = common_counts(bodies, key_bits, common), common_counts(target, key_bits, common)
+    ratios = log_ratios(in_target, in_raw, n_target, n_raw, bits)
+    parts = max(1, -(-int(n_raw + n_target - in_raw.sum() - in_target.sum()) // RANGE_GRAMS))
+    packed = packed_grams(bodies, key_bits, parts, False, common, ratios).unionByName(packed_grams(target, key_bits, parts, True, common, ratios))
     sums = packed.groupBy("part").applyInArrow(range_sums(n_target, n_raw, bits), SUMS_DDL)
     scored = scratch.table(sums.groupBy("block").applyInArrow(block_scores, SCORED_DDL), "ngram-scores")
     cut = min_score if labelled is None else held_out_cut(scored, labelled, min_score)
