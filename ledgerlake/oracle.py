@@ -492,6 +492,10 @@ SELECT txn_id, CASE WHEN CAST(txn_id AS BIGINT) % 97 = 0 THEN """ + " || ',' ||
 register("bronze_by_name", with_ctes(TXN, BRONZE_TXN) + """
 SELECT * EXCLUDE (status), CAST(NULL AS VARCHAR) AS status, '2024-01-31' AS ingest_ts,
        '{"sender note":"note ' || txn_id || '"}' AS rescued_data FROM bronze_txn""")
+register("bronze_drift", with_ctes(TXN, BRONZE_TXN) + """
+SELECT * EXCLUDE (status), CASE WHEN channel IN ('ONLINE', 'POS', 'MOBILE') THEN NULL ELSE status END AS status,
+       CASE WHEN channel IN ('ONLINE', 'POS', 'MOBILE') AND txn_id IS NOT NULL THEN '{"sender note":"note ' || txn_id || '"}' END AS rescued_data
+FROM bronze_txn""")
 register("bronze_lineage", with_ctes(TXN, BRONZE_TXN) + "SELECT txn_id, true AS lineage_ok FROM bronze_txn")
 register("stream_customer_quarantine", ORACLE["quarantine_customers"])
 register("stream_velocity_1d", ORACLE["kpi_transaction_velocity_1d"])

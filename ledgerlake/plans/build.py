@@ -18,11 +18,11 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Thresholds, get_session, scratch_path, tune_session
-from ..operators import cleanse, dims, kpis, reports, scd2, score
+from ..operators import cleanse, dims, kpis, reports, score
 from ..operators.fact import fact_transactions, hot_customers
 from ..sources import binding, feeds
-from ..sources.tables import TableNotFound, read_table, read_test_table, write_table
-from ..streaming import ingest
+from ..sources.tables import TableNotFound, last_batch, read_table, read_test_table, write_table
+from ..streaming import ingest, scd2_stream
 
 FEEDS = {
     "transactions": (feeds.TRANSACTION_FIELDS, True),
@@ -42,15 +42,14 @@ def land_from_tables(spark: SparkSession, sf_dir: str, landing: str) -> None:
 
 
 def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str]) -> None:
-    """Apply a silver snapshot to the SCD2 table at ``path`` (created if absent).
-    The new version is written beside the old one, which it reads."""
+    """Apply a silver snapshot to the SCD2 table at ``path`` (created if absent), as
+    the streams do: only open versions and newly closed ones are written."""
     try:
-        existing = read_table(spark, path)
+        read_table(spark, path)
     except TableNotFound:  # any other error, e.g. of the storage, must not look like a first run
-        write_table(scd2.rebuild(silver, keys, "ingest_timestamp"), path)
+        scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", 0)
         return
-    changes = silver.select(*existing.drop(scd2.START, scd2.END).columns)
-    write_table(scd2.merge_increment(existing, changes, keys, "ingest_timestamp"), path)
+    scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", last_batch(spark, path) + 1)
 
 
 def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t: Thresholds = DEFAULT,
@@ -63,12 +62,13 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
         tables[name] = f"{out}/{name}"
         return tables[name]
 
-    # bronze: exactly-once file ingest
+    # bronze: exactly-once file ingest, each file by its own header
+    bronze = {}
     for feed, (fields, rescue) in FEEDS.items():
-        ingest.ingest_bronze(spark, f"{landing}/{feed}", fields, path(f"bronze/{feed}"), f"{ckpt}/bronze_{feed}", rescue)
-    bt = spark.read.parquet(tables["bronze/transactions"])
-    bc = spark.read.parquet(tables["bronze/customers"])
-    bs = spark.read.parquet(tables["bronze/device_sessions"])
+        ingest.ingest_files(spark, f"{landing}/{feed}", fields, f"{out}/bronze/{feed}", f"{ckpt}/bronze_files_{feed}", rescue)
+        tables[f"bronze/{feed}"] = f"{out}/bronze/{feed}/data"
+        bronze[feed] = read_table(spark, f"{out}/bronze/{feed}")
+    bt, bc, bs = bronze["transactions"], bronze["customers"], bronze["device_sessions"]
 
     # silver + quarantine
     write_table(cleanse.quarantine_transactions(bt), path("silver/transactions_quarantine"))
@@ -90,8 +90,8 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
     write_table(dims.dim_customers(sc), path("gold/dim_customers"))
     write_table(dims.dim_devices(ss), path("gold/dim_devices"))
     write_table(dims.dim_merchants(st), path("gold/dim_merchants"))
-    current_txn = scd2.current(read_table(spark, tables["silver/transactions_history"]))
-    current_cust = scd2.current(read_table(spark, tables["silver/customers_history"]))
+    current_txn = scd2_stream.read_current(spark, tables["silver/transactions_history"])
+    current_cust = scd2_stream.read_current(spark, tables["silver/customers_history"])
     # The few customers whose rows are split by time, computed once (<= HOT_KEYS rows).
     write_table(hot_customers(current_txn), path("gold/_hot_customers"))
     hot = read_table(spark, tables["gold/_hot_customers"])

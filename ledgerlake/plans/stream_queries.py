@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from ..config import TEST_WIDE, scratch_path
 from ..operators import cleanse
 from ..sources import binding, feeds
-from ..sources.tables import read_test_table
+from ..sources.tables import append_table, read_table, read_test_table, write_table
 from ..streaming import ingest, live, scd2_stream
+from ..streaming.table_log import run_table_stream
 from .queries import _two_ingests, query
 
 
@@ -77,6 +78,23 @@ def q_bronze_by_name(spark, sf_dir):
     return bronze.select(*feeds.TRANSACTION_FIELDS, "ingest_ts", "rescued_data")
 
 
+@query("bronze_drift")
+def q_bronze_drift(spark, sf_dir):
+    """The sender changes its files while the stream runs: an empty folder, then files
+    as declared, then files in another order, without ``status`` and with
+    a column more. The stream is started anew for each."""
+    feed = binding.bronze_transactions(_events(spark, sf_dir))
+    landing, table, ckpt = (scratch_path(spark, f"bronze-drift-{p}") for p in ("landing", "table", "checkpoint"))
+    later = F.col("channel").isin("ONLINE", "POS", "MOBILE")
+    kept = [c for c in reversed(feed.columns) if c != "status"]
+    changed = feed.where(later).select(*kept, F.concat(F.lit("note "), F.col("txn_id")).alias("sender note"))
+    for arrival in (None, feed.where(~later), changed):
+        if arrival is not None:
+            feeds.land_csv(arrival, landing)
+        ingest.ingest_files(spark, landing, feeds.TRANSACTION_FIELDS, table, ckpt, rescue=True)
+    return read_table(spark, table).select(*feeds.TRANSACTION_FIELDS, "rescued_data")
+
+
 @query("bronze_lineage")
 def q_bronze_lineage(spark, sf_dir):
     bronze = _land_and_ingest(
@@ -137,21 +155,24 @@ def q_stream_dedup(spark, sf_dir):
 
 @query("stream_scd2_customers")
 def q_stream_scd2(spark, sf_dir):
-    """Change feed landed out of order (version 3, then 1, then 2), applied
-    micro-batch by micro-batch with foreachBatch; equals the batch rebuild."""
+    """Changes that arrive out of order (version 3, then 1, then 2), applied
+    batch by batch; equals the batch rebuild."""
     changes = binding.customer_changes(read_test_table(spark, sf_dir, "customer"))
     days = [f"2024-01-0{version}" for version in (3, 1, 2)]
     return _stream_history(spark, changes, days, ["customer_id", "account_id"])
 
 
 def _stream_history(spark, changes: DataFrame, days: list[str], keys: list[str]) -> DataFrame:
-    """Land the changes of each day, in the given order, and apply them as a stream."""
-    landing, target = scratch_path(spark, "scd2-landing"), scratch_path(spark, "scd2-target")
-    for day in days:
-        changes.filter(F.to_date("ingest_timestamp") == F.lit(day).cast("date")).coalesce(2).write.mode("append").parquet(landing)
-    scd2_stream.run_scd2_stream(
-        live.table_stream(spark, landing, max_files_per_trigger=2), target, scratch_path(spark, "scd2-ck"), keys, "ingest_timestamp", buckets=16
-    )
+    """The history by a stream over a published silver table that gets the changes of
+    each day, in the given order. The stream is started anew for each; after the
+    first the table is rewritten (compacted), which is not replayed."""
+    silver, target, ckpt = (scratch_path(spark, f"scd2-{p}") for p in ("silver", "target", "ck"))
+    apply = scd2_stream.scd2_batch_writer(target, keys, "ingest_timestamp", buckets=16)
+    for k, day in enumerate(days):
+        append_table(changes.filter(F.to_date("ingest_timestamp") == F.lit(day).cast("date")), silver)
+        run_table_stream(spark, silver, apply, ckpt)
+        if k == 0:
+            write_table(read_table(spark, silver), silver)
     return scd2_stream.read_history(spark, target)
 
 

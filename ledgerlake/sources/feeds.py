@@ -7,6 +7,7 @@ layer's job, where unparseable values become NULL instead of failing a job.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +99,64 @@ def read_csv_stream(spark: SparkSession, path: str, fields: Sequence[str], rescu
     return by_name(reader.csv(path), [*fields, INGEST_TS], rescue)
 
 
+# -- files whose headers differ ----------------------------------------------------------
+
+
+def new_files(spark: SparkSession, path: str, max_files_per_trigger: int) -> DataFrame:
+    """The files that land under ``path`` as a stream of ``(path)``, each once; their content is
+    not read. The folder may be empty."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(path)
+        .select("path")
+    )
+
+
+def header_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """The first line of every file that has one: the line of the lowest number in the file's first split."""
+    lines = spark.read.text(list(files)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")
+    )
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()  # one row a file of the batch
+    jvm = spark._jvm
+    return {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["file"])).toString(): r["line"] for r in first}
+
+
+def header_columns(line: str, sep: str = ",") -> list[str]:
+    """Column names of a header line; unnamed and repeated ones get a number."""
+    names: list[str] = []
+    taken: set[str] = set()
+    for k, name in enumerate(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])):
+        name = name or f"_c{k}"
+        while name.lower() in taken:
+            name = f"{name}_{k}"
+        taken.add(name.lower())
+        names.append(name)
+    return names or ["_c0"]
+
+
+def read_files(spark: SparkSession, files: Sequence[str], fields: Sequence[str], rescue: bool = False, sep: str = ",") -> DataFrame | None:
+    """The rows of ``files``, each parsed by its own header and matched by name, see
+    :func:`by_name`; None if no file has a line. Files of one layout are one scan."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(header_lines(spark, files).items()):
+        layouts.setdefault(tuple(header_columns(line, sep)), []).append(file)
+    out = None
+    for columns, same in layouts.items():
+        # The schema is the header itself, so there is nothing to check it against.
+        reader = _csv_options(spark.read, raw_schema(columns, rescue), sep).option("enforceSchema", True)
+        rows = by_name(reader.csv(same), [*fields, INGEST_TS], rescue)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def no_rows(spark: SparkSession, path: str, fields: Sequence[str], rescue: bool = False) -> DataFrame:
+    """The empty result of :func:`read_files`."""
+    return by_name(spark.read.schema(raw_schema(fields, rescue)).csv(path), [*fields, INGEST_TS], rescue).limit(0)
+
+
 def with_lineage(df: DataFrame, ingest_time=None) -> DataFrame:
     """Bronze shaping: expose the file metadata struct, clean column names
     (``_metadata`` -> ``metadata``, ``_rescued_data`` -> ``rescued_data``),

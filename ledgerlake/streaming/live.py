@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..operators.cleanse import quarantine_customers
+from ..sources.tables import published
 
 
 def table_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Append-only Parquet table as a stream (only new files are seen, so
-    update/delete commits of the source never reach the stream)."""
+    """Append-only Parquet folder as a stream (only new files are seen, so
+    update/delete commits of the source never reach the stream). Published
+    tables are streamed by :func:`ledgerlake.streaming.table_log.run_table_stream`."""
+    if published(spark, path) is not None:
+        raise ValueError(f"{path} is a published table: use run_table_stream")
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
