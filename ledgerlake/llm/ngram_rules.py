@@ -10,7 +10,7 @@ with the raw corpus, by a share of its own size. It passes when the score
 reaches the threshold, which the scores of the held-out labelled rows of the
 same run give. The decision is deterministic.
 
-Scale: about ``COMMON`` n-grams make up half of a corpus. They are picked by a
+Scale: the commonest n-grams, one in a thousand, make up half of a corpus. They are picked by a
 look at every task's first texts, counted exactly over all rows, and their log
 ratios (a table of fixed size) go to every task, which adds them up where the
 text is. So no key that many documents hold is ever gathered. For the other
@@ -47,12 +47,12 @@ SPARE_BITS, MAX_KEY_BITS = 8, 48
 SMOOTHING = 0.05
 #: One in so many labelled ids sets the threshold and is no part of the target.
 HELD_OUT = 5
-#: N-grams whose log ratios go to every task: 12 bytes each there.
-COMMON = 1 << 16
+#: N-grams whose log ratios go to every task: one in so many of the corpus's, up to a bound (25 MB of tables in a task).
+COMMON_SHARE, COMMON = 1 << 10, 1 << 18
 #: Slots of each of the two tables that find a common key.
-SLOT_BITS = 18
+SLOT_BITS = 20
 #: N-grams of a task's first texts that are looked at for common ones, and how many it names.
-LOOK_GRAMS, NAMED = 1_000_000, 1 << 14
+LOOK_GRAMS, NAMED = 1_000_000, 1 << 15
 #: Parts in which the common counts of the tasks are added up, and the groups of tasks.
 SLICES, GROUPS = 64, 256
 #: N-grams of a block (which has at most 2**16 texts) and, on average, of a range of keys.
@@ -374,6 +374,7 @@ def quality_rules(
     bodies = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body)
     target = trusted.select(F.lit(None).cast("bigint").alias("doc_id"), body)
     (n_target, _), (n_raw, often) = profile(target), profile(bodies)
+    often = often[: -(-n_raw // COMMON_SHARE)]
     key_bits = bits or min(MAX_KEY_BITS, n_raw.bit_length() + SPARE_BITS)
     common = CommonKeys(list(dict.fromkeys(k >> max(MAX_KEY_BITS - key_bits, 0) for k in often)), key_bits)
     in_raw, in_target = common_counts(bodies, key_bits, common), common_counts(target, key_bits, common)

@@ -42,6 +42,7 @@ def made(seed, n):
 @pytest.mark.parametrize("common, block, per_range", [(1 << 16, 2_000_000, 3_000_000), (0, 500, 200), (7, 300, 100), (40, 10_000, 1)])
 def test_score_is_the_mean_log_ratio(spark, monkeypatch, common, block, per_range):
     monkeypatch.setattr(ng, "COMMON", common)
+    monkeypatch.setattr(ng, "COMMON_SHARE", 1)
     monkeypatch.setattr(ng, "BLOCK_GRAMS", block)
     monkeypatch.setattr(ng, "RANGE_GRAMS", per_range)
     rows = made(4, 120) + [(i, t) for i, t in edge.TEXTS]
