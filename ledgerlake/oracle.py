@@ -511,6 +511,7 @@ register("scd2_late_batch", ORACLE["scd2_customers_tracked"])
 register("kpi_impossible_travel_split", ORACLE["kpi_impossible_travel"])
 register("fact_beneficiary_5d", with_fact("SELECT txn_id, new_beneficiary_flag FROM fact", new_days=5))
 
+register("fact_incremental", ORACLE["fact_transactions"])
 register("fact_partition_prune", with_fact(f"SELECT {FACT_COLUMNS} FROM fact WHERE txn_date = DATE '2024-01-15'"))
 register("fact_from_history", with_ctes(
     TXN, CUST, BRONZE_TXN, silver_txn_cte(), BRONZE_CUST, silver_cust_cte(),

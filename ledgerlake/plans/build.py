@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Thresholds, get_session, scratch_path, tune_session
 from ..operators import cleanse, dims, kpis, reports, score
-from ..operators.fact import fact_transactions, hot_customers
+from ..operators.fact import hot_customers
 from ..sources import binding, feeds
-from ..sources.tables import TableNotFound, last_batch, read_table, read_test_table, write_table
+from ..sources.tables import (
+    TableNotFound, content_of, last_batch, notes_of, published, read_buckets, read_table, read_test_table, write_table,
+)
 from ..streaming import ingest, scd2_stream
+from . import refresh
 
 FEEDS = {
     "transactions": (feeds.TRANSACTION_FIELDS, True),
@@ -52,6 +55,25 @@ def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str])
     scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", last_batch(spark, path) + 1)
 
 
+def _fact(spark: SparkSession, tables: dict[str, str], path, t: Thresholds):
+    """The fact of the current versions: only dates that changed are written, if the stored
+    fact says which versions of the histories it was built from and these are still kept."""
+    sources = {name: tables[f"silver/{name}_history"] for name in ("transactions", "customers")}
+    txns, customers = (scd2_stream.read_current(spark, p) for p in sources.values())
+    # The few customers whose rows are split by time, computed once (<= HOT_KEYS rows).
+    write_table(hot_customers(txns), path("gold/_hot_customers"))
+    hot, target = read_table(spark, tables["gold/_hot_customers"]), path("gold/fact_transactions")
+    notes = {name: published(spark, p)[0] for name, p in sources.items()}
+    built_from = notes_of(spark, target)
+    before = [content_of(spark, p, built_from.get(name, 0)) for name, p in sources.items()]
+    if all(before):
+        old_txns, old_customers = (read_buckets(spark, p, parts=("buckets",), content=c) for p, c in zip(sources.values(), before))
+        refresh.refresh_fact(spark, target, old_txns, txns, old_customers, customers, t, notes, hot=hot)
+    else:
+        refresh.build_fact(target, txns, customers, t, notes, hot=hot)
+    return hot, target
+
+
 def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t: Thresholds = DEFAULT,
         checkpoint_root: str | None = None) -> dict[str, str]:
     tune_session(spark)
@@ -90,14 +112,8 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
     write_table(dims.dim_customers(sc), path("gold/dim_customers"))
     write_table(dims.dim_devices(ss), path("gold/dim_devices"))
     write_table(dims.dim_merchants(st), path("gold/dim_merchants"))
-    current_txn = scd2_stream.read_current(spark, tables["silver/transactions_history"])
-    current_cust = scd2_stream.read_current(spark, tables["silver/customers_history"])
-    # The few customers whose rows are split by time, computed once (<= HOT_KEYS rows).
-    write_table(hot_customers(current_txn), path("gold/_hot_customers"))
-    hot = read_table(spark, tables["gold/_hot_customers"])
-    write_table(fact_transactions(current_txn, current_cust, t, hot=hot), path("gold/fact_transactions"),
-                partition_by=("txn_date",))
-    fact = read_table(spark, tables["gold/fact_transactions"])
+    hot, fact_path = _fact(spark, tables, path, t)
+    fact = read_table(spark, fact_path)
 
     indicator_tables = {
         "gold/kpi_new_beneficiary_high_amt": kpis.kpi_new_beneficiary_high_amt(fact),

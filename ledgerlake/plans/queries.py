@@ -14,6 +14,7 @@ from ..operators import cleanse, dims, kpis, reports, scd2, score
 from ..operators.fact import fact_transactions
 from ..sources import binding
 from ..sources.tables import read_table, read_test_table, write_table
+from . import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -283,4 +284,18 @@ def q_fact_from_history(spark, sf_dir):
     return fact_transactions(scd2.current(txn_hist), scd2.current(cust_hist), DEFAULT)
 
 
+@query("fact_incremental")
+def q_fact_incremental(spark, sf_dir):
+    """The fact built before some deposits and withdrawals arrive and some customers get
+    their balance, then refreshed: late rows change their day, the next rows and the rolling sums after them."""
+    tune_session(spark)
+    txns, customers = binding.transactions(_events(spark, sf_dir)), binding.customers(read_test_table(spark, sf_dir, "customer"))
+    late = F.col("txn_type").isin("DEPOSIT", "WITHDRAWAL") & F.col("txn_timestamp").between(F.lit("2024-01-08").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz"))
+    first = customers.withColumn("account_balance", F.when(F.col("account_balance") >= -900, F.col("account_balance")))
+    path = scratch_path(spark, "fact-incremental")
+    refresh.build_fact(path, txns.where(~late), first)
+    refresh.refresh_fact(spark, path, txns.where(~late), txns, first, customers)
+    return read_table(spark, path)
+
+
 from . import stream_queries  # noqa: E402,F401  (registers source/stream queries)
