@@ -314,4 +314,4 @@ def test_pipeline_is_the_stages_in_order(spark):
 
 
 def test_every_operator_is_registered():
-    assert {re.match(r"op(\d+)_", q)[1] for q in queries.QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in queries.QUERIES} == {str(n) for n in range(1, 14)}
