@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..operators.cleanse import quarantine_customers
-from ..sources.tables import published
+from ..sources.tables import Store, last_batch, published, read_table, replace_parts
 
 
 def table_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -59,6 +60,48 @@ def velocity_stream(txns: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 m
     )
 
 
+WINDOW_DAY = "window_date"
+
+
+def run_velocity_windows(txns: DataFrame, path: str, checkpoint: str, t: Thresholds = DEFAULT, delay: str = "15 minutes") -> None:
+    """Keep the counts of all windows, open ones too, in the published table ``path``.
+
+    The stream runs in update mode: a batch emits the groups whose count changed,
+    from state, and these replace theirs in the table. Only the days of these windows
+    are read and written; a replayed batch is recognised by its number.
+    """
+    counted = (
+        txns.withColumn("__event_time", event_time(F.col("txn_timestamp")))
+        .withWatermark("__event_time", delay)
+        .groupBy(F.window("__event_time", t.velocity_window), "customer_id")
+        .count()
+        .select(wall_clock(F.col("window.start")).alias("window_start"), wall_clock(F.col("window.end")).alias("window_end"), "customer_id", "count")
+    )
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"scratch/batch-{uuid.uuid4().hex}"
+        # Written once, also by a replay: running the batch is what commits its state.
+        batch.withColumn(WINDOW_DAY, F.to_date("window_start")).write.parquet(f"{path}/{folder}")
+        rows = spark.read.parquet(f"{path}/{folder}")
+        days = sorted(r[0] for r in rows.select(WINDOW_DAY).distinct().collect())  # one row a day
+        if days and batch_id > last_batch(spark, path):
+            if published(spark, path) is not None:
+                before = read_table(spark, path).where(F.col(WINDOW_DAY).isin(days))
+                rows = rows.unionByName(before.join(rows, ["window_start", "customer_id"], "left_anti").select(*rows.columns))
+            replace_parts(rows, path, WINDOW_DAY, days, batch_id)
+        Store(spark, path).delete(folder)
+
+    q = counted.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def velocity_windows(spark: SparkSession, path: str, t: Thresholds = DEFAULT) -> DataFrame:
+    """The windows of :func:`run_velocity_windows` beyond the threshold, as of its last run."""
+    return read_table(spark, path).where(F.col("count") > t.velocity_min_count).drop(WINDOW_DAY)
+
+
 def open_windows(txns: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 minutes") -> DataFrame:
     """The windows that :func:`velocity_stream` has not emitted at the end of
     the input ``txns`` (a batch): those the watermark has not passed. Together
