@@ -501,6 +501,7 @@ register("stream_customer_quarantine", ORACLE["quarantine_customers"])
 register("stream_velocity_1d", ORACLE["kpi_transaction_velocity_1d"])
 register("stream_dedup_transactions", with_ctes(TXN) + "SELECT * FROM txn")
 register("stream_scd2_customers", ORACLE["scd2_customers"])
+register("stream_latest_transactions", ORACLE["silver_transactions"])
 register("stream_scd2_transactions", ORACLE["scd2_transactions"])
 register("scd2_sessions", with_ctes(BRONZE_SESS, silver_sess_cte(AS_OF, "s1"), silver_sess_cte("2024-02-02 00:00:00", "s2")) + """
 SELECT *, ingest_timestamp AS __START_AT,

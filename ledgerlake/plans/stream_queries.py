@@ -14,9 +14,9 @@ from ..config import TEST_WIDE, scratch_path
 from ..operators import cleanse
 from ..sources import binding, feeds
 from ..sources.tables import append_table, read_table, read_test_table, write_table
-from ..streaming import ingest, live, scd2_stream
+from ..streaming import ingest, latest, live, scd2_stream
 from ..streaming.table_log import run_table_stream
-from .queries import _two_ingests, query
+from .queries import AS_OF, _two_ingests, query
 
 
 def _land_and_ingest(spark, feed: DataFrame, fields, name: str, rescue: bool = False, csv_options=None) -> DataFrame:
@@ -154,6 +154,20 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_latest_transactions")
+def q_stream_latest(spark, sf_dir):
+    """Newest copies by a stream: the copies of a transaction are dealt to three arrivals by their
+    content, so newer ones come before or after older ones; equals ``silver_transactions``."""
+    copies = binding.bronze_transactions(_events(spark, sf_dir))
+    bronze, target, ckpt = (scratch_path(spark, f"latest-{p}") for p in ("bronze", "target", "ck"))
+    merge = latest.latest_writer(target, ["txn_id"], ["txn_timestamp"], buckets=8)
+    turn = F.pmod(F.xxhash64(*copies.columns), F.lit(3))
+    for part in (2, 0, 1):
+        append_table(copies.where(turn == part), bronze)
+        run_table_stream(spark, bronze, lambda rows, n: merge(cleanse.silver_transactions(rows, AS_OF), n), ckpt)
+    return latest.read_latest(spark, target)
+
+
 @query("stream_scd2_customers")
 def q_stream_scd2(spark, sf_dir):
     """Changes that arrive out of order (version 3, then 1, then 2), applied
