@@ -207,7 +207,8 @@ def forward_payees_and_total(
     """For each probe second ``c``: distinct ``payee`` values and total
     ``amount`` of the key's transfers with seconds in ``[c, c + span]``.
 
-    Returns the probe rows plus ``__payees`` (bigint) and ``__amount``.
+    Returns the probe rows plus ``__payees`` (bigint) and ``__amount``. A probe
+    without key or second has no transfers: 0 and 0.
 
     Linear sweep, no pairs: a transfer at ``t`` covers probe times
     ``[t - span, t]``. Per (key, block, payee) the covering intervals are
@@ -216,8 +217,34 @@ def forward_payees_and_total(
     at ``t - span`` and ``-amount`` at ``t + 1`` give the total. Probes in
     block ``k`` only need transfers of blocks ``k`` and ``k + 1``, so each
     transfer is placed in its own block and the one before it.
+
+    No group grows with the rows of a key: the merge holds one row a second of
+    a payee, and the sweep one row a second of a block (:func:`second_deltas`),
+    whatever number of payees and transfers met in it. These rows come from partial
+    aggregates, so a key that holds much of the data in one block is summed
+    by all tasks that read it.
     """
     keys = list(keys)
+    deltas = second_deltas(probes, transfers, keys, seconds, payee, amount, span)
+    swept = _running_sum(deltas, [*keys, "__b"], "__time", ["__dp", "__da"]).filter("__probe")
+    found = swept.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__time").alias("__k_s"), F.col("__dp").cast("bigint").alias("__payees"), F.col("__da").alias("__amount")
+    )
+    same = F.col(seconds) == F.col("__k_s")
+    for k in keys:
+        same &= F.col(k) == F.col(f"__k_{k}")
+    return probes.join(found, same, "left").select(
+        *keys, *[c for c in probes.columns if c not in keys], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("__payees", "__amount")]
+    )
+
+
+def second_deltas(
+    probes: DataFrame, transfers: DataFrame, keys: Sequence[str], seconds: str, payee: str, amount: str, span: int
+) -> DataFrame:
+    """What changes at each second of a (key, block ``__b``): ``__dp`` payees and
+    ``__da`` amount, and whether a probe asks there (``__probe``). At most
+    ``3 * span + 1`` rows a block, one a second."""
+    keys = list(keys)
     per_second = transfers.groupBy(*keys, payee, F.col(seconds).alias("__t")).agg(F.sum(amount).alias("__a"))
     block = F.floor(F.col("__t") / F.lit(span))
     copies = per_second.select("*", F.explode(F.array(block, block - 1)).alias("__b"))
@@ -239,21 +266,14 @@ def forward_payees_and_total(
             )
         ).alias("__e"),
     ).select(*keys, "__b", "__e.*", F.lit(False).alias("__probe"))
-    probe_cols = [c for c in probes.columns if c not in keys]
-    p = probes.select(
+    asked = probes.select(
         *keys,
         F.floor(F.col(seconds) / F.lit(span)).alias("__b"),
         F.col(seconds).alias("__time"),
         F.lit(0).alias("__dp"),
         F.lit(0).cast(events.schema["__da"].dataType).alias("__da"),
         F.lit(True).alias("__probe"),
-        F.struct(*probe_cols).alias("__row"),
     )
-    events = events.withColumn("__row", F.lit(None).cast(p.schema["__row"].dataType))
-    swept = _running_sum(p.unionByName(events), [*keys, "__b"], "__time", ["__dp", "__da"])
-    return swept.filter(F.col("__probe")).select(
-        *keys,
-        *[F.col("__row").getField(c).alias(c) for c in probe_cols],
-        F.col("__dp").cast("bigint").alias("__payees"),
-        F.col("__da").alias("__amount"),
+    return events.unionByName(asked).groupBy(*keys, "__b", "__time").agg(
+        F.sum("__dp").alias("__dp"), F.sum("__da").alias("__da"), F.max("__probe").alias("__probe")
     )

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.sequence import forward_payees_and_total, previous_by_segment, trailing_sum
+from ledgerlake.operators.sequence import forward_payees_and_total, previous_by_segment, second_deltas, trailing_sum
 
 
 def _random_rows(n=600, seed=7):
@@ -68,6 +68,33 @@ def test_forward_payees_and_total_equals_pairwise_join(spark):
         assert sorted(got.collect()) == sorted(want.collect()), span
 
 
+def test_hot_block_is_swept_by_seconds(spark):
+    """One key with a third of all rows inside one block: neither the payee merge nor the sweep gets
+    a group that grows with them, and the result is that of the pairs."""
+    span, n = 600, 30_000
+    hot = spark.range(n).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % span).alias("s"), F.concat(F.lit("p"), F.col("id") % 9000).alias("p"), (F.col("id") % 13).alias("v"))
+    rest = spark.range(2 * n).select(F.concat(F.lit("k"), F.col("id") % 5000).alias("k"), (F.col("id") * 31 % 100_000).alias("s"), F.concat(F.lit("p"), F.col("id") % 7).alias("p"), (F.col("id") % 5).alias("v"))
+    data = hot.unionByName(rest)
+    asked = data.where("v % 4 = 1").groupBy("k", "s").agg(F.count("*").alias("n"))
+    deltas = second_deltas(asked, data, ["k"], "s", "p", "v", span)
+    assert deltas.groupBy("k", "__b").count().agg(F.max("count")).first()[0] <= 3 * span + 1
+    assert deltas.where("k = 'hot'").count() < n // 6
+    got = {(r["k"], r["s"]): (r["__payees"], r["__amount"]) for r in forward_payees_and_total(asked, data, ["k"], "s", "p", "v", span).where("k in ('hot', 'k1', 'k2')").collect()}
+    rows: dict = {}
+    for r in data.where("k in ('hot', 'k1', 'k2')").collect():
+        rows.setdefault(r["k"], []).append((r["s"], r["p"], r["v"]))
+    for (k, s), answer in list(got.items())[:60]:
+        met = [(p, v) for t, p, v in rows[k] if s <= t <= s + span]
+        assert answer == (len({p for p, _ in met}), sum(v for _, v in met)), (k, s)
+
+
+def test_probe_without_key_or_transfers(spark):
+    data = spark.createDataFrame([("a", 5, "x", 1), (None, 5, "x", 1), ("a", None, "x", 1)], "k string, s bigint, p string, v int")
+    probes = spark.createDataFrame([("a", 4, "one"), (None, 4, "none"), ("b", 4, "none"), ("a", None, "none")], "k string, s bigint, row string")
+    got = forward_payees_and_total(probes, data, ["k"], "s", "p", "v", 10).collect()
+    assert sorted((r["row"], r["__payees"], r["__amount"]) for r in got) == [("none", 0, 0)] * 3 + [("one", 1, 1)]
+
+
 def test_fact_plan_has_no_customer_only_window(spark):
     """Row-level windows are partitioned by (customer, day, ...), never by the
     bare customer, and the fact rows are exchanged once."""
