@@ -22,7 +22,8 @@ from ..operators import cleanse, dims, kpis, reports, score
 from ..operators.fact import hot_customers
 from ..sources import binding, feeds
 from ..sources.tables import (
-    TableNotFound, content_of, last_batch, notes_of, published, read_buckets, read_table, read_test_table, write_table,
+    BUCKET_BYTES, Store, TableNotFound, content_of, folders, last_batch, notes_of, published, read_buckets, read_table, read_test_table,
+    write_table,
 )
 from ..streaming import ingest, scd2_stream
 from . import refresh
@@ -44,15 +45,21 @@ def land_from_tables(spark: SparkSession, sf_dir: str, landing: str) -> None:
     feeds.land_csv(binding.bronze_sessions(events), f"{landing}/device_sessions")
 
 
-def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str]) -> None:
-    """Apply a silver snapshot to the SCD2 table at ``path`` (created if absent), as
-    the streams do: only open versions and newly closed ones are written."""
+def _history(spark: SparkSession, path: str, silver: DataFrame, keys: list[str], buckets: int = 8) -> None:
+    """Apply a silver snapshot to the SCD2 table at ``path`` (created with ``buckets`` if
+    absent), as the streams do: only open versions and newly closed ones are written."""
     try:
         read_table(spark, path)
     except TableNotFound:  # any other error, e.g. of the storage, must not look like a first run
-        scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", 0)
+        scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", 0, buckets)
         return
-    scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", last_batch(spark, path) + 1)
+    scd2_stream.apply_changes(silver, path, keys, "ingest_timestamp", last_batch(spark, path) + 1, buckets)
+
+
+def _buckets_for(spark: SparkSession, source: str) -> int:
+    """A power of two of buckets that hold about ``BUCKET_BYTES`` of the table ``source``, at least 8."""
+    size = sum(Store(spark, source).size(folder) for folder in folders(published(spark, source)[1]))
+    return max(8, 1 << (size // BUCKET_BYTES).bit_length())
 
 
 def _fact(spark: SparkSession, tables: dict[str, str], path, t: Thresholds):
@@ -104,9 +111,8 @@ def run(spark: SparkSession, landing: str, out: str, as_of: str | None = None, t
     ss = read_table(spark, tables["silver/device_sessions"])
 
     # history
-    _history(spark, path("silver/transactions_history"), st, ["txn_id"])
-    _history(spark, path("silver/customers_history"), sc, ["customer_id", "account_id"])
-    _history(spark, path("silver/device_sessions_history"), ss, ["session_id"])
+    for name, silver, keys in (("transactions", st, ["txn_id"]), ("customers", sc, ["customer_id", "account_id"]), ("device_sessions", ss, ["session_id"])):
+        _history(spark, path(f"silver/{name}_history"), silver, keys, _buckets_for(spark, tables[f"silver/{name}"]))
 
     # gold
     write_table(dims.dim_customers(sc), path("gold/dim_customers"))
