@@ -11,10 +11,13 @@ the rest. The last one taken is cut to the words still wanted.
 ``u`` comes from an MD5 of the id and the text, so reruns agree.
 
 Scale: the text is read once; afterwards only (id, source, size, key) rows
-move. A source's keys are cut into equal hash-like ranges of about
-``rows_per_range`` rows, and the prefix sum is a window inside one range plus
-the sum of the ranges before it, so a source with a third of all rows spreads
-over as many tasks as it has ranges.
+move. A source's keys are cut into ranges, and the prefix sum is a window inside one
+range plus the sum of the ranges before it, so a source with a third of all rows
+spreads over as many tasks as it has ranges. The ranges are equal steps of the
+logarithm of the key: a weight only shifts that logarithm, and whatever weights a
+source mixes, its density is nowhere above 1/e. So no range is expected to hold more than
+``rows_per_range`` rows, for any quality weights and without sampling the keys;
+those far from the middle hold fewer.
 
 Defined results: a null text has size 0; a null source is a source of its
 own, after all others; documents of size 0 take 0 words; a source without
@@ -24,6 +27,8 @@ gives an empty result. Input columns other than the id are not returned.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +82,13 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
     )
 
 
+def key_range(draw_key: Column, n_docs: Column, rows_per_range: int) -> Column:
+    """Number of the range of a draw key, rising with it. ``-ln(u) / weight`` has the log-density
+    ``y * exp(-y)`` with ``y = weight * key``, at most 1/e: a step of ``e * rows_per_range / n_docs``
+    is expected to hold at most ``rows_per_range`` of ``n_docs`` rows."""
+    return F.floor(F.log(draw_key) * (n_docs / F.lit(math.e * rows_per_range)))
+
+
 def mix_sources(
     docs: DataFrame,
     *,
@@ -112,14 +124,14 @@ def mix_sources(
         "source_size",
         "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).alias("epochs"),
-        F.ceil(F.col("n_docs") / F.lit(rows_per_range)).alias("ranges"),
+        "n_docs",
     ).withColumn("rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("bigint"))
     if targets.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
     keyed = (
         sized.join(plan, F.col("source").eqNullSafe(F.col("t_source")), "left")
         .drop("t_source")
-        .withColumn("range", F.floor((F.lit(1.0) - F.exp(-F.col("draw_key"))) * F.col("ranges")))
+        .withColumn("range", key_range(F.col("draw_key"), F.col("n_docs"), rows_per_range))
     )
     # Words of the ranges before each range: one row per (source, range).
     ranges = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
