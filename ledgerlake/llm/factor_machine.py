@@ -22,7 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, free_names, table, unique_ids, utf8
@@ -135,11 +135,12 @@ class FactorMachine:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           train_rows: int = TRAIN_ROWS, bits: int = BITS) -> FactorMachine:
-    """Fit on at most ``train_rows`` labelled ids. ``labels(doc_id, quality)`` holds the rows that may train."""
+    """Fit on at most ``train_rows`` labelled rows. ``labels(doc_id, quality)`` holds the rows that may train.
+    Of an id that many rows repeat, the rows with the smallest hashes of their features train."""
     usable = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("q_max")
     ).where((F.col("quality") == F.col("q_max")) & F.col("quality").isin(0, 1))
-    # The limit bounds the broadcast and what the driver gathers; the rarer class gets up to half of it.
+    # The limit bounds the broadcast; the rarer class gets up to half of it.
     parts = [unique_ids(usable.where(F.col("quality") == q), "doc_id", train_rows // 2) for q in (0, 1)]
     picked = parts[0].withColumn("quality", F.lit(0)).unionByName(parts[1].withColumn("quality", F.lit(1)))
     sample = docs.select(F.col(id_col).alias("doc_id"), utf8(F.col(text_col)).alias("body")).join(
@@ -156,7 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         }
 
     schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("ids", pa.binary()), ("x", pa.binary())])
-    rows = sample.mapInArrow(arrow_rows(featurise, schema), "doc_id bigint, quality int, ids binary, x binary").collect()
+    made = sample.mapInArrow(arrow_rows(featurise, schema), "doc_id bigint, quality int, ids binary, x binary")
+    # Ids may repeat: the rows that the driver gathers are bounded too. Spark applies such a rank limit in every task
+    # before the shuffle.
+    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", "ids", "x"), "doc_id", "ids", "x"))
+    rows = made.withColumn("rank", rank).where(F.col("rank") <= train_rows // 2).collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["ids"]), bytes(r["x"])))  # the same order on every run
     made = [(np.frombuffer(r["ids"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(np.float64)) for r in rows]
     return FactorMachine(bits).fit(made, np.array([float(r["quality"]) for r in rows]))
