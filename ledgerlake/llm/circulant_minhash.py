@@ -12,8 +12,8 @@ Candidates without pairs: texts with equal words are one node. In every band
 bucket each node is compared with one pivot (chosen by a hash, another one in
 each band); confirmed links are merged into components. What is then left is
 every pair of nodes in one bucket with different components: nodes outside
-the bucket's largest component are compared with all its members, in blocks
-of bounded size, first by signature agreement, then exactly. Each pair is looked at in the
+the bucket's largest component are compared with all its members, both cut into blocks
+of bounded size, a task for each two of them, first by signature agreement, then exactly. Each pair is looked at in the
 first bucket it shares. Nothing is capped.
 
 Scale: three narrow tables move (class keys, band keys, links); shingle sets
@@ -26,8 +26,8 @@ Defined results: null, empty and white texts have no shingles and are linked
 with nothing, each its own component; shorter texts than a shingle have one
 shingle, the whole word sequence; rows with equal words are linked whatever
 their ids; a null id gets the component of its text's other rows (null if all
-are null) and is kept only if that is null; rows that repeat an id are all
-marked alike; an empty table gives no rows; other columns are ignored.
+are null) and is kept only if that is null; rows that repeat an id with different
+texts are marked by their own texts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,7 +152,8 @@ def id_bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def node_sets(bodies: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(node, shingles, sig)`` of the rows that stand for a node of ``reps(id)`` (a few others may be among them)."""
+    """``(node, shingles, sig)``, one row a node, of the rows that stand for a node of ``reps(id)`` (a few others may
+    be among them). The bitmap lets more copies of a text through as it fills; they are combined per task."""
     shared = bodies.sparkSession.sparkContext.broadcast(id_bitmap(reps))
     slotted = bodies.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)))
 
@@ -173,7 +174,8 @@ def node_sets(bodies: DataFrame, reps: DataFrame, scratch: Scratch) -> DataFrame
                 [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(sigs, pa.binary())], names=["node", "shingles", "sig"]
             )
 
-    return scratch.table(slotted.mapInArrow(run, "node bigint, shingles binary, sig binary"), "minhash-sets")
+    found = slotted.mapInArrow(run, "node bigint, shingles binary, sig binary")
+    return scratch.table(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sig").alias("sig")), "minhash-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -257,9 +259,9 @@ def block_links(rest: DataFrame, members: DataFrame) -> DataFrame:
                         b.append(int(max(node[0][i], node[1][j])))
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    names = ("band", "block", "slot", "node", "label", "sig", "shingles")
+    names = ("band", "cut", "block", "slot", "node", "label", "sig", "shingles")
     left, right = (df.select(*[F.col(c).alias(f"{tag}_{c}") for c in names]) for tag, df in (("r", rest), ("m", members)))
-    grouped = left.groupBy("r_band", "r_block").cogroup(right.groupBy("m_band", "m_block"))
+    grouped = left.groupBy("r_band", "r_cut", "r_block").cogroup(right.groupBy("m_band", "m_cut", "m_block"))
     return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
@@ -315,16 +317,19 @@ def marked_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ).distinct()
     known = scratch.table(known, "minhash-known")
     by_label = known.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = by_label.groupBy("band").agg(
-        F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels")
-    ).where("labels > 1")
-    blocks = F.ceil(F.col("all") / F.lit(BLOCK)).cast("int")
-    left = known.join(mixed, "band").withColumn("blocks", blocks)
-    rest = left.where((F.col("label") != F.col("main")) & (F.col("node") != F.col("pivot")))
-    rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = left.where(F.col("node") != F.col("pivot")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wanted = left.select("node").distinct()
-    wanted = scratch.table(sets.join(wanted, "node").groupBy("node").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")), "minhash-wanted")
+    mixed = by_label.groupBy("band").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels")).where(
+        "labels > 1"
+    )
+    left = known.join(mixed, "band").where(F.col("node") != F.col("pivot")).select(
+        "band", "slot", "node", "label", (F.col("label") != F.col("main.label")).alias("other"),
+        F.ceil((F.col("all") - F.col("main.n")) / F.lit(BLOCK)).cast("int").alias("cuts"), F.ceil(F.col("all") / F.lit(BLOCK)).cast("int").alias("blocks"),
+    )
+    # Rest nodes are dealt to cuts and members to blocks; each cut meets each block once.
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = left.where("other").withColumn("cut", own("cuts")).withColumn("block", every("blocks"))
+    members = left.withColumn("block", own("blocks")).withColumn("cut", every("cuts"))
+    wanted = scratch.table(sets.join(left.select("node").distinct(), "node", "left_semi"), "minhash-wanted")
     more = scratch.table(block_links(rest.join(wanted, "node"), members.join(wanted, "node")), "minhash-rest")
     if more.limit(1).count():
         labels = components(links.unionByName(more).distinct(), scratch)
