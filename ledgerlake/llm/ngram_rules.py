@@ -153,17 +153,22 @@ def facts(doc_id, text: bytes, hashes: np.ndarray) -> tuple:
 class CommonKeys:
     """The number of a common key, by two tables with one slot a key; keys that find no slot in either are not common."""
 
-    def __init__(self, keys: list[int], bits: int):
+    def __init__(self, keys: list[int] | np.ndarray, bits: int):
+        self.keys, self.bits = np.array(keys, np.uint64), bits
         self.shift = np.uint64(max(bits - SLOT_BITS, 0))
         self.tables = [(np.full(1 << SLOT_BITS, 1 << 63, np.uint64), np.zeros(1 << SLOT_BITS, np.int32)) for _ in range(2)]
         self.size = 0
-        waiting = np.array(keys, np.uint64)
+        waiting = self.keys
         for slot, (own, number) in zip((self.first, self.second), self.tables):
             at, first = np.unique(slot(waiting), return_index=True)  # the more frequent key takes the slot
             own[at], number[at] = waiting[first], np.arange(self.size, self.size + len(at))
             self.size += len(at)
             waiting = np.delete(waiting, first)
 
+    def __reduce__(self):
+        # Tasks get the keys (2 MB at most) and build the tables, which are far larger and mostly empty.
+        return CommonKeys, (self.keys, self.bits)
+
     def first(self, keys: np.ndarray) -> np.ndarray:
         return keys >> self.shift
 

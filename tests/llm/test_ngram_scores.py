@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pickle
 import random
 
 import numpy as np
@@ -93,3 +94,13 @@ def test_query_keeps_what_passes(spark):
     assert all(r["kept"] <= (not r["base_failed"]) for r in rows)
     kept, gone = [r["score"] for r in rows if r["kept"]], [r["score"] for r in rows if not r["kept"] and not r["base_failed"]]
     assert kept and (not gone or max(gone) < min(kept))
+
+
+def test_common_keys_travel_without_their_tables():
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 40, 30_000, dtype=np.uint64))
+    keys = np.random.default_rng(6).permutation(keys)
+    own = ng.CommonKeys(keys, 40)
+    sent = pickle.dumps(own)
+    assert len(sent) < 9 * len(keys)
+    asked = np.concatenate([keys, keys + np.uint64(1)])
+    assert (pickle.loads(sent).numbers(asked) == own.numbers(asked)).all() and (own.numbers(keys) >= 0).mean() > 0.99
