@@ -102,6 +102,9 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A task of the fact sorts its rows, which unpack to some ten times their
+    # shuffled size, once for each kind of neighbour: merged partitions stay small.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
 }
 
 

@@ -10,6 +10,8 @@ one-minute slice of time for hot customers (the largest, found by a cheap
 count and a bounded top-k) and a single constant segment for everyone else. Every window below is
 partitioned by a superset of those columns and every summary is joined back
 on a superset of them, so no further exchange of the fact rows is needed.
+A task holds its rows once for each order they are sorted in, so joins share
+the order of a window where they can: four sorts (account, time, payee, address).
 Summaries (per customer-segment-day, customer-payee-segment,
 customer-ip-segment and customer-second) are the only other data that moves,
 each combined map-side before its shuffle; for unsplit customers the first
@@ -212,14 +214,25 @@ def add_sequence_features(
         F.countDistinct("to_account").alias("daily_unique_beneficiaries")
     )
     per_seg = per_seg.join(payees, ["customer_id", "txn_date"], "left")
-    out = base.join(per_seg.repartition(*split).hint("merge"), ["customer_id", "txn_date", "__seg"], "left")
+
+    # Rolling 7 days: RANGE [s - span, s] over whole seconds, peers included.
+    # The day's summary goes onto these narrow rows, so that both reach the fact
+    # rows in one join, whose keys begin the order of the lag below: one sort.
+    rolling = trailing_sum(
+        rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["__seg", "txn_date"]
+    )
+    by_day = ["customer_id", "__seg", "txn_date"]
+    summary = rolling.repartition(*split).join(per_seg.repartition(*split).hint("merge"), by_day, "left")
 
     # Gap to the customer's previous transaction (minutes, whole seconds):
     # inside the segment by lag, for its first row from the previous segment.
-    in_seg = Window.partitionBy("customer_id", "__seg").orderBy(*ORDER)
-    prev_ts = F.coalesce(F.lag("txn_timestamp").over(in_seg), F.col("__prev_seg_last"))
-    gap = (F.col("__s") - F.unix_timestamp(prev_ts)) / 60
-    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop("__prev_seg_last")
+    in_seg = Window.partitionBy("customer_id", "__seg").orderBy("txn_date", "__s", *ORDER)
+    out = base.withColumn("__prev", F.lag("txn_timestamp").over(in_seg))
+    out = out.join(summary.hint("merge"), [*by_day, "__s"], "left").withColumn(
+        "rolling_7day_amount", F.col("rolling_7day_amount").cast("decimal(28,2)")
+    )
+    gap = (F.col("__s") - F.unix_timestamp(F.coalesce("__prev", "__prev_seg_last"))) / 60
+    out = out.withColumn("txn_gap_minutes", F.coalesce(gap, F.lit(t.first_txn_gap_minutes))).drop("__prev", "__prev_seg_last")
 
     # New beneficiary: a TRANSFER whose previous row to the same to_account
     # (any type) is absent or more than N days earlier.
@@ -233,14 +246,6 @@ def add_sequence_features(
     )
     out = out.withColumn("new_beneficiary_flag", as_flag(is_new)).drop("__ben_txn_timestamp")
 
-    # Rolling 7 days: RANGE [s - span, s] over whole seconds, peers included.
-    rolling = trailing_sum(
-        rows, ["customer_id"], "__s", "amount", t.rolling_window_seconds, "rolling_7day_amount", carry_cols=["__seg"]
-    )
-    out = out.join(rolling.repartition(*split).hint("merge"), ["customer_id", "__seg", "__s"], "left").withColumn(
-        "rolling_7day_amount", F.col("rolling_7day_amount").cast("decimal(28,2)")
-    )
-
     # Previous location seen on the same IP, falling back to the current one.
     out = previous_by_segment(
         out,
