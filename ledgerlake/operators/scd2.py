@@ -9,8 +9,10 @@ columns is not a new version.
 Both ``lead`` and the change test run inside (key, segment) groups
 (:func:`previous_by_segment`): a key with a huge number of versions (one of the
 bounded top-k) is split by hour of its sequence, every other key is one
-segment and needs no carry summary. Duplicates collapse in a partial
-aggregate before any shuffle.
+segment and needs no carry summary. The rows are shuffled and sorted once, on
+(key, segment) and then by the sequence: duplicates collapse, and neighbours are
+found, in that order. Only the rows of the split keys, which may hold millions of
+copies, go through a partial aggregate before they move.
 
 The incremental form (:func:`merge_increment`) rebuilds only the keys present
 in a batch: their existing history is selected with a semi join and the rest
@@ -37,7 +39,7 @@ UNSPLIT = -(2**63)
 
 
 def _with_segments(rows: DataFrame, keys: list[str], sequence: str, hot_keys: int, hot_min_versions: int) -> DataFrame:
-    """Hour segments for the keys with the most versions (bounded top-k),
+    """Hour segments for the keys with the most rows (bounded top-k),
     one segment (:data:`UNSPLIT`) for every other key."""
     hot = (
         rows.groupBy(*keys)
@@ -68,12 +70,15 @@ def rebuild(
     """
     keys = list(keys)
     cols = [c for c in changes.columns if c not in (START, END)]
-    rows = changes.select(*cols)
-    rows = latest_per_key(rows, [*keys, sequence], [sequence])  # one row per (key, sequence)
-    rows = _with_segments(rows, keys, sequence, hot_keys, hot_min_versions)
+    rows = _with_segments(changes.select(*cols), keys, sequence, hot_keys, hot_min_versions)
     split = [*keys, "__seg"]
     carried_only = F.col("__seg") != F.lit(UNSPLIT)  # single-segment keys need no carry
-    rows = rows.repartition(*split)
+    # One row per (key, sequence), found where the rows of a (key, segment) lie. Sorting the
+    # input before it moves would cost a task memory for all rows that it reads.
+    alone = F.col("__seg").eqNullSafe(F.lit(UNSPLIT))
+    version = [*split, sequence]
+    rows = rows.filter(alone).unionByName(latest_per_key(rows.filter(~alone), version, [sequence]))
+    rows = latest_per_key(rows.repartition(*split), version, [sequence])
     order = [sequence]
     if track_columns:
         tracked = [c for c in track_columns if c != sequence]

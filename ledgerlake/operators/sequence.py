@@ -105,12 +105,14 @@ def previous_by_segment(
         partition_keys = [*keys, *seg_cols]
         df = df.repartition(*partition_keys)
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    seg = Window.partitionBy(*keys, *seg_cols).orderBy(*[direction(c) for c in order])
+    # Ascending in both directions: rows that already lie in this order are not sorted again.
+    seg = Window.partitionBy(*keys, *seg_cols).orderBy(*order)
+    beside = F.lead if reverse else F.lag
     tmp = {v: f"__in_{v}" for v in values}
     out = df
     for v in values:
-        out = out.withColumn(tmp[v], F.lag(v).over(seg))
-    out = out.withColumn("__seg_first", F.row_number().over(seg) == 1)
+        out = out.withColumn(tmp[v], beside(v).over(seg))
+    out = out.withColumn("__seg_first", beside(F.lit(True)).over(seg).isNull())
 
     # One row per (key, segment): the segment's last row (first, when
     # reversed), then that row of the neighbouring active segment of the key.
