@@ -7,8 +7,9 @@ with two parts: open versions, one row a key, and closed ones. Each batch:
    integer a bucket),
 2. reads the open part of those buckets and finds the keys of the batch that
    arrive late, i.e. not after their open version,
-3. rebuilds the keys of the batch: a key without late rows from its open
-   version alone, a late key from all its versions,
+3. rebuilds the keys of these buckets in one shuffle: a key without late rows from
+   its open version alone (without rows in the batch that stays as it is), a late
+   key from all its versions,
 4. writes the open part of the touched buckets anew, adds the versions that
    were closed, and publishes both with the number of the batch. Closed parts
    are written again only for late keys' buckets, and merged when a bucket has
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +71,8 @@ def apply_changes(batch: DataFrame, target: str, keys: Sequence[str], sequence:
         # Read twice below (as bucket ids and as keys): written once. Its rows are keys of the batch.
         late, scratch = _stored(late, target)
         replaced = set(_ids(with_bucket(late, keys, modulus))) | _crowded(spark, target, touched)
-        base, kept = opened.join(first, keys, "left_semi").select(*columns), opened.join(first, keys, "left_anti")
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])  # a row without a key follows no other
+        base, kept = opened.filter(keyed).select(*columns), opened.filter(~keyed)
         closed = read_buckets(spark, target, sorted(replaced), ("closed",)) if replaced else None
         if closed is not None:
             base = base.unionByName(closed.join(late, keys, "left_semi").select(*columns))
