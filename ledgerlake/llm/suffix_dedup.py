@@ -48,6 +48,8 @@ REACH = SPAN - 1  # bytes before and after an anchor gram that its strings may n
 #: Text bytes per block and per slice of a block.
 BLOCK_BYTES = 24 << 20
 SLICE_BYTES = 1 << 20
+#: String starts whose anchors are found at once.
+STRIDE = 1 << 16
 #: Leading byte strings sampled for the splitters (their number bounds what the driver sees).
 SAMPLE = 20_000
 LAST = 2**63 - 1
@@ -57,51 +59,91 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 # -- anchors ----------------------------------------------------------------------
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``GRAM`` bytes from each place (24 = 8 + 16), by doubling."""
-    table_ = np.random.default_rng(5).integers(0, 2**63, 256, dtype=np.uint64)
-    h = table_[data]
-    for k, factor in enumerate((0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
-        w = 1 << k
-        h = h[:-w] * np.uint64(factor) + h[w:]
-    eight = h
-    sixteen = eight[:-8] * np.uint64(0x8EBC6AF09C88C6E3) + eight[8:]
-    out = sixteen[: len(sixteen) - 8] * np.uint64(0x589965CC75374CC3) + eight[16:]
+def unaligned(data: np.ndarray, kind: str) -> np.ndarray:
+    """The word that starts at each place of ``data``, as a view."""
+    return np.ndarray((len(data) - np.dtype(kind).itemsize + 1,), kind, buffer=data, strides=(1,))
+
+
+def gram_ranks(data: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of the ``GRAM`` bytes from each place (24 = 8 + 16), by doubling: it only picks anchors."""
+    four = unaligned(data, "<u4") * np.uint32(0x9E3779B1)
+    four ^= four >> np.uint32(15)
+    eight = four[:-4] * np.uint32(0x85EBCA77)
+    eight += four[4:]
+    sixteen = eight[:-8] * np.uint32(0xC2B2AE3D)
+    sixteen += eight[8:]
+    out = sixteen[:-8] * np.uint32(0x27D4EB2F)
+    out += eight[16:]
+    out ^= out >> np.uint32(15)
+    out *= np.uint32(0x2C1B3C6D)
+    return out
+
+
+def mixed(words: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of 8-byte words."""
+    out = np.zeros(len(words), dtype=np.uint64)
+    for k in range(words.shape[1]):
+        word = words[:, k] * np.uint64(0xD6E8FEB86659FD93)
+        word ^= word >> np.uint64(29)
+        out *= np.uint64(0xA0761D6478BD642F)
+        out += word
     out ^= out >> np.uint64(31)
     out *= MIX
+    out ^= out >> np.uint64(29)
     return out
 
 
+def gram_hashes(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the ``GRAM`` bytes from each of the given places."""
+    if not len(place):
+        return np.zeros(0, dtype=np.uint64)
+    return mixed(np.lib.stride_tricks.sliding_window_view(data, GRAM)[place].view("<u8"))
+
+
+def window_minima(ranks: np.ndarray) -> np.ndarray:
+    """Minimum over ``SPAN`` = 27 places: widths 2, 4, 8, 16, then two overlapping 16s."""
+    out = ranks
+    for w in (1, 2, 4, 8):
+        out = np.minimum(out[:-w], out[w:])
+    return np.minimum(out[: len(out) - (SPAN - 16)], out[SPAN - 16 :])
+
+
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """Anchors of texts laid end to end in ``data``.
 
-    Returns ``(place, first, last, gram hash)``: the anchor's place and the
-    first and last start of the 50-byte strings it stands for.
+    Returns ``(place, first, last, text, gram hash)``: the anchor's place, the
+    first and last start of the 50-byte strings it stands for, and their text.
     """
     none = np.zeros(0, dtype=np.int64)
     if len(data) < LENGTH:
-        return none, none, none, none.astype(np.uint64)
-    h = gram_hashes(data)
-    at = np.arange(len(h), dtype=np.int32)
-    # Leftmost minimum over SPAN = 27 places: widths 2, 4, 8, 16, then two overlapping 16s.
-    for w in (1, 2, 4, 8):
-        left, right = at[:-w], at[w:]
-        at = np.where(h[left] <= h[right], left, right)
-    left, right = at[: len(at) - (SPAN - 16)], at[SPAN - 16 :]
-    at = np.where(h[left] <= h[right], left, right)
-    inside = np.zeros(len(data) + 1, dtype=np.int32)
-    long = ends - starts >= LENGTH
-    np.add.at(inside, starts[long], 1)
-    np.add.at(inside, ends[long] - LENGTH + 1, -1)
-    valid = np.nonzero(np.cumsum(inside)[: len(at)] > 0)[0]
-    if not len(valid):
-        return none, none, none, none.astype(np.uint64)
-    owner = at[valid].astype(np.int64)
-    new = np.ones(len(valid), dtype=bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (valid[1:] != valid[:-1] + 1)
-    first = np.nonzero(new)[0]
-    last = np.append(first[1:], len(valid)) - 1
-    return owner[first], valid[first], valid[last], h[owner[first]]
+        return none, none, none, none, none.astype(np.uint64)
+    total = len(data) - LENGTH + 1
+    opens = starts[ends - starts >= LENGTH]
+    firsts, places = [], []
+    for begin in range(0, total, STRIDE):  # arrays that stay in the processor's cache
+        end, low = min(begin + STRIDE, total), max(begin - 1, 0)
+        ranks = gram_ranks(data[low : end + LENGTH - 1])
+        least = window_minima(ranks)
+        # The anchor changes where a smaller gram enters or the anchor leaves; a text begins with a new one.
+        enters = ranks[SPAN:] < least[:-1]
+        change = np.zeros(len(least), dtype=bool)
+        np.equal(ranks[: len(least) - 1], least[:-1], out=change[1:])
+        change[1:] |= enters
+        change[opens[np.searchsorted(opens, begin) : np.searchsorted(opens, end)] - low] = True
+        at = np.nonzero(change)[0]
+        place = at + REACH
+        left = np.nonzero(~np.append(False, enters)[at])[0]
+        some = at[left]
+        place[left] = some + (np.lib.stride_tricks.sliding_window_view(ranks, SPAN)[some] == least[some][:, None]).argmax(axis=1)
+        firsts.append(at + low)
+        places.append(place + low)
+    first, place = np.concatenate(firsts), np.concatenate(places)
+    text = np.searchsorted(ends, first, side="right")
+    final = ends[text] - LENGTH
+    last = np.minimum(np.append(first[1:] - 1, total), final)
+    inside = first <= final
+    place, first, last, text = place[inside], first[inside], last[inside], text[inside]
+    return place, first, last, text, gram_hashes(data, place)
 
 
 def slices(ids: list[int], bodies: list[bytes]):
@@ -143,6 +185,9 @@ def contexts(data: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.nd
 
 
 WIDTH = REACH + LENGTH + 2
+#: Leading bits of a short hash that tell most grams apart from the shared ones.
+SIEVE_BITS = 22
+SIEVE = np.uint64(40 - SIEVE_BITS)
 
 
 def block_contexts(ids: list[int], bodies: list[bytes], shared: np.ndarray):
@@ -151,23 +196,28 @@ def block_contexts(ids: list[int], bodies: list[bytes], shared: np.ndarray):
     Returns ``(rows, smallest id, per slice (context number, place, first, last))``.
     """
     parts, spots = [], []
+    sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
+    sieve[shared >> SIEVE] = True
     for doc_ids, data, starts, ends in slices(ids, bodies):
-        place, first, last, h = anchors(data, starts, ends)
-        if len(shared) and len(place):
-            k = np.searchsorted(shared, short_hash(h))
-            wanted = shared[np.minimum(k, len(shared) - 1)] == short_hash(h)
-            place, first, last = place[wanted], first[wanted], last[wanted]
-        else:
-            place, first, last = place[:0], first[:0], last[:0]
-        doc = np.searchsorted(ends, first, side="right")
+        place, first, last, doc, h = anchors(data, starts, ends)
+        h = short_hash(h)
+        wanted = np.nonzero(sieve[h >> SIEVE])[0]
+        if len(wanted):
+            h = h[wanted]
+            wanted = wanted[shared[np.minimum(np.searchsorted(shared, h), len(shared) - 1)] == h]
+        place, first, last, doc = place[wanted], first[wanted], last[wanted], doc[wanted]
         parts.append((contexts(data, place, first, last) if len(place) else np.zeros((0, WIDTH), np.uint8), doc_ids[doc]))
         spots.append((place, first, last, doc))
     if not parts:
         return np.zeros((0, WIDTH), np.uint8), np.zeros(0, np.int64), []
     rows = np.concatenate([p[0] for p in parts])
     owner = np.concatenate([p[1] for p in parts])
-    keys = np.ascontiguousarray(rows).view(f"S{WIDTH}").reshape(-1) if len(rows) else np.zeros(0, f"S{WIDTH}")
-    _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    index, inverse = distinct_rows(rows)
+    # Numbered by their leading bytes: rows that go to a range together are alike, and shuffled in less space.
+    order = np.argsort(unaligned(rows.reshape(-1), ">u8")[index * WIDTH + REACH].astype(np.uint64), kind="stable") if len(index) else index
+    index, number = index[order], np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    inverse = number[inverse]
     smallest = np.full(len(index), LAST, dtype=np.int64)
     np.minimum.at(smallest, inverse, owner)
     out, at = [], 0
@@ -177,6 +227,16 @@ def block_contexts(ids: list[int], bodies: list[bytes], shared: np.ndarray):
     return rows[index], smallest, out
 
 
+def distinct_rows(rows: np.ndarray, hashed=mixed) -> tuple[np.ndarray, np.ndarray]:
+    """``(index, inverse)`` of the distinct byte rows, as ``np.unique`` gives them: told apart by a hash, and by
+    the bytes themselves if two different rows have one hash."""
+    _, index, inverse = np.unique(hashed(as_words(rows)), return_index=True, return_inverse=True)
+    if not all((rows[i : i + STRIDE] == rows[index[inverse[i : i + STRIDE]]]).all() for i in range(0, len(rows), STRIDE)):
+        keys = np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").reshape(-1)
+        _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    return index, inverse
+
+
 def short_hash(h: np.ndarray) -> np.ndarray:
     """40 bits: the hash range (8 bits) and 32 more; chance matches only send a suffix on needlessly."""
     return h >> np.uint64(24)
@@ -190,16 +250,19 @@ def multikey_order(words: np.ndarray) -> np.ndarray:
     partitioned by the first word, then only rows with equal words so far by
     the next one, as multikey quicksort does by characters."""
     order = np.argsort(words[:, 0], kind="stable")
+    word = words[order, 0]
+    new = np.append(True, word[1:] != word[:-1])[: len(order)]  # differs from the row before
+    spots = np.arange(len(order))
     for k in range(1, words.shape[1]):
-        tied = np.zeros(len(order), dtype=bool)
-        same = (words[order[1:], :k] == words[order[:-1], :k]).all(axis=1)
-        tied[1:] |= same
-        tied[:-1] |= same
-        if not tied.any():
+        spots = spots[~(new[spots] & np.append(new, True)[spots + 1])]
+        if not len(spots):
             break
-        spots = np.nonzero(tied)[0]
-        run = np.cumsum(np.append(True, ~same))[spots]
-        order[spots] = order[spots][np.lexsort((words[order[spots], k], run))]
+        some, begins = order[spots], new[spots]
+        word = words[some, k]
+        turn = np.lexsort((word, np.cumsum(begins)))
+        order[spots], word = some[turn], word[turn]
+        begins[1:] |= word[1:] != word[:-1]
+        new[spots] = begins
     return order
 
 
@@ -243,18 +306,22 @@ def covered_places(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
     if n < 2:
         return mask
     before, after = rows[:, :REACH], rows[:, REACH : REACH + LENGTH]
-    least, most = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
+    least, most = rows[:, -2].copy(), rows[:, -1].copy()
     right = PrefixGroups(after)
     left = PrefixGroups(before, right.group(GRAM))
     for a in range(SPAN):
         here = np.nonzero((least <= a) & (a <= most))[0]
+        for side in (left.group(a), right.group(LENGTH - a)):  # a row alone on one side has its string alone
+            side = side[here]
+            here = here[np.bincount(side, minlength=1)[side] > 1]
         if len(here) < 2:
             continue
         key = left.group(a)[here] * np.int64(n + 1) + right.group(LENGTH - a)[here]
-        _, inverse = np.unique(key, return_inverse=True)
-        smallest = np.full(inverse.max() + 1, LAST, dtype=np.int64)
-        np.minimum.at(smallest, inverse, ids[here])
-        mask[here] |= (smallest[inverse] < ids[here]).astype(np.int64) << a
+        order = np.argsort(key)
+        key, here = key[order], here[order]
+        begin = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+        smallest = np.repeat(np.minimum.reduceat(ids[here], begin), np.diff(np.append(begin, len(here))))
+        mask[here] |= (smallest < ids[here]).astype(np.int64) << a
     return mask
 
 
@@ -280,18 +347,19 @@ def shared_grams(blocks: DataFrame, ranges: int, scratch: Scratch) -> tuple[Data
 
     def send(block: pa.Table) -> pa.Table:
         ids, bodies = ordered(block)
-        found, doc, leads = [], [], []
+        names = np.unique(np.array([i for i, body in zip(ids, bodies) if len(body) >= LENGTH], dtype=np.int64))
+        found, leads = [], []
         for doc_ids, data, starts, ends in slices(ids, bodies):
-            place, first, _, h = anchors(data, starts, ends)
-            found.append(short_hash(h))
-            doc.append(doc_ids[np.searchsorted(ends, first, side="right")])
+            place, _, _, doc, h = anchors(data, starts, ends)
+            # 40 bits of hash, then the number of the id: a block's texts of 50 bytes are far fewer than 2**24.
+            found.append(short_hash(h) << np.uint64(24) | np.searchsorted(names, doc_ids)[doc].astype(np.uint64))
             few = np.nonzero(h % np.uint64(4096) == 0)[0][:64]
             leads += [data[p : p + GRAM].tobytes() for p in place[few]]
-        grams = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        doc = np.concatenate(doc) if doc else np.zeros(0, np.int64)
-        unique, index, inverse = np.unique(grams, return_index=True, return_inverse=True)
-        several = np.zeros(len(unique), dtype=bool)
-        several[inverse[doc != doc[index][inverse]]] = True
+        found = np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        grams = found >> np.uint64(24)
+        begin = np.nonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])[0]
+        unique = grams[begin]
+        several = found[begin] != found[np.append(begin[1:], len(found))[: len(begin)] - 1]
         cut = np.searchsorted(unique, (np.arange(ranges + 1, dtype=np.uint64) << np.uint64(40)) // np.uint64(ranges))
         number = block.column("block")[0].as_py()
         low = (unique & np.uint64(0xFFFFFFFF)).astype(np.uint32)
